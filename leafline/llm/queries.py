@@ -5,17 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.llm.bpe import bpe_round_trip
 from leafline.llm.exact_dedup import exact_dedup
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
+from leafline.llm.toxicity import fit, sample_labelled, score
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out(remainder: int, folds: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == remainder, F.lit(False))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit(sample_labelled(docs.filter(~held_out(2, 4)), labels))
+    return score(docs.select("doc_id", "text", held_out(2, 4).alias("held_out")), model).drop("text")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe_round_trip(documents(spark, sf_dir), VOCABULARY)
     return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -30,6 +41,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_sharding": op10_sharding,
