@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafline.llm.bpe import bpe_round_trip
 from leafline.llm.exact_dedup import exact_dedup
+from leafline.llm.packing import pack
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
 from leafline.llm.toxicity import fit, sample_labelled, score
@@ -27,6 +28,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text", held_out(2, 4).alias("held_out")), model).drop("text")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), VOCABULARY)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe_round_trip(documents(spark, sf_dir), VOCABULARY)
     return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -42,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_packing": op2_packing,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_sharding": op10_sharding,
