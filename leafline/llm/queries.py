@@ -14,6 +14,7 @@ from leafline.llm.packing import pack
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
 from leafline.llm.toxicity import fit, sample_labelled, score
+from leafline.llm.winnowing import as_string, fingerprints_with_next, hashes, likeness
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -41,6 +42,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints_with_next(documents(spark, sf_dir))
+    own, edited = F.array_distinct(hashes(F.col("chosen"))), F.array_distinct(hashes(F.col("edited_chosen")))
+    return made.select(
+        "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        as_string(F.col("chosen")).alias("fingerprint"), as_string(F.col("edited_chosen")).alias("edited_fingerprint"),
+        likeness(own, edited).alias("near_edited"), likeness(own, F.col("next_hashes")).alias("near_next"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), n_shards=16, law="bytes").withColumn("grown_shard", F.lit(None).cast("int"))
 
@@ -50,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_winnowing": op8_winnowing,
     "op10_sharding": op10_sharding,
 }
 
