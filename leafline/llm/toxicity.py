@@ -147,15 +147,16 @@ def fit(labelled: list[tuple[str, int]]) -> ToxicityModel:
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int]]:
     """Bounded sample of labelled rows, least hashes of the id first, whole texts only."""
-    both = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(labels.select(id_col, F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)"), id_col)
-    out = []
-    for y, most in MOST_DOCS.items():
-        budget = MOST_BYTES * most // sum(MOST_DOCS.values())
-        rows = both.filter(F.col("y") == y).select("text", "y", F.xxhash64(id_col, F.lit(3)).alias("h")).orderBy("h", "text").limit(most)
-        for r in rows.toLocalIterator():
-            budget -= len(r["text"])
-            if budget < 0:
-                break
+    known = docs.select(id_col)
+    rows = labels.select(id_col, F.col(label_col).cast("int").alias("y")).join(known, id_col, "left_semi").withColumn("h", F.xxhash64(id_col, F.lit(3)))
+    parts = [rows.filter(F.col("y") == y).dropDuplicates([id_col]).orderBy("h", id_col).limit(most) for y, most in MOST_DOCS.items()]
+    chosen = parts[0].unionByName(parts[1])
+    texts = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    met = texts.join(F.broadcast(chosen), id_col).select("text", "y", "h")  # at most the sum of MOST_DOCS lines
+    left, out = {y: MOST_BYTES * most // sum(MOST_DOCS.values()) for y, most in MOST_DOCS.items()}, []
+    for r in sorted(met.collect(), key=lambda r: (r["h"], r["text"])):
+        left[r["y"]] -= len(r["text"])
+        if left[r["y"]] >= 0:
             out.append((r["text"], r["y"]))
     return out
 
