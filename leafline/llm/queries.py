@@ -14,6 +14,7 @@ from leafline.llm.packing import pack
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
 from leafline.llm.toxicity import fit, sample_labelled, score
+from leafline.llm.warc import captures, resolve_revisits
 from leafline.llm.winnowing import as_string, fingerprints_with_next, hashes, likeness
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +53,12 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = resolve_revisits(captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return done.withColumn("headers", F.array_join(lines, "|"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), n_shards=16, law="bytes").withColumn("grown_shard", F.lit(None).cast("int"))
 
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_winnowing": op8_winnowing,
+    "op9_warc_revisits": op9_warc_revisits,
     "op10_sharding": op10_sharding,
 }
 
@@ -72,4 +80,29 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d
     """,
+    "op9_warc_revisits": r"""
+        WITH p AS (
+            SELECT page_id AS p, page_id * 100 AS t, md5(coalesce(html, '')) AS tag, sha256(coalesce(html, '')) AS sha, octet_length(encode(coalesce(html, ''))) AS n,
+                   regexp_replace(regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+                   || regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*([^?#]*)', 1), '/+$', '') AS place,
+                   array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'),
+                       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS q
+            FROM pages),
+        c AS (SELECT *, CASE WHEN url_q = '' THEN place ELSE place || '?' || url_q END AS canonical FROM (SELECT *, coalesce(q, '') AS url_q FROM p)),
+        full_ AS (SELECT p * 4 AS id, canonical, t AS ts, tag, sha, n, CASE WHEN p % 5 = 0 THEN 'W/' || tag ELSE tag END AS own, t - 50 AS lm FROM c WHERE p % 13 <> 0),
+        rev AS (
+            SELECT p * 4 + k AS record_id, canonical, t + shift AS ts, CASE WHEN p % 9 = 0 THEN NULL WHEN p % 7 = 0 THEN 'stale' ELSE tag END AS given, t - 50 AS lm
+            FROM c, (VALUES (1, 1000), (2, -10)) AS v(k, shift) WHERE k = 1 OR p % 10 = 0),
+        m AS (
+            SELECT r.*, f.id, f.tag, f.own, f.sha, f.n, f.lm AS flm,
+                   row_number() OVER (PARTITION BY r.record_id ORDER BY f.ts DESC NULLS LAST, f.id DESC) AS k
+            FROM rev r LEFT JOIN full_ f ON f.canonical = r.canonical AND (f.ts < r.ts OR (f.ts = r.ts AND f.id < r.record_id))),
+        o AS (SELECT *, CASE WHEN id IS NULL THEN 'no_earlier_response' WHEN given IS NOT NULL AND given = tag THEN 'resolved'
+                             WHEN given IS NULL AND lm = flm THEN 'resolved' ELSE 'validator_mismatch' END AS outcome FROM m WHERE k = 1)
+        SELECT record_id, canonical, ts AS "at", outcome, CASE WHEN outcome = 'resolved' THEN id END AS refers_to,
+               CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=120|content-type: text/html|date: ' || ts || '|etag: ' || coalesce(given, own)
+                    ELSE 'cache-control: max-age=120|content-type: text/plain|date: ' || ts || coalesce('|etag: ' || given, '') END AS headers,
+               CASE WHEN outcome = 'resolved' THEN sha END AS payload_sha256, CASE WHEN outcome = 'resolved' THEN n END AS payload_bytes
+        FROM o
+    """,
 }
