@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafline.llm.bpe import bpe_round_trip
 from leafline.llm.exact_dedup import exact_dedup
+from leafline.llm import lm
 from leafline.llm.packing import pack
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
@@ -43,6 +44,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / lm.CHUNK_ROWS))
+    rows = docs.select("doc_id", "text", (~held_out(1, 5)).alias("train"), place.alias("chunk"))
+    done = lm.score(rows, chunk_col="chunk")
+    return done.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fingerprints_with_next(documents(spark, sf_dir))
     own, edited = F.array_distinct(hashes(F.col("chosen"))), F.array_distinct(hashes(F.col("edited_chosen")))
@@ -68,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_winnowing": op8_winnowing,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_sharding": op10_sharding,
