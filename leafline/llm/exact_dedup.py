@@ -13,12 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm.storage import new_path, written
+from leafline.llm.storage import likely, new_path, written
 
 #: Fixed values.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bits of the filter that keeps most texts met once out of the shuffle for comparing; when full it lets all pass.
-FILTER_BITS = 1 << 23
 #: Names of the settings of the state store while the stream runs.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -87,10 +85,7 @@ def exact_dedup(
     state = written(keep_largest(spark, keys), "dedup-kept")
     hits = state.filter("group_size > 1").select("digest", "n_bytes")
     texts = rows.select(digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"), "text")
-    bit = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
-    bits = hits.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
-    likely = texts.withColumn("bit", bit).withColumn("word", F.expr("bit div 64")).join(F.broadcast(bits), "word")  # at most FILTER_BITS / 64 lines
-    met = likely.filter("getbit(bits, bit % 64) = 1").join(hits, ["digest", "n_bytes"], "left_semi")
+    met = likely(texts, hits, ["digest", "n_bytes"]).join(hits, ["digest", "n_bytes"], "left_semi")
     compared = met.groupBy("digest", "n_bytes").agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b").select("digest", "n_bytes")
     collided = written(compared, "dedup-collided")
     out = keys.join(state, ["digest", "n_bytes"]).select("id", F.col("keep.id").alias("keep_id"), "group_size", (F.col("locator") == F.col("keep.locator")).alias("kept"), "digest", "n_bytes")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leafline.llm.bpe import bpe_round_trip
 from leafline.llm.exact_dedup import exact_dedup
 from leafline.llm import lm
+from leafline.llm.jaccard import jaccard_classes
 from leafline.llm.packing import pack
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
@@ -44,6 +45,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir), k=3, num=90, den=100)
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / lm.CHUNK_ROWS))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_winnowing": op8_winnowing,
     "op9_warc_revisits": op9_warc_revisits,

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bits of the filter of likely(); when full it lets all rows pass.
+FILTER_BITS = 1 << 23
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,3 +48,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def likely(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of df whose keys may be among those of wanted: all that are and a few others, so a join after it shuffles little.
+
+    The filter that is broadcast has at most FILTER_BITS / 64 lines.
+    """
+    bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    bits = wanted.select(bit.alias("bit_")).groupBy(F.expr("bit_ div 64").alias("word_")).agg(F.expr("bit_or(shiftleft(1L, cast(bit_ % 64 as int)))").alias("bits_"))
+    met = df.withColumn("bit_", bit).withColumn("word_", F.expr("bit_ div 64")).join(F.broadcast(bits), "word_")
+    return met.filter("getbit(bits_, bit_ % 64) = 1").select(*df.columns)
