@@ -20,21 +20,27 @@ BUCKET_ROWS, BOUNDS = 2000, 1024
 LAST = (1 << 31) - 1
 
 
-def winnow(docs: DataFrame, text: str, out: str, k: int = K, steps: tuple[int, int] = STEPS) -> DataFrame:
-    """docs with column `out`: array<bigint> of the packed choices of column `text`, by position.
+def minima(docs: DataFrame, text: str, out: str, k: int = K, steps: tuple[int, int] = STEPS, before: Column | None = None) -> DataFrame:
+    """docs with column `out`: array<bigint>, the packed choice of each window of column `text`.
 
     A text shorter than k is one k-gram; a null or empty text has no choices; a text with fewer k-grams than a window
-    is one window.
+    is one window. `before`, a column that costs nothing to read: how many code points, with a window each, come before the text; if any do, k-grams that
+    fill no window give none.
     """
-    t = F.col(text)
+    t, of, (a, b) = F.col(text), F.col(out), steps
+    shift = F.lit(0) if before is None else before
     grams = F.when(F.char_length(t) < k, F.array(t)).otherwise(F.expr(f"regexp_extract_all(`{text}`, '(?s)(?=(.{{{k}}}))', 1)"))
     packed = F.transform(grams, lambda g, i: F.shiftleft(F.xxhash64(g), 32).bitwiseOR(F.lit(LAST).cast("bigint") - i))
-    a, b = steps
-    of = F.col(out)
     df = docs.withColumn(out, F.when(F.coalesce(F.char_length(t), F.lit(0)) == 0, F.lit([]).cast("array<bigint>")).otherwise(packed))
     df = df.withColumn(out, F.transform(of, lambda x, i: F.least(x, *[F.get(of, i + j) for j in range(1, a)]) if a > 1 else x))
     df = df.withColumn(out, F.transform(of, lambda x, i: F.least(x, *[F.get(of, i + a * j) for j in range(1, b)]) if b > 1 else x))
-    return df.withColumn(out, F.array_distinct(F.slice(of, 1, F.greatest(F.size(of) - (a * b - 1), F.lit(1)))))
+    df = df.withColumn(out, F.slice(of, 1, F.greatest(F.size(of) - (a * b - 1), F.when(shift > 0, 0).otherwise(1))))
+    return df if before is None else df.withColumn(out, F.transform(of, lambda x: x - before))
+
+
+def winnow(docs: DataFrame, text: str, out: str, k: int = K, steps: tuple[int, int] = STEPS) -> DataFrame:
+    """docs with column `out`: array<bigint>, the distinct packed choices of column `text`, by position; see minima()."""
+    return minima(docs, text, out, k, steps).withColumn(out, F.array_distinct(out))
 
 
 def hashes(packed: Column) -> Column:
@@ -95,10 +101,15 @@ def fingerprints_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     both = with_next(rows, "id").withColumn("tie", F.xxhash64("text"))
-    w = W.partitionBy("bucket").orderBy("visitor", F.col("id").desc_nulls_last(), "tie")
     half = (F.char_length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.coalesce(F.lead("text").over(w), F.lit("")), F.lit(1), half))
-    df = both.withColumn("edited", edited)
-    df = winnow(winnow(df, "text", "chosen"), "edited", "edited_chosen")
+    same = F.greatest(F.lit(0), F.col("kept") - (K - 1) - (STEPS[0] * STEPS[1] - 1))
+    both = both.withColumn("half", half).withColumn("kept", F.char_length("text") - F.col("half")).withColumn("same", same)
+    w = W.partitionBy("bucket").orderBy("visitor", F.col("id").desc_nulls_last(), "tie")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("kept")), F.substring(F.coalesce(F.lead("text").over(w), F.lit("")), F.lit(1), F.col("half")))
+    # windows that lie in the kept half are those of the text itself; only the rest of the edited text is hashed
+    df = minima(both.withColumn("edited", edited), "text", "chosen")
+    df = df.withColumn("rest", F.substring(F.col("edited"), F.col("same") + 1, F.char_length("edited")))
+    df = minima(df, "rest", "edited_chosen", before=F.col("same"))
+    df = df.withColumn("edited_chosen", F.array_distinct(F.concat(F.slice("chosen", 1, F.col("same")), F.col("edited_chosen")))).withColumn("chosen", F.array_distinct("chosen"))
     df = df.withColumn("next_hashes", F.lead(F.array_distinct(hashes(F.col("chosen")))).over(w))
     return df.filter("not visitor").select(F.col("id").alias(id_col), "text", "edited", "chosen", "edited_chosen", "next_hashes")
