@@ -152,7 +152,7 @@ def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> Dat
                     h = h[order][place < (n - -(-num * n // den) + 1)[owner]]
                 ends = np.cumsum(np.where(some, n - -(-num * n // den) + 1, 0))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(sig[0].astype(np.int64)), pa.array(sig[1].astype(np.int64)), pa.array([v.tobytes() for v in vec], pa.binary()),
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(sig[0].astype(np.int64)), pa.array(sig[1].astype(np.int64)), pa.array(_packed(vec), pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h.astype(np.int64)))],
                     ["at", "n", "sig_a", "sig_b", "vec", "prefix"],
                 )
@@ -160,12 +160,24 @@ def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> Dat
     return docs.select("at", "text").mapInArrow(run, "at bigint, n bigint, sig_a bigint, sig_b bigint, vec binary, prefix array<bigint>")
 
 
-def in_parts(df: DataFrame, key: str, order: list[str], block: int) -> DataFrame:
-    """df with `part`, `i` and `j`: rows of one key in parts of `block` rows by order; each row is given to every pair (i, j) of parts with its own."""
-    w = W.partitionBy(key)
-    numbered = df.withColumn("part", F.expr(f"(row_number() over (partition by `{key}` order by {', '.join(order)}) - 1) div {block}")).withColumn("parts", F.expr(f"(count(*) over (partition by `{key}`) - 1) div {block} + 1"))
-    other = numbered.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    return other.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("parts", "other")
+def in_parts(df: DataFrame, key: str, order: list[str], block: int, least: int = 1) -> DataFrame:
+    """df with `part`, `i` and `j`: rows of one key in parts of `block` rows by order; each row is given to every pair (i, j) of parts with its own. Keys with fewer rows than `least` go."""
+    w = f"partition by `{key}`"
+    numbered = df.withColumn("part", F.expr(f"(row_number() over ({w} order by {', '.join(order)}) - 1) div {block}")).withColumn("rows_", F.expr(f"count(*) over ({w})")).filter(F.col("rows_") >= least)
+    other = numbered.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(rows_ - 1) div {block}"))))
+    return other.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("rows_", "other")
+
+
+def _packed(vec: np.ndarray) -> list[bytes]:
+    """Counts as bytes, or as four bytes each where one needs more."""
+    small = vec.max(axis=1) < 256
+    return [(v.astype("u1") if s else v).tobytes() for v, s in zip(vec, small)]
+
+
+def _unpacked(vecs: list[bytes]) -> np.ndarray:
+    if all(len(v) == GROUPS for v in vecs):
+        return np.frombuffer(b"".join(vecs), "u1").reshape(-1, GROUPS).astype(np.int32)
+    return np.array([np.frombuffer(v, "u1" if len(v) == GROUPS else "<u4") for v in vecs]).astype(np.int64).reshape(-1, GROUPS)
 
 
 def _edge_table(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -192,14 +204,14 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[s
         yield held
 
 
-def candidates(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that connect, in each block (h), the members (at, n, vec) whose points may be similar enough."""
-    rows = in_parts(members, "h", ["n", "at"], BLOCK).select("h", "i", "j", "part", "at", "n", "vec").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n", "at")
+def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that connect, in each block (h) of postings (h, at, n), the points (at, vec) that may be similar enough."""
+    rows = in_parts(postings, "h", ["n", "at"], BLOCK, least=2).join(points, "at").select("h", "i", "j", "part", "at", "n", "vec").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["h", "i", "j"]):
             at, n, part = (table.column(c).to_numpy() for c in ("at", "n", "part"))
-            vec = np.frombuffer(b"".join(table.column("vec").to_pylist()), "<u4").reshape(-1, GROUPS)
+            vec = _unpacked(table.column("vec").to_pylist())
             ids = np.cumsum(np.r_[0, np.any([np.diff(table.column(c).to_numpy()) != 0 for c in ("h", "i", "j")], axis=0)])
             size = np.bincount(ids)
             found = []
@@ -257,7 +269,9 @@ def verified(grouped: DataFrame, k: int, num: int, den: int) -> DataFrame:
         e = np.array(list(spanning(len(at), ask)), np.int64).reshape(-1, 2)
         return pa.Table.from_batches([_edge_table([(at[e[:, 0]], at[e[:, 1]])])])
 
-    return rows.groupBy("component", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+    # as many tasks as set, whatever their bytes: comparing costs more than reading
+    tasks = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "component", "i", "j").groupBy("component", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,9 +292,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     lowest = written(lowest, "jaccard-representatives")
     reps = made.join(lowest.select(F.col("rep").alias("at")), "at", "left_semi").dropDuplicates(["at"])
     reps = written(reps, "jaccard-points")
-    postings = reps.select("at", F.explode("prefix").alias("h")).withColumn("met", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("met > 1").select("h", "at")
-    members = postings.join(reps.select("at", "n", "vec"), "at")
-    maybe = components(candidates(members, num, den)).withColumnRenamed("node", "at")
+    postings = reps.select(F.explode("prefix").alias("h"), "at", F.col("n").cast("int").alias("n"))
+    maybe = components(candidates(postings, reps.select("at", "vec"), num, den)).withColumnRenamed("node", "at")
     maybe = written(maybe, "jaccard-groups")
     texts = likely(rows.select("at", "text"), maybe, ["at"]).join(maybe, "at").join(reps.select("at", "n"), "at").dropDuplicates(["at"])
     linked = components(verified(texts, k, num, den))
