@@ -15,6 +15,7 @@ from leafline.llm.jaccard import jaccard_classes
 from leafline.llm.packing import pack
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
+from leafline.llm.suffix_dedup import CHUNK_ROWS, remove_repeats
 from leafline.llm.toxicity import fit, sample_labelled, score
 from leafline.llm.warc import captures, resolve_revisits
 from leafline.llm.winnowing import as_string, fingerprints_with_next, hashes, likeness
@@ -49,6 +50,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir), k=3, num=90, den=100)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))
+    done = remove_repeats(documents(spark, sf_dir).select("doc_id", "text", place.alias("chunk")), chunk_col="chunk")
+    return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("span_starts").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / lm.CHUNK_ROWS))
@@ -83,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_winnowing": op8_winnowing,
     "op9_warc_revisits": op9_warc_revisits,
