@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of the filter of likely(); when full it lets all rows pass.
@@ -59,3 +60,32 @@ def likely(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     bits = wanted.select(bit.alias("bit_")).groupBy(F.expr("bit_ div 64").alias("word_")).agg(F.expr("bit_or(shiftleft(1L, cast(bit_ % 64 as int)))").alias("bits_"))
     met = df.withColumn("bit_", bit).withColumn("word_", F.expr("bit_ div 64")).join(F.broadcast(bits), "word_")
     return met.filter("getbit(bits_, bit_ % 64) = 1").select(*df.columns)
+
+
+def without(df: DataFrame, dropped: DataFrame, keys: list[str], checked: DataFrame | None = None) -> DataFrame:
+    """Rows of df whose keys are not among those of dropped, nulls being equal to one another.
+
+    Rows that the filter of likely() clears stay where they are; only the others are shuffled for an exact check.
+    Rows whose keys are in `checked` are sure to be among those others.
+    """
+    care = dropped.select(*keys) if checked is None else dropped.select(*keys).unionByName(checked.select(*keys))
+    bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    bits = care.select(bit.alias("bit_")).groupBy(F.expr("bit_ div 64").alias("word_")).agg(F.expr("bit_or(shiftleft(1L, cast(bit_ % 64 as int)))").alias("bits_"))
+    met = df.withColumn("bit_", bit).withColumn("word_", F.expr("bit_ div 64")).join(F.broadcast(bits), "word_", "left")
+    hit = F.coalesce(F.expr("getbit(bits_, bit_ % 64)") == 1, F.lit(False))
+    gone = dropped.select(*[F.col(k).alias(f"gone_{i}") for i, k in enumerate(keys)]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"gone_{i}")) for i, k in enumerate(keys)]
+    checked_rows = met.filter(hit).select(*df.columns).join(gone, same, "left_anti")
+    if checked is not None:
+        checked_rows = checked_rows.dropDuplicates(keys)
+    return met.filter(~hit).select(*df.columns).unionByName(checked_rows)
+
+
+def place_in_files(df: DataFrame, rows: int) -> Column | None:
+    """A long that names runs of about `rows` rows lying together in df's files; None if df does not read files."""
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows))
+    try:
+        df.select(place)
+    except AnalysisException:
+        return None
+    return place

@@ -188,7 +188,7 @@ class _Chunk:
     def __init__(self, table: pa.Table, answers: pa.Table, bits: int, length: int, gram: int) -> None:
         ids, texts = table.column("id").to_pylist(), table.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i], texts[i] or ""))
-        self.ids = [ids[i] for i in order]
+        self.order, self.ids = order, [ids[i] for i in order]
         self.texts = [(texts[i] or "").encode("utf-8", "replace") for i in order]
         self.runs = [(at, Regions(run, length, gram)) for at, run in _runs(self.texts)]
         short = np.concatenate([_short(r.key, bits) for _, r in self.runs])
@@ -304,16 +304,17 @@ def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, MESSAGE)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chunk_col: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chunk_col: str | None = None, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """(id_col, n_bytes, span_starts, span_ends, kept) of each row: maximal runs of removed bytes of its text in UTF-8, and the bytes that stay.
 
     A byte goes if it lies in a string of `length` bytes that also starts in a row with a smaller id; all strings are
     judged on the input. A null text counts as empty; shorter texts keep all. A null id is larger than any other; rows
     with one id are not smaller than one another, so repeated rows keep or lose the same bytes. An empty table gives no
     rows; other columns are dropped. chunk_col, a long, names chunks of about CHUNK_ROWS rows that lie together where
-    docs is read; without it rows are dealt by their id's hash.
+    docs is read; without it rows are dealt by their id's hash. Columns
+    named in carry go along. as_text: kept is a string, without bytes of characters that were cut.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *([F.col(chunk_col).alias("chunk")] if chunk_col else []))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(x).alias(f"carry_{i}") for i, x in enumerate(carry)), *([F.col(chunk_col).alias("chunk")] if chunk_col else []))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     if not chunk_col:
         rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(-(-size["n"] // CHUNK_ROWS) or 1)))
@@ -362,6 +363,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
                 ends.append(edge[1::2])
                 kept.append(r.buf[begin_:end][~part].tobytes() if len(edge) else r.buf[begin_:end].tobytes())
         spans = pa.list_(pa.int64())
-        return pa.table({id_col: pa.array(c.ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "span_starts": pa.array(starts, spans), "span_ends": pa.array(ends, spans), "kept": pa.array(kept, pa.binary())})
+        if as_text:
+            kept = [k.decode("utf-8", "ignore") for k in kept]
+        along = {x: mine.column(f"carry_{i}").take(pa.array(c.order, pa.int64())) for i, x in enumerate(carry)}
+        return pa.table({id_col: pa.array(c.ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "span_starts": pa.array(starts, spans), "span_ends": pa.array(ends, spans), "kept": pa.array(kept, pa.string() if as_text else pa.binary()), **along})
 
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept binary")
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
