@@ -28,7 +28,7 @@ from leafline.llm.wordhash import BASE, BASE_INVERSE, U, _power, mixed
 
 LENGTH, GRAM = 50, 24
 CHUNK_ROWS, BUCKET_BYTES = 2000, 8 << 20
-RUN_BYTES = 1 << 20
+RUN_BYTES, RANK_BYTES = 1 << 20, 1 << 18
 NONE = np.iinfo(np.int64).max
 
 
@@ -238,36 +238,45 @@ def _ask_regions(docs: DataFrame, answers: DataFrame, bits: int, length: int, gr
 def lowest_documents(joined: np.ndarray, size: np.ndarray, key: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(number of strings of each text, for each string of each text in order the smallest document that holds it), for distinct texts of one or more strings each with a key and its smallest document.
 
-    Texts whose key no other has hold their strings alone; all others' suffixes are ranked together.
+    Texts whose key no other has hold their strings alone; the others' suffixes are ranked, all texts of a key together
+    and of as many keys as come to about RANK_BYTES.
     """
-    count = size.astype(np.int64) - length + 1
-    out = np.repeat(low, count)
+    size = size.astype(np.int64)
+    count = size - length + 1
+    out, start, first = np.repeat(low, count), np.cumsum(size) - size, np.cumsum(count) - count
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]
-    shared = np.zeros(len(key), bool)
-    shared[order[1:][same]] = shared[order[:-1][same]] = True
-    rows = np.flatnonzero(shared)
+    shared = np.r_[False, same] | np.r_[same, False] if len(key) else np.zeros(0, bool)
+    rows = order[shared]
     if not len(rows):
         return count, out
-    start = np.cumsum(size.astype(np.int64)) - size
-    text, n = _gather(joined, start[rows], size[rows].astype(np.int64))
+    new_key = np.flatnonzero(np.r_[True, key[rows][1:] != key[rows][:-1]])
+    block = (np.cumsum(size[rows]) - size[rows])[new_key] // RANK_BYTES
+    cuts = np.r_[new_key[np.flatnonzero(np.r_[True, block[1:] != block[:-1]])], len(rows)]
+    for i, j in zip(cuts, cuts[1:]):
+        part = rows[i:j]
+        text, n = _gather(joined, start[part], size[part])
+        where = np.repeat(first[part] - np.r_[0, np.cumsum(count[part])[:-1]], count[part]) + np.arange(count[part].sum())
+        out[where] = _ranked_minimum(text, n, count[part], low[part], length)
+    return count, out
+
+
+def _ranked_minimum(text: np.ndarray, size: np.ndarray, count: np.ndarray, low: np.ndarray, length: int) -> np.ndarray:
+    """The smallest document of each string of the joined texts, by the order of their suffixes."""
     rank = suffix_ranks(text.astype(np.int64) + 1, length)
-    first = np.cumsum(n) - n
-    at = np.repeat(first - np.r_[0, np.cumsum(count[rows])[:-1]], count[rows]) + np.arange(count[rows].sum())
+    at = np.repeat(np.cumsum(size) - size - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
     order = np.argsort(rank[at], kind="stable")
-    sorted_at = at[order]
+    ordered = at[order]
     differ = np.ones(len(at), bool)
-    for i in range(0, len(at) - 1, 1 << 16):
-        a, b = sorted_at[i : i + (1 << 16)], sorted_at[i + 1 : i + 1 + (1 << 16)]
-        a = a[: len(b)]
+    for i in range(0, len(at) - 1, 1 << 15):
+        b = ordered[i + 1 : i + 1 + (1 << 15)]
+        a = ordered[i : i + len(b)]
         differ[i + 1 : i + 1 + len(b)] = (text[a[:, None] + np.arange(length)] != text[b[:, None] + np.arange(length)]).any(axis=1)
     new = np.flatnonzero(differ)
-    least = np.minimum.reduceat(np.repeat(low[rows], count[rows])[order], new)
+    least = np.minimum.reduceat(np.repeat(low, count)[order], new)
     found = np.empty(len(at), np.int64)
     found[order] = np.repeat(least, np.diff(np.r_[new, len(at)]))
-    all_first = np.cumsum(count) - count
-    out[np.repeat(all_first[rows] - np.r_[0, np.cumsum(count[rows])[:-1]], count[rows]) + np.arange(len(at))] = found
-    return count, out
+    return found
 
 
 def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
