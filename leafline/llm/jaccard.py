@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.llm.components import components
-from leafline.llm.storage import likely, written
+from leafline.llm.storage import likely, trim, tune, without, written
 from leafline.llm.wordhash import U, all_words, mixed
 
 GROUPS = 64
@@ -104,18 +104,29 @@ def spanning(n: int, neighbours) -> Iterator[tuple[int, int]]:
                 todo.append(j)
 
 
+def _looks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str | None]]:
+    """Texts of LOOK rows at a time."""
+    held: list[str | None] = []
+    for batch in batches:
+        held += batch.column(0).to_pylist()
+        while len(held) >= LOOK:
+            yield held[:LOOK]
+            held = held[LOOK:]
+    yield held
+
+
 def common_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
     """Shingles met in about COMMON of all documents or more: found in at least twice that share of some LOOK rows. At most a document's mean number of shingles divided by COMMON, whatever the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, LOOK):
-                part = batch.slice(at, LOOK).column(0).to_pylist()
+        for part in _looks(batches):
+            if part:
                 h = np.sort(shingles(part, k)[0])
                 new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
                 count = np.diff(np.r_[new, len(h)])
                 often = count >= max(4, 2 * COMMON * len(part))
                 yield pa.RecordBatch.from_arrays([pa.array(h[new[often]].astype(np.int64)), pa.array(count[often].astype(np.int64))], ["h", "n"])
+        trim()
 
     found = docs.select("text").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(8, COMMON * n_docs))
     return np.sort(np.array([r["h"] for r in found.select("h").collect()], np.int64).astype(U))
@@ -156,6 +167,7 @@ def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> Dat
                      pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h.astype(np.int64)))],
                     ["at", "n", "sig_a", "sig_b", "vec", "prefix"],
                 )
+        trim()
 
     return docs.select("at", "text").mapInArrow(run, "at bigint, n bigint, sig_a bigint, sig_b bigint, vec binary, prefix array<bigint>")
 
@@ -210,7 +222,7 @@ def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["h", "i", "j"]):
-            at, n, part = (table.column(c).to_numpy() for c in ("at", "n", "part"))
+            at, n, part = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "n", "part"))
             vec = _unpacked(table.column("vec").to_pylist())
             ids = np.cumsum(np.r_[0, np.any([np.diff(table.column(c).to_numpy()) != 0 for c in ("h", "i", "j")], axis=0)])
             size = np.bincount(ids)
@@ -236,6 +248,7 @@ def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> Da
                 e = np.array(list(spanning(size[b], ask)), np.int64).reshape(-1, 2)
                 found.append((at[s][e[:, 0]], at[s][e[:, 1]]))
             yield _edge_table(found)
+        trim()
 
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
@@ -282,20 +295,22 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     id count as larger than any other; repeated rows are linked like copies. An empty table gives no rows; other
     columns are dropped. Links rest on 64-bit hashes of words.
     """
+    tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("at", F.xxhash64("id", "text"))
     n_docs = rows.count()
     made = written(sets(rows, k, num, den, common_shingles(rows, k, n_docs)), "jaccard-sets")
     ids = written(rows.select("id", "at"), "jaccard-ids")
-    every = ids.join(made.select("at", "n", "sig_a", "sig_b").dropDuplicates(["at"]), "at")
     # `at` stands for a row; one row stands for all with its set
+    every = ids.join(made.select("at", "n", "sig_a", "sig_b").dropDuplicates(["at"]), "at")
     lowest = every.filter("n > 0").groupBy("n", "sig_a", "sig_b").agg(F.min("id").alias("low"), F.min_by("at", F.coalesce(F.col("id").cast("bigint"), F.lit((1 << 63) - 1))).alias("rep"))
     lowest = written(lowest, "jaccard-representatives")
-    reps = made.join(lowest.select(F.col("rep").alias("at")), "at", "left_semi").dropDuplicates(["at"])
-    reps = written(reps, "jaccard-points")
-    postings = reps.select(F.explode("prefix").alias("h"), "at", F.col("n").cast("int").alias("n"))
-    maybe = components(candidates(postings, reps.select("at", "vec"), num, den)).withColumnRenamed("node", "at")
-    maybe = written(maybe, "jaccard-groups")
-    texts = likely(rows.select("at", "text"), maybe, ["at"]).join(maybe, "at").join(reps.select("at", "n"), "at").dropDuplicates(["at"])
+    copies = every.join(lowest, ["n", "sig_a", "sig_b"]).filter("at <> rep").select("at")
+    repeated = ids.groupBy("at").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("at")
+    copies, repeated = written(copies, "jaccard-copies"), written(repeated, "jaccard-repeated")
+    of = lambda *columns: without(made.filter("n > 0").select("at", *columns), copies, ["at"], checked=repeated)
+    postings = of("n", "prefix").select(F.explode("prefix").alias("h"), "at", F.col("n").cast("int").alias("n"))
+    maybe = written(components(candidates(postings, of("vec"), num, den)).withColumnRenamed("node", "at"), "jaccard-groups")
+    texts = likely(rows.select("at", "text"), maybe, ["at"]).join(maybe, "at").join(of("n"), "at").dropDuplicates(["at"])
     linked = components(verified(texts, k, num, den))
     linked = linked.select(F.col("node").alias("rep"), F.col("component"))
     labelled = lowest.join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.storage import written
+from leafline.llm.storage import trim, tune, written
 from leafline.llm.wordhash import U, all_words, mixed
 
 #: Hashes of the start and the end of a text.
@@ -89,6 +89,7 @@ def _ask(docs: DataFrame, bits: int) -> DataFrame:
                 train.append(learn)
         if texts:
             yield of(held, texts, train)
+        trim()
 
     return docs.select("chunk", "text", "train").mapInArrow(run, "bucket bigint, chunk bigint, kind int, keys binary, counts binary")
 
@@ -146,6 +147,7 @@ def score(docs: DataFrame, train_col: str = "train", id_col: str = "doc_id", tex
     empty table gives no rows; other columns are dropped. chunk_col, a long, names chunks of about CHUNK_ROWS rows that
     lie together where docs is read; without it rows are dealt by their id's hash.
     """
+    tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(train_col), F.lit(False)).alias("train"), *([F.col(chunk_col).alias("chunk")] if chunk_col else []))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"), F.count_if("train").alias("t")).first()
     if not chunk_col:
@@ -172,6 +174,7 @@ def score(docs: DataFrame, train_col: str = "train", id_col: str = "doc_id", tex
         weights = traverse(toks, before, count, history, by_kind[2][where], n_types, total, n_texts, prior)
         base = np.log10((count + 0.5) / (total + 0.5 * (n_types + 1)))
         first = np.cumsum(n) - n
+        trim()
         return pa.table({
             id_col: mine.column("id"), "train": mine.column("train"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), first), pa.int64()),
             "train_tokens": pa.array([total] * len(n), pa.int64()), "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(np.add.reduceat(weights, first)),

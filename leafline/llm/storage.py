@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,26 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+#: Rows of one batch between Spark and Python: whole documents are large, Spark's own number is made for small rows.
+BATCH_ROWS = 1000
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """The session, with batches sized for documents unless they were sized already."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
+def trim() -> None:
+    """Gives memory that a worker no longer uses back to the machine, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/leafline-{name}-{uuid.uuid4().hex}"
 
@@ -48,7 +70,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def likely(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:

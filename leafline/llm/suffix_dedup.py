@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.llm.difference_cover import suffix_ranks
-from leafline.llm.storage import written
+from leafline.llm.storage import trim, tune, written
 from leafline.llm.wordhash import BASE, BASE_INVERSE, U, _power, mixed
 
 LENGTH, GRAM = 50, 24
@@ -156,6 +156,7 @@ def _ask_anchors(docs: DataFrame, bits: int, length: int, gram: int) -> DataFram
                 texts.append((text or "").encode("utf-8", "replace"))
         if texts:
             yield from of(held, texts).to_batches()
+        trim()
 
     return docs.select("chunk", "text").mapInArrow(run, MESSAGE)
 
@@ -301,6 +302,7 @@ def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
         flat = np.minimum.reduceat(strings, first) == np.maximum.reduceat(strings, first)
         at = 0
         rows = []
+        trim()
         for chunk, p in zip(table.column("chunk").to_pylist(), parts):
             mine = which[at : at + len(p[1])]
             at += len(p[1])
@@ -323,6 +325,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     docs is read; without it rows are dealt by their id's hash. Columns
     named in carry go along. as_text: kept is a string, without bytes of characters that were cut.
     """
+    tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(x).alias(f"carry_{i}") for i, x in enumerate(carry)), *([F.col(chunk_col).alias("chunk")] if chunk_col else []))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     if not chunk_col:
@@ -372,6 +375,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
                 ends.append(edge[1::2])
                 kept.append(r.buf[begin_:end][~part].tobytes() if len(edge) else r.buf[begin_:end].tobytes())
         spans = pa.list_(pa.int64())
+        trim()
         if as_text:
             kept = [k.decode("utf-8", "ignore") for k in kept]
         along = {x: mine.column(f"carry_{i}").take(pa.array(c.order, pa.int64())) for i, x in enumerate(carry)}

@@ -20,9 +20,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafline.llm.storage import tune
+
 #: Most labelled rows of each label that the model is fitted on, and most bytes of their texts in all.
-MOST_DOCS = {0: 12_000, 1: 4_000}
-MOST_BYTES = 60_000_000
+MOST_DOCS = {0: 6_000, 1: 2_000}
+MOST_BYTES = 30_000_000
 WINDOW_WORDS = 8
 LEVEL = 12
 TOXIC_BYTES, ORDINARY_BYTES = 3_072, 65_536
@@ -147,6 +149,7 @@ def fit(labelled: list[tuple[str, int]]) -> ToxicityModel:
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int]]:
     """Bounded sample of labelled rows, least hashes of the id first, whole texts only."""
+    tune(docs.sparkSession)
     known = docs.select(id_col)
     rows = labels.select(id_col, F.col(label_col).cast("int").alias("y")).join(known, id_col, "left_semi").withColumn("h", F.xxhash64(id_col, F.lit(3)))
     parts = [rows.filter(F.col("y") == y).dropDuplicates([id_col]).orderBy("h", id_col).limit(most) for y, most in MOST_DOCS.items()]
