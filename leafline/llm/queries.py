@@ -107,8 +107,8 @@ ORACLE_SQL: dict[str, str] = {
     "op9_warc_revisits": r"""
         WITH p AS (
             SELECT page_id AS p, page_id * 100 AS t, md5(coalesce(html, '')) AS tag, sha256(coalesce(html, '')) AS sha, octet_length(encode(coalesce(html, ''))) AS n,
-                   regexp_replace(regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)', 1)), '^www\.', ''), ':(80|443)$', '')
-                   || regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*([^?#]*)', 1), '/+$', '') AS place,
+                   regexp_replace(regexp_replace(lower(regexp_extract(url, '^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//)?([^/?#]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+                   || regexp_replace(regexp_extract(url, '^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//)?[^/?#]*([^?#]*)', 1), '/+$', '') AS place,
                    array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'),
                        lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS q
             FROM pages),

@@ -26,9 +26,9 @@ from leafline.llm.difference_cover import suffix_ranks
 from leafline.llm.storage import trim, tune, written
 from leafline.llm.wordhash import BASE, BASE_INVERSE, U, _power, mixed
 
-LENGTH, GRAM = 50, 24
+LENGTH, GRAM = 50, 32
 CHUNK_ROWS, BUCKET_BYTES = 2000, 8 << 20
-RUN_BYTES, RANK_BYTES = 1 << 20, 1 << 18
+RUN_BYTES, RANK_BYTES = 1 << 20, 1 << 16
 NONE = np.iinfo(np.int64).max
 
 
@@ -72,7 +72,7 @@ class Regions:
         anchor = anchor[at]
         new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)]) if len(at) else np.zeros(0, np.int64)
         self.start, self.count = at[new], np.diff(np.r_[new, len(at)])
-        self.key = grams[anchor[new]]
+        self.key = mixed(grams[anchor[new]] ^ U(0x5851F42D4C957F2D))  # the smallest hashes are not even, these are
         self.hash = _span_hash(sums, self.start, self.start + self.count + length - 1)
         self.text = np.searchsorted(self.ends, self.start, "right")
 
@@ -111,7 +111,7 @@ def _by_bucket(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def _pack(*arrays: np.ndarray) -> bytes:
     raw = b"".join([np.array([len(arrays), *(a.nbytes for a in arrays)], "<i8").tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
 def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
@@ -183,6 +183,39 @@ def _answer_anchors(asked: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, MESSAGE)
 
 
+def _bundles(rows: DataFrame) -> DataFrame:
+    """(chunk, data): the rows of a chunk that lie together as one compressed table, which is what is shuffled."""
+
+    def flush(chunk: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
+            out.write_table(table)
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "data"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+        for batch in batches:
+            chunks = batch.column("chunk").to_numpy()
+            batch = batch.drop_columns(["chunk"])
+            edges = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(chunks) else np.zeros(0, np.int64)
+            for i, j in zip(edges, np.r_[edges[1:], len(chunks)]):
+                if parts and (chunks[i] != held or sum(p.num_rows for p in parts) >= CHUNK_ROWS):
+                    yield flush(held, parts)
+                    parts = []
+                held = int(chunks[i])
+                parts.append(batch.slice(i, j - i))
+        if parts:
+            yield flush(held, parts)
+        trim()
+
+    return rows.mapInArrow(run, "chunk bigint, data binary")
+
+
+def _unbundled(table: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in table.column("data").to_pylist()])
+
+
 class _Chunk:
     """The rows of a chunk in a fixed order, and their regions that may hold repeats, by bucket and hash."""
 
@@ -211,11 +244,12 @@ class _Chunk:
         self.doc = np.array([NONE if i is None else i for i in self.ids], np.int64)[self.text]
 
 
-def _ask_regions(docs: DataFrame, answers: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
+def _ask_regions(bundles: DataFrame, answers: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
     """A chunk's distinct regions that may hold repeats: bytes, sizes, keys and smallest documents, by bucket."""
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
-        c = _Chunk(mine, got, bits, length, gram)
+        chunk = mine.column("chunk")[0].as_py()
+        c = _Chunk(_unbundled(mine), got, bits, length, gram)
         if not len(c.new):
             return _messages([])
         low = np.minimum.reduceat(c.doc, c.new)
@@ -229,11 +263,11 @@ def _ask_regions(docs: DataFrame, answers: DataFrame, bits: int, length: int, gr
         cut = _by_bucket(c.short[c.new], bits)
         ends = np.r_[place, len(joined)]
         return _messages([
-            (b, int(mine.column("chunk")[0].as_py()), 2, _pack(joined[ends[i] : ends[j]], size[i:j].astype("<u2"), c.short[c.new][i:j].astype("<u4"), low[i:j]))
+            (b, chunk, 2, _pack(joined[ends[i] : ends[j]], size[i:j].astype("<u2"), c.short[c.new][i:j].astype("<u4"), low[i:j]))
             for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i
         ])
 
-    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, MESSAGE)
+    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, MESSAGE)
 
 
 def lowest_documents(joined: np.ndarray, size: np.ndarray, key: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +298,7 @@ def lowest_documents(joined: np.ndarray, size: np.ndarray, key: np.ndarray, low:
 
 def _ranked_minimum(text: np.ndarray, size: np.ndarray, count: np.ndarray, low: np.ndarray, length: int) -> np.ndarray:
     """The smallest document of each string of the joined texts, by the order of their suffixes."""
-    rank = suffix_ranks(text.astype(np.int64) + 1, length)
+    rank = suffix_ranks(text.astype(np.int32) + 1, length)
     at = np.repeat(np.cumsum(size) - size - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
     order = np.argsort(rank[at], kind="stable")
     ordered = at[order]
@@ -335,10 +369,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         asked = rows
     bits = max(3, ((size["b"] or 0) // BUCKET_BYTES).bit_length())
     anchors = written(_answer_anchors(_ask_anchors(asked, bits, length, gram)), "suffix-anchors")
-    regions = written(_answer_regions(_ask_regions(rows, anchors, bits, length, gram), length), "suffix-regions")
+    bundles = _bundles(asked)
+    regions = written(_answer_regions(_ask_regions(bundles, anchors, bits, length, gram), length), "suffix-regions")
     answers = anchors.unionByName(regions)
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
+        mine = _unbundled(mine)
         c = _Chunk(mine, got, bits, length, gram)
         n_of = np.zeros(len(c.new), np.int64)
         singles, firsts, manys = [], [], []
@@ -381,4 +417,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         along = {x: mine.column(f"carry_{i}").take(pa.array(c.order, pa.int64())) for i, x in enumerate(carry)}
         return pa.table({id_col: pa.array(c.ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "span_starts": pa.array(starts, spans), "span_ends": pa.array(ends, spans), "kept": pa.array(kept, pa.string() if as_text else pa.binary()), **along})
 
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
+    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))

@@ -17,7 +17,7 @@ FIELDS = ("record_id", "kind", "url", "at", "status", "etag", "last_modified", "
 
 def canonical_url(url: Column) -> Column:
     """Host in lower case without `www.`, port 80 or 443; path without last slash; query sorted, without tracking parameters; no scheme, no fragment. Null stays null."""
-    part = lambda i: F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^?#]*)(?:\?([^#]*))?", i)
+    part = lambda i: F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//)?([^/?#]*)([^?#]*)(?:\?([^#]*))?", i)
     host = F.regexp_replace(F.regexp_replace(F.lower(part(1)), r"^www\.", ""), r":(80|443)$", "")
     query = F.array_join(F.array_sort(F.filter(F.split(part(3), "&"), lambda x: (x != "") & ~x.rlike(TRACKING))), "&")
     return F.concat(host, F.regexp_replace(part(2), "/+$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))

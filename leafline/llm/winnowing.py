@@ -13,34 +13,43 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 K = 8
-#: A window is STEPS[0] * STEPS[1] positions wide: minima of STEPS[0] neighbours, then of STEPS[1] such minima.
-STEPS = (4, 6)
+#: Neighbouring k-grams of which one is kept.
+WINDOW = 24
 #: Rows that a bucket of neighbouring documents holds about, and most bounds that its ranges of ids are drawn with.
 BUCKET_ROWS, BOUNDS = 2000, 1024
 LAST = (1 << 31) - 1
 
 
-def minima(docs: DataFrame, text: str, out: str, k: int = K, steps: tuple[int, int] = STEPS, before: Column | None = None) -> DataFrame:
+def _least_of(df: DataFrame, column: str, far: int) -> DataFrame:
+    """df with each number of the array replaced by the least of it and the one `far` places on, if any."""
+    c = F.col(column)
+    return df.withColumn(column, F.zip_with(c, F.slice(c, far + 1, F.greatest(F.size(c) - far, F.lit(0))), lambda x, y: F.least(x, y)))
+
+
+def minima(docs: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW, before: Column | None = None) -> DataFrame:
     """docs with column `out`: array<bigint>, the packed choice of each window of column `text`.
 
     A text shorter than k is one k-gram; a null or empty text has no choices; a text with fewer k-grams than a window
-    is one window. `before`, a column that costs nothing to read: how many code points, with a window each, come before the text; if any do, k-grams that
-    fill no window give none.
+    is one window. `before`, a column that costs nothing to read: how many code points, with a window each, come
+    before the text; if any do, k-grams that fill no window give none.
     """
-    t, of, (a, b) = F.col(text), F.col(out), steps
+    t, of = F.col(text), F.col(out)
     shift = F.lit(0) if before is None else before
-    grams = F.when(F.char_length(t) < k, F.array(t)).otherwise(F.expr(f"regexp_extract_all(`{text}`, '(?s)(?=(.{{{k}}}))', 1)"))
+    grams = F.when(F.char_length(t) < k, F.array(t)).otherwise(F.expr(f"regexp_extract_all(`{text}`, '(?s)(?=(.{{{k}}})).', 1)"))
     packed = F.transform(grams, lambda g, i: F.shiftleft(F.xxhash64(g), 32).bitwiseOR(F.lit(LAST).cast("bigint") - i))
     df = docs.withColumn(out, F.when(F.coalesce(F.char_length(t), F.lit(0)) == 0, F.lit([]).cast("array<bigint>")).otherwise(packed))
-    df = df.withColumn(out, F.transform(of, lambda x, i: F.least(x, *[F.get(of, i + j) for j in range(1, a)]) if a > 1 else x))
-    df = df.withColumn(out, F.transform(of, lambda x, i: F.least(x, *[F.get(of, i + a * j) for j in range(1, b)]) if b > 1 else x))
-    df = df.withColumn(out, F.slice(of, 1, F.greatest(F.size(of) - (a * b - 1), F.when(shift > 0, 0).otherwise(1))))
+    width = 1
+    while width < window:  # least of width neighbours, then of twice as many or of what is left
+        step = min(width, window - width)
+        df = _least_of(df, out, step)
+        width += step
+    df = df.withColumn(out, F.slice(of, 1, F.greatest(F.size(of) - (window - 1), F.when(shift > 0, 0).otherwise(1))))
     return df if before is None else df.withColumn(out, F.transform(of, lambda x: x - before))
 
 
-def winnow(docs: DataFrame, text: str, out: str, k: int = K, steps: tuple[int, int] = STEPS) -> DataFrame:
+def winnow(docs: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW) -> DataFrame:
     """docs with column `out`: array<bigint>, the distinct packed choices of column `text`, by position; see minima()."""
-    return minima(docs, text, out, k, steps).withColumn(out, F.array_distinct(out))
+    return minima(docs, text, out, k, window).withColumn(out, F.array_distinct(out))
 
 
 def hashes(packed: Column) -> Column:
@@ -102,7 +111,7 @@ def fingerprints_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     both = with_next(rows, "id").withColumn("tie", F.xxhash64("text"))
     half = (F.char_length("text") / 2).cast("int")
-    same = F.greatest(F.lit(0), F.col("kept") - (K - 1) - (STEPS[0] * STEPS[1] - 1))
+    same = F.greatest(F.lit(0), F.col("kept") - (K - 1) - (WINDOW - 1))
     both = both.withColumn("half", half).withColumn("kept", F.char_length("text") - F.col("half")).withColumn("same", same)
     w = W.partitionBy("bucket").orderBy("visitor", F.col("id").desc_nulls_last(), "tie")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("kept")), F.substring(F.coalesce(F.lead("text").over(w), F.lit("")), F.lit(1), F.col("half")))
