@@ -27,10 +27,10 @@ def area(box: Column) -> Column:
 
 
 def intersection(a: Column, b: Column) -> Column:
-    """Common area; 0 for boxes apart."""
+    """Common area; 0 for boxes apart, null without two boxes."""
     w = F.least(_at(a, 2), _at(b, 2)) - F.greatest(_at(a, 0), _at(b, 0))
     h = F.least(_at(a, 3), _at(b, 3)) - F.greatest(_at(a, 1), _at(b, 1))
-    return F.greatest(F.lit(0.0), w) * F.greatest(F.lit(0.0), h)
+    return F.when((F.size(a) == 4) & (F.size(b) == 4), F.greatest(F.lit(0.0), w) * F.greatest(F.lit(0.0), h))
 
 
 def iou(a: Column, b: Column) -> Column:
@@ -86,7 +86,7 @@ def transposed(box: Column) -> Column:
 
 
 def clamped(value: Column, limit: float) -> Column:
-    return F.greatest(F.lit(-limit), F.least(F.lit(limit), value))
+    return F.when(value.isNotNull(), F.greatest(F.lit(-limit), F.least(F.lit(limit), value)))
 
 
 def shifted(box: Column, dx: Column, dy: Column, dw: Column, dh: Column, limit: float = 80.0) -> Column:

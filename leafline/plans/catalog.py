@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.functions import boxes, text
-from leafline.operators import aggregates, assignment, joins, ordering, structure, windows
+from leafline.operators import aggregates, assignment, evaluation, extraction, joins, ordering, structure, windows
 from leafline.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -525,3 +525,39 @@ def q49_grading(t):
 def q50_improved(t):
     before, after = [F.lit(1), F.lit(2), -F.col("l_linenumber")], [F.lit(1), F.lit(2), F.lit(-3)]
     return t("lineitem").select("l_orderkey", "l_linenumber", aggregates.improved(before, after).alias("improved"))
+
+
+@query()
+def q38_readiness(t):
+    """Conversations as documents: an item for each role, a slot for each of its turns."""
+    r = F.struct(
+        F.array(*[F.lit(float(x)) for x in (0, 0, 500, 100)]).alias("answer_bbox"), F.col("text").alias("transcription"), (F.char_length("text") % 11 != 0).alias("legible"),
+        F.lit("handwriting").alias("content_kind"), (F.lit(0.5) + (F.char_length("text") % 5) / 10).alias("confidence"),
+    )
+    w = W.partitionBy("conv_id", "role").orderBy("turn", F.xxhash64("text"))
+    slot = F.struct(F.col("i").alias("index"), F.lit("answer_part").alias("label"), F.lit("").alias("anchor_before"), F.lit("").alias("anchor_after"), F.array(r).alias("regions"), F.lit(0.9).alias("confidence"))
+    doc = F.col("conv_id").cast("string").alias("document_id")
+    items = t("conversations").withColumn("i", F.row_number().over(w)).groupBy("conv_id", "role").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
+    item = F.struct(F.col("role").alias("item_id"), F.lit(1).alias("page_index"), F.lit("single").alias("answer_layout"), "slots", F.lit(0.9).alias("confidence"))
+    pages = items.groupBy(doc).agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("response"))
+    pages = pages.select("document_id", F.lit(1).alias("page_index"), F.lit(1654).alias("width"), F.lit(2338).alias("height"), "response")
+    expected = t("conversations").groupBy(doc, F.col("role").alias("item_id")).agg(F.lit("short").alias("item_type"), F.count(F.lit(1)).cast("int").alias("expected_slot_count"))
+    return extraction.readiness(pages, expected).drop("faults")
+
+
+@query("""
+    WITH s AS (SELECT p_partkey, p_brand, p_size::DOUBLE AS w, (p_partkey % 7)::DOUBLE AS d, p_partkey % 5 <> 0 AS found, p_partkey % 3 = 0 AS same FROM part),
+    i AS (SELECT *, greatest(0, 10 + w - d) * 20 AS c, (10 + w) * 20 AS a FROM s),
+    m AS (SELECT p_brand, count(*) AS slots_expected, count_if(found) AS slots_predicted, count_if(found AND c / greatest(1, 2 * a - c) >= 0.5) AS slots_matched, count_if(found AND same) AS slot_text_exact FROM i GROUP BY 1)
+    SELECT p_brand AS case_id, slots_expected, slots_predicted::BIGINT AS slots_predicted, slots_matched::BIGINT AS slots_matched, slot_text_exact::BIGINT AS slot_text_exact,
+           slots_matched::DOUBLE / nullif(slots_expected, 0) AS slot_recall_iou50, slots_matched::DOUBLE / nullif(slots_predicted, 0) AS slot_precision_iou50, slot_text_exact::DOUBLE / nullif(slots_expected, 0) AS slot_text_exact_match FROM m
+""")
+def q51_slot_evaluation(t):
+    w, d = F.col("p_size").cast("double"), (F.col("p_partkey") % 7).cast("double")
+    flat = lambda x: F.array(x, F.lit(0.0), x + 10 + w, F.lit(20.0))
+    base = t("part").select(F.col("p_brand").alias("case_id"), F.lit("i").alias("item_id"), F.col("p_partkey").cast("string").alias("slot_id"), F.lit(1).alias("page_index"), F.lit(0).alias("ord"), flat(F.lit(0.0)).alias("box"), flat(d).alias("moved"), "p_partkey")
+    truth = base.withColumn("text", F.lit("A"))
+    found = base.filter("p_partkey % 5 <> 0").withColumn("box", F.col("moved")).withColumn("text", F.when(F.col("p_partkey") % 3 == 0, " A").otherwise("B"))
+    none_q, none_i = base.select("case_id", F.lit("q").alias("question_id")).distinct(), base.select("case_id", "item_id", "ord", F.array(F.lit("x")).alias("answer"))
+    counted = evaluation.counts(none_q, none_q, none_i.drop("ord").distinct(), none_i.distinct(), truth, found)
+    return evaluation.metrics(counted).select("case_id", "slots_expected", "slots_predicted", "slots_matched", "slot_text_exact", "slot_recall_iou50", "slot_precision_iou50", "slot_text_exact_match")

@@ -30,6 +30,11 @@ def test_missing_box(spark):
     assert one(spark, boxes.valid_box(F.lit(None).cast("array<double>"))) is False
 
 
+def test_nulls_stay_null(spark):
+    none = F.lit(None).cast("array<double>")
+    assert one(spark, boxes.iou(none, box(0, 0, 1, 1)), boxes.containment(box(0, 0, 1, 1), none), boxes.clamped(F.lit(None).cast("double"), 80.0)) == (None, None, None)
+
+
 def test_region_reasons_come_in_order(spark):
     w, h = F.lit(100.0), F.lit(100.0)
     assert one(spark, boxes.region_reasons(box(0, 0, 101, 90), F.lit("b"), F.lit("a"), w, h)) == ["WRONG_PAGE", "TOO_LARGE", "OUT_OF_BOUNDS"]
