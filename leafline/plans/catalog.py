@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from leafline import ship
 from leafline.functions import boxes, text
 from leafline.operators import aggregates, assignment, evaluation, extraction, joins, ordering, structure, windows
 from leafline.streaming import arrivals
@@ -21,6 +22,7 @@ def query(sql: str | None = None):
 
     def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         QUERIES[f.__name__] = run
