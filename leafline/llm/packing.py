@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from leafline.llm.bpe import WORDS, byte_symbols
 from leafline.llm.spfhp import pack_histogram
-from leafline.llm.storage import written
+from leafline.llm.storage import tune, written
 
 SIZE = 1024
 END = 0
@@ -94,7 +94,7 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, keep_ids: bool = False, i
     packed row by row; other columns are dropped. An empty table gives no rows. The driver gets the histogram of
     lengths, at most `size` lines; ids are read once and not shuffled unless kept.
     """
-    spark = docs.sparkSession
+    spark = tune(docs.sparkSession)
     pieces = written(pieces_of(docs, path, size, keep_ids, id_col, text_col), "pack-pieces")
     counts = written(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafline import ship
+
 #: Bits of the filter of likely(); when full it lets all rows pass.
 FILTER_BITS = 1 << 23
 
@@ -32,7 +34,7 @@ def tune(spark: SparkSession) -> SparkSession:
     """The session, with batches sized for documents unless they were sized already."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark
+    return ship(spark)
 
 
 def trim() -> None:

@@ -170,7 +170,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     A null or empty text has no windows and gets the score of no evidence. Null ids, repeated rows and ties are scored
     row by row. An empty table gives none. Whole texts are scored; no shuffle. id_col takes no part in the score.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of fixed size
+    shared = tune(docs.sparkSession).sparkContext.broadcast(model)  # two dictionaries of fixed size
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
