@@ -26,6 +26,8 @@ from leafline.llm.storage import likely, trim, tune, without, written
 from leafline.llm.wordhash import U, all_words, mixed
 
 GROUPS = 64
+#: Sets of FINE_FROM members or more have FINE groups, a multiple of GROUPS: the bound of few groups says little of large sets.
+FINE, FINE_FROM = 512, 512
 #: Members of a block or group that one task compares with one another.
 BLOCK = 1024
 #: Share of documents from which a shingle counts as common, and documents looked at together to find it.
@@ -148,7 +150,7 @@ def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> Dat
                 h, owner = h[keep], owner[keep]
                 n = np.bincount(owner, minlength=part.num_rows)
                 first = np.cumsum(n) - n
-                vec = np.bincount(owner * GROUPS + (h >> U(58)).astype(np.int64), minlength=part.num_rows * GROUPS).astype("<u4").reshape(-1, GROUPS)
+                vec = np.bincount(owner * FINE + (h >> U(64 - FINE.bit_length() + 1)).astype(np.int64), minlength=part.num_rows * FINE).reshape(-1, FINE)
                 some = n > 0
                 sig = [np.zeros(part.num_rows, U) for _ in range(2)]
                 if len(h):
@@ -163,7 +165,7 @@ def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> Dat
                     h = h[order][place < (n - -(-num * n // den) + 1)[owner]]
                 ends = np.cumsum(np.where(some, n - -(-num * n // den) + 1, 0))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(sig[0].astype(np.int64)), pa.array(sig[1].astype(np.int64)), pa.array(_packed(vec), pa.binary()),
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(sig[0].astype(np.int64)), pa.array(sig[1].astype(np.int64)), pa.array(_packed(vec, n), pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h.astype(np.int64)))],
                     ["at", "n", "sig_a", "sig_b", "vec", "prefix"],
                 )
@@ -180,16 +182,35 @@ def in_parts(df: DataFrame, key: str, order: list[str], block: int, least: int =
     return other.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("rows_", "other")
 
 
-def _packed(vec: np.ndarray) -> list[bytes]:
-    """Counts as bytes, or as four bytes each where one needs more."""
-    small = vec.max(axis=1) < 256
-    return [(v.astype("u1") if s else v).tobytes() for v, s in zip(vec, small)]
+def _packed(fine: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Counts of each set in its number of groups, as bytes, or as four bytes each where one needs more."""
+    coarse = fine.reshape(-1, GROUPS, FINE // GROUPS).sum(axis=2)
+    rows = [f if k >= FINE_FROM else c for f, c, k in zip(fine, coarse, n)]
+    return [r.astype("u1" if r.max() < 256 else "<u4").tobytes() for r in rows]
 
 
-def _unpacked(vecs: list[bytes]) -> np.ndarray:
-    if all(len(v) == GROUPS for v in vecs):
-        return np.frombuffer(b"".join(vecs), "u1").reshape(-1, GROUPS).astype(np.int32)
-    return np.array([np.frombuffer(v, "u1" if len(v) == GROUPS else "<u4") for v in vecs]).astype(np.int64).reshape(-1, GROUPS)
+class _Points:
+    """Count vectors in GROUPS groups, and in FINE ones for the sets that have them."""
+
+    def __init__(self, vecs: list[bytes]) -> None:
+        kinds = {GROUPS: "u1", 4 * GROUPS: "<u4", FINE: "u1", 4 * FINE: "<u4"}
+        rows = [np.frombuffer(v, kinds[len(v)]) for v in vecs]
+        large = np.array([len(r) == FINE for r in rows], bool)
+        self.fine = np.array([r for r in rows if len(r) == FINE], np.int32).reshape(-1, FINE)
+        self.place = np.where(large, np.cumsum(large) - 1, -1)
+        self.coarse = np.empty((len(rows), GROUPS), np.int32)
+        self.coarse[large] = self.fine.reshape(-1, GROUPS, FINE // GROUPS).sum(axis=2)
+        self.coarse[~large] = np.array([r for r in rows if len(r) == GROUPS], np.int32).reshape(-1, GROUPS)
+
+    def fits(self, a: np.ndarray, b: np.ndarray, needed: np.ndarray) -> np.ndarray:
+        """Of pairs of rows that pass in GROUPS groups, those that do in FINE ones too, where both sets have them."""
+        pa_, pb = self.place[a], self.place[b]
+        out = np.ones(len(a), bool)
+        both = np.flatnonzero((pa_ >= 0) & (pb >= 0))
+        for i in range(0, len(both), 2048):
+            k = both[i : i + 2048]
+            out[k] = np.minimum(self.fine[pa_[k]], self.fine[pb[k]]).sum(axis=1) >= needed[k]
+        return out
 
 
 def _edge_table(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -223,7 +244,8 @@ def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["h", "i", "j"]):
             at, n, part = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "n", "part"))
-            vec = _unpacked(table.column("vec").to_pylist())
+            points = _Points(table.column("vec").to_pylist())
+            vec = points.coarse
             ids = np.cumsum(np.r_[0, np.any([np.diff(table.column(c).to_numpy()) != 0 for c in ("h", "i", "j")], axis=0)])
             size = np.bincount(ids)
             found = []
@@ -233,17 +255,21 @@ def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> Da
                 r = l + lag
                 ok = n[r] * num <= n[l] * den
                 l, r = l[ok], r[ok]
-                ok = np.minimum(vec[l], vec[r]).sum(axis=1) >= overlap_needed(n[l], n[r], num, den)
+                needed = overlap_needed(n[l], n[r], num, den)
+                ok = np.minimum(vec[l], vec[r]).sum(axis=1) >= needed
+                l, r, needed = l[ok], r[ok], needed[ok]
+                ok = points.fits(l, r, needed)
                 found.append((at[l[ok]], at[r[ok]]))
             start = np.cumsum(size) - size
             for b in np.flatnonzero(size > 8):
                 s = slice(start[b], start[b] + size[b])
                 tree = CountVectorRTree(vec[s], n[s])
-                p, q, m = vec[s], part[s], n[s]
+                p, q, m, base = vec[s], part[s], n[s], start[b]
                 crossing = q.min() != q.max()
 
                 def ask(i: int, unseen: np.ndarray) -> np.ndarray:
-                    return tree.near(p[i], int(m[i]), num, den, unseen & (q != q[i]) if crossing else unseen)
+                    near = tree.near(p[i], int(m[i]), num, den, unseen & (q != q[i]) if crossing else unseen)
+                    return near[points.fits(np.full(len(near), base + i), base + near, overlap_needed(m[near], m[i], num, den))]
 
                 e = np.array(list(spanning(size[b], ask)), np.int64).reshape(-1, 2)
                 found.append((at[s][e[:, 0]], at[s][e[:, 1]]))
@@ -265,6 +291,7 @@ def verified(grouped: DataFrame, k: int, num: int, den: int) -> DataFrame:
         owner, h = np.divmod(flat, h.max() + 1 if len(h) else 1)
         n = np.bincount(owner, minlength=len(at))
         first = np.cumsum(n) - n
+        trim()
         mark = np.zeros(h.max() + 1 if len(h) else 1, bool)
         crossing = part.min() != part.max()
 
