@@ -15,7 +15,7 @@ def _dense(*columns: np.ndarray) -> np.ndarray:
             value += c
         else:
             value = c
-        order = np.argsort(value, kind="stable")
+        order = np.argsort(value)
         value = value[order]
         steps = np.zeros(len(value), np.int32)
         np.cumsum(value[1:] != value[:-1], out=steps[1:], dtype=np.int32)

@@ -300,7 +300,7 @@ def _ranked_minimum(text: np.ndarray, size: np.ndarray, count: np.ndarray, low:
     """The smallest document of each string of the joined texts, by the order of their suffixes."""
     rank = suffix_ranks(text.astype(np.int32) + 1, length)
     at = np.repeat(np.cumsum(size) - size - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-    order = np.argsort(rank[at], kind="stable")
+    order = np.argsort(rank[at])
     ordered = at[order]
     differ = np.ones(len(at), bool)
     for i in range(0, len(at) - 1, 1 << 15):
@@ -391,13 +391,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
             for k, (_, r) in enumerate(c.runs):
                 own = np.flatnonzero(c.run == k)
                 start, content, doc = r.start[c.row[own]], which[own], c.doc[own]
-                for i in range(int(c.count[own].max()) if len(own) else 0):
-                    has = c.count[own] > i
-                    at = content[has]
-                    least = lowest[at]
-                    several = ~single[at]
-                    least[several] = many[begin[at[several]] + i]
-                    gone = start[has][least < doc[has]] + i
+                whole = single[content] & (lowest[content] < doc)  # all strings go: one run
+                np.add.at(lost[k], start[whole], 1)
+                np.add.at(lost[k], start[whole] + c.count[own][whole] - 1 + length, -1)
+                some = ~single[content]
+                start, content, doc, size = start[some], content[some], doc[some], c.count[own][some]
+                for i in range(int(size.max()) if len(size) else 0):
+                    has = size > i
+                    gone = start[has][many[begin[content[has]] + i] < doc[has]] + i
                     lost[k][gone] += 1
                     lost[k][gone + length] -= 1
         n_bytes, starts, ends, kept = [], [], [], []
