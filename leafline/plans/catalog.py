@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leafline import ship
 from leafline.functions import boxes, text
-from leafline.operators import aggregates, assignment, evaluation, extraction, joins, ordering, structure, windows
+from leafline.operators import aggregates, assignment, candidates, evaluation, extraction, joins, ordering, structure, windows
 from leafline.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -563,3 +563,64 @@ def q51_slot_evaluation(t):
     none_q, none_i = base.select("case_id", F.lit("q").alias("question_id")).distinct(), base.select("case_id", "item_id", "ord", F.array(F.lit("x")).alias("answer"))
     counted = evaluation.counts(none_q, none_q, none_i.drop("ord").distinct(), none_i.distinct(), truth, found)
     return evaluation.metrics(counted).select("case_id", "slots_expected", "slots_predicted", "slots_matched", "slot_text_exact", "slot_recall_iou50", "slot_precision_iou50", "slot_text_exact_match")
+
+
+@query("""
+    WITH s AS (SELECT event_type AS page, count(DISTINCT user_id % 5) AS n FROM events GROUP BY 1), v AS (SELECT event_type AS page, (user_id % 7)::INT AS x, count_if(value > 50) AS votes, quantile_cont(value, 0.75) AS b FROM events GROUP BY 1, 2)
+    SELECT page, x, votes::BIGINT AS votes, votes >= greatest(2, ceil(n * 0.7)) AS stable, round(b, 6) AS brightness FROM v JOIN s USING (page)
+""")
+def q52_cohort_votes(t):
+    pixels = t("events").select(F.col("event_type").alias("page"), (F.col("user_id") % 5).alias("sheet"), (F.col("user_id") % 7).cast("int").alias("x"), F.lit(0).alias("y"), "value", (F.col("value") > 50).alias("ink"))
+    return candidates.cohort_votes(pixels).select("page", "x", "votes", "stable", F.round("brightness", 6).alias("brightness"))
+
+
+@query("""
+    SELECT c_custkey, coalesce(o.k, s.k, -1) AS k FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, max(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) o USING (c_custkey)
+    LEFT JOIN (SELECT s_suppkey AS c_custkey, -s_suppkey AS k FROM supplier) s USING (c_custkey)
+""")
+def q53_fallback_chain(t):
+    pending = t("orders").filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderkey").alias("k"))
+    other = t("supplier").select(F.col("s_suppkey").alias("c_custkey"), (-F.col("s_suppkey")).alias("k"))
+    return joins.first_of(t("customer").select("c_custkey"), [pending, other], ["c_custkey"], "k").withColumn("k", F.coalesce("k", F.lit(-1)))
+
+
+@query("""
+    SELECT conv_id, count(*)::BIGINT AS n, CASE WHEN bool_and(role <> 'system') AND bool_or(regexp_matches(upper(substr(text, 1, 1)), '^[A-H]$')) THEN 1 ELSE count(*) END::BIGINT AS n_items FROM conversations GROUP BY 1
+""")
+def q54_collapsed_choices(t):
+    rows = t("conversations").select("conv_id", "turn", F.when(F.col("role") != "system", "choice").otherwise("fill").alias("kind"), F.upper(F.substring("text", 1, 1)).alias("label"), F.array("role").alias("refs"))
+    out = structure.collapsed_choices(rows, ["conv_id"], "turn", "kind", "label", "refs")
+    return rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).join(out, "conv_id").select("conv_id", "n", "n_items")
+
+
+@query("""
+    WITH c AS (SELECT o_custkey, list_distinct(list(o_orderpriority)) AS a FROM orders GROUP BY 1), s AS (SELECT list_distinct(list(o_orderpriority)) AS b FROM orders WHERE o_orderpriority < '4')
+    SELECT o_custkey, len(list_intersect(a, b)) >= 0.65 * len(b) AND len(list_filter(a, lambda x: NOT list_contains(b, x))) <= greatest(2, round_even(len(b) * 0.25, 0)) AS accepted FROM c, s
+""")
+def q55_candidate_gate(t):
+    named = t("orders").filter("o_orderpriority < '4'").agg(F.collect_set("o_orderpriority").alias("b")).first()["b"]  # a handful of names
+    rows = t("orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("a"))
+    return rows.select("o_custkey", structure.candidate_gate(F.col("a"), F.array(*[F.lit(x) for x in named]).cast("array<string>")).alias("accepted"))
+
+
+@query("SELECT vec_id, x2 > x1 AND x2 <= 1654 AND y2 > y1 AND y2 <= 2338 AS valid, round((x2 - x1) * (y2 - y1), 3) AS area FROM (SELECT vec_id, round(abs(embedding[1]::DOUBLE) * 1000, 3) AS x1, round(abs(embedding[2]::DOUBLE) * 1000, 3) AS y1, round(abs(embedding[1]::DOUBLE) * 1000, 3) + round(abs(embedding[3]::DOUBLE) * 1000, 3) + 1 AS x2, round(abs(embedding[2]::DOUBLE) * 1000, 3) + round(abs(embedding[4]::DOUBLE) * 1000, 3) + 1 AS y2 FROM embeddings)")
+def q56_valid_boxes(t):
+    return _vector_boxes(t).select("vec_id", boxes.valid_box(F.col("box")).alias("valid"), F.round(boxes.area(F.col("box")), 3).alias("area"))
+
+
+@query()
+def q57_scored_candidates(t):
+    rows = _vector_boxes(t)
+    flag = F.col("vec_id") % 9 == 0
+    blocks = rows.select(F.col("label").alias("page"), F.col("vec_id").alias("block_ord"), F.col("box").alias("block_box"), F.concat(F.lit("block "), "vec_id").alias("text"), F.lit(0.9).alias("confidence"), flag.alias("printed"), F.lit(False).alias("foreign_printed"), F.lit(0.0).alias("excluded"))
+    slots = rows.filter("vec_id % 10 = 0").select(F.col("vec_id").cast("string").alias("slot_id"), F.col("label").alias("page"), F.col("box").alias("proposal"), F.array(*[F.lit(float(x)) for x in (0, 0, 1654, 2338)]).alias("domain"), F.lit(None).cast("array<double>").alias("stem"), F.lit("fill").alias("kind"), F.lit(False).alias("multi_line"), F.lit(False).alias("broad_hint"))
+    return candidates.scored_candidates(slots, blocks).select("slot_id", "page", "block_ord", "score", "eligible")
+
+
+@query("""
+    SELECT user_id, event_id, round(epoch_us(ts) / 1e6 - epoch_us(prev) / 1e6, 3) AS seconds FROM (SELECT *, lag(ts) OVER w AS prev, lag(event_type) OVER w AS kind FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE kind = 'view' AND event_type <> 'view'
+""")
+def q58_phase_seconds(t):
+    w = W.partitionBy("user_id").orderBy("ts", "event_id")
+    rows = t("events").withColumn("at", F.col("ts")).withColumn("n", F.row_number().over(w))
+    return windows.phase_seconds(rows, ["user_id"], "at", F.col("event_type") == "view").select("user_id", "event_id", F.round("seconds", 3).alias("seconds"))
