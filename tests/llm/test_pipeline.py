@@ -4,15 +4,14 @@ from leafline.llm.storage import documents
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages_one_by_one(spark):
+def test_stages_one_by_one(spark, tmp_path):
     docs = documents(spark, SF)
     was = {r["doc_id"]: r["text"] for r in docs.collect()}
-    path = "/tmp/leafline-stage"
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == list(corpus_pipeline.COLUMNS)
-        out.write.mode("overwrite").parquet(f"{path}-{name}")
-        docs = spark.read.parquet(f"{path}-{name}")
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
         now = {r["doc_id"]: r["text"] for r in docs.collect()}
         assert set(now) <= set(was) and len(now) > len(was) * 0.5
         if name == "exact_dedup":
