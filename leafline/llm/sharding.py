@@ -46,7 +46,7 @@ def _greedy(big: list[tuple[int, int]], n_shards: int) -> dict[int, list[int]]:
     return out
 
 
-def shard(docs: DataFrame, n_shards: int = 16, law: str = "bytes", ranges: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 16, law: str = "bytes", ranges: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, size, text_crc32, law, shard, slot) of each row.
 
     law `bytes`: shards' summed sizes (UTF-8 bytes plus 1) are near equal; `rows`: their counts differ by one at most.
@@ -54,7 +54,7 @@ def shard(docs: DataFrame, n_shards: int = 16, law: str = "bytes", ranges: int =
     shard. All others are range-partitioned, each shard taking what it has room for, so its weight is within 1/LARGE
     of its share unless one row weighs more than a shard. A null text has size 1 and the checksum of no bytes. Null
     and repeated ids and repeated rows are rows like others. An empty table gives no rows. Copies are neighbours in
-    key order. Shuffles carry keys and sizes only; the driver gets the sample, the large rows and a line per range.
+    key order. ranges: 256, and one for each half a million rows, 8192 at most. Shuffles carry keys and sizes only; the driver gets the sample, the large rows and a line per range.
     """
     if law not in ("bytes", "rows"):
         raise ValueError(f"unknown law {law!r}")
@@ -65,7 +65,9 @@ def shard(docs: DataFrame, n_shards: int = 16, law: str = "bytes", ranges: int =
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), F.xxhash64(F.col(id_col), F.lit(1)).alias("tie"), F.monotonically_increasing_id().alias("at"),
     )
     rows = written(rows.withColumn("weight", F.col("size") if law == "bytes" else F.lit(1).cast("bigint")), "shard-rows")
-    total = rows.agg(F.sum("weight").alias("w")).first()["w"] or 0
+    summed = rows.agg(F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n")).first()
+    total = summed["w"] or 0
+    ranges = ranges or max(256, min(8192, summed["n"] // 500_000))
     is_big = F.col("weight") * n_shards * LARGE > total
     big = [(r["weight"], r["at"]) for r in rows.filter(is_big).select("weight", "at").collect()]
     dealt = _greedy(big, n_shards)
