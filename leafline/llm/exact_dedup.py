@@ -85,7 +85,7 @@ def exact_dedup(
     state = written(keep_largest(spark, keys), "dedup-kept")
     hits = state.filter("group_size > 1").select("digest", "n_bytes")
     texts = rows.select(digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"), "text")
-    met = likely(texts, hits, ["digest", "n_bytes"]).join(hits, ["digest", "n_bytes"], "left_semi")
+    met = likely(texts, hits, ["digest", "n_bytes"]).join(hits, ["digest", "n_bytes"])  # keys of hits are unique; Spark would push a semi join below the filter
     compared = met.groupBy("digest", "n_bytes").agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b").select("digest", "n_bytes")
     collided = written(compared, "dedup-collided")
     out = keys.join(state, ["digest", "n_bytes"]).select("id", F.col("keep.id").alias("keep_id"), "group_size", (F.col("locator") == F.col("keep.locator")).alias("kept"), "digest", "n_bytes")

@@ -99,7 +99,8 @@ def without(df: DataFrame, dropped: DataFrame, keys: list[str], checked: DataFra
     hit = F.coalesce(F.expr("getbit(bits_, bit_ % 64)") == 1, F.lit(False))
     gone = dropped.select(*[F.col(k).alias(f"gone_{i}") for i, k in enumerate(keys)]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"gone_{i}")) for i, k in enumerate(keys)]
-    checked_rows = met.filter(hit).select(*df.columns).join(gone, same, "left_anti")
+    # an outer join, as Spark would push an anti join below the filter
+    checked_rows = met.filter(hit).select(*df.columns).join(gone.withColumn("gone_", F.lit(1)), same, "left").filter("gone_ is null").select(*df.columns)
     if checked is not None:
         checked_rows = checked_rows.dropDuplicates(keys)
     return met.filter(~hit).select(*df.columns).unionByName(checked_rows)
