@@ -26,8 +26,8 @@ from leafline.llm.storage import likely, trim, tune, without, written
 from leafline.llm.wordhash import U, all_words, mixed
 
 GROUPS = 64
-#: Sets of FINE_FROM members or more have FINE groups, a multiple of GROUPS: the bound of few groups says little of large sets.
-FINE, FINE_FROM = 512, 512
+#: Groups of large sets, a multiple of GROUPS: the bound of few groups says little of these.
+FINE = 512
 #: Members of a block or group that one task compares with one another.
 BLOCK = 1024
 #: Share of documents from which a shingle counts as common, and documents looked at together to find it.
@@ -137,6 +137,7 @@ def common_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
 def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> DataFrame:
     """(at, n, sig_a, sig_b, vec, prefix) of each row (at, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(common)  # bounded, see common_shingles
+    large = fine_from(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
@@ -165,7 +166,7 @@ def sets(docs: DataFrame, k: int, num: int, den: int, common: np.ndarray) -> Dat
                     h = h[order][place < (n - -(-num * n // den) + 1)[owner]]
                 ends = np.cumsum(np.where(some, n - -(-num * n // den) + 1, 0))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(sig[0].astype(np.int64)), pa.array(sig[1].astype(np.int64)), pa.array(_packed(vec, n), pa.binary()),
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(sig[0].astype(np.int64)), pa.array(sig[1].astype(np.int64)), pa.array(_packed(vec, n, large), pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h.astype(np.int64)))],
                     ["at", "n", "sig_a", "sig_b", "vec", "prefix"],
                 )
@@ -182,10 +183,20 @@ def in_parts(df: DataFrame, key: str, order: list[str], block: int, least: int =
     return other.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("rows_", "other")
 
 
-def _packed(fine: np.ndarray, n: np.ndarray) -> list[bytes]:
+def fine_from(num: int, den: int) -> int:
+    """Size from which sets have FINE groups: up to it, unrelated sets of that size differ over GROUPS groups by 1.5 times what similar ones may.
+
+    Counts of a group differ by 1.128 times the root of their mean for unrelated sets; similar sets differ in all by
+    2 (1 - t) / (1 + t) of their size.
+    """
+    t = num / den
+    return int(GROUPS * (1.128 / (1.5 * 2 * (1 - t) / (1 + t))) ** 2) if t < 1 else 1 << 62
+
+
+def _packed(fine: np.ndarray, n: np.ndarray, large: int) -> list[bytes]:
     """Counts of each set in its number of groups, as bytes, or as four bytes each where one needs more."""
     coarse = fine.reshape(-1, GROUPS, FINE // GROUPS).sum(axis=2)
-    rows = [f if k >= FINE_FROM else c for f, c, k in zip(fine, coarse, n)]
+    rows = [f if k >= large else c for f, c, k in zip(fine, coarse, n)]
     return [r.astype("u1" if r.max() < 256 else "<u4").tobytes() for r in rows]
 
 
@@ -239,7 +250,11 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[s
 
 def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) that connect, in each block (h) of postings (h, at, n), the points (at, vec) that may be similar enough."""
-    rows = in_parts(postings, "h", ["n", "at"], BLOCK, least=2).join(points, "at").select("h", "i", "j", "part", "at", "n", "vec").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n", "at")
+    # a member whose neighbours in order of size are too small and too large has none to be compared with
+    w = W.partitionBy("h").orderBy("n", "at")
+    n = F.col("n").cast("bigint")
+    met = postings.withColumn("smaller", F.lag(n).over(w)).withColumn("larger", F.lead(n).over(w)).filter((F.col("smaller") * den >= n * num) | (n * den >= F.col("larger") * num)).select("h", "at", "n")
+    rows = in_parts(met, "h", ["n", "at"], BLOCK, least=2).join(points, "at").select("h", "i", "j", "part", "at", "n", "vec").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["h", "i", "j"]):
