@@ -27,7 +27,8 @@ from leafline.llm.wordhash import U, all_words, mixed
 
 #: Hashes of the start and the end of a text.
 START, END = U(0x51A7), U(0xE9D)
-#: Weight of the unigram distribution in a state, in observations; discount of the unigrams.
+#: Weight of the unigram distribution in a state, in observations; discount of the unigrams. Of weights from 3 to a million, 300
+#: scores best within the training fold of sf0.1: rows of remainder 2 by those of 0, 3 and 4.
 PRIOR, DISCOUNT = 300.0, 0.5
 #: Documents of a chunk; bytes of text for which there is one bucket.
 CHUNK_ROWS, BUCKET_BYTES = 3000, 8 << 20
