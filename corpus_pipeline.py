@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm.exact_dedup import exact_dedup
-from leafline.llm.jaccard import jaccard_classes
+from leafline.llm.exact_dedup import exact_dedup, text_digest
+from leafline.llm.jaccard import jaccard_copies, row_key
 from leafline.llm.packing import pack
 from leafline.llm.queries import held_out
 from leafline.llm.storage import documents, place_in_files, without, written
@@ -26,16 +26,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal after lower-casing A-Z, the row with the largest doc_id; of its repetitions one."""
-    found = written(exact_dedup(docs).select("doc_id", "keep_id", "kept"), "pipeline-exact")
+    """Of texts equal after lower-casing A-Z, the row with the largest doc_id; of its repetitions one. A row is known by its doc_id, null or not, and its text's digest."""
+    found = written(exact_dedup(docs).select("doc_id", "keep_id", "kept", "digest"), "pipeline-exact")
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    return without(docs.select(*COLUMNS), found.filter(~same), ["doc_id"], checked=found.filter(same & ~F.col("kept")))
+    rows = docs.select(*COLUMNS, text_digest(F.col("text")).alias("digest"))
+    return without(rows, found.filter(~same), ["doc_id", "digest"], checked=found.filter(same & ~F.col("kept"))).select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles with a similarity of 0.8 or more, the smallest doc_id."""
-    found = written(jaccard_classes(docs, k=5, num=80, den=100), "pipeline-near")
-    return without(docs.select(*COLUMNS), found.filter("component_id <> doc_id").select("doc_id"), ["doc_id"])
+    """Of each group linked by five-word shingles with a similarity of 0.8 or more, the row with the smallest doc_id; of rows repeated whole one."""
+    dropped, repeated = jaccard_copies(docs, k=5, num=80, den=100)
+    rows = docs.select(*COLUMNS, row_key(F.col("doc_id"), F.col("text")).alias("at"))
+    return without(rows, written(dropped, "pipeline-near"), ["at"], checked=repeated).select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,11 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def text_digest(text: Column) -> Column:
+    """The `digest` that exact_dedup gives a text by default."""
+    return sha256(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))))
+
+
 def keep_largest(spark: SparkSession, keys: DataFrame) -> DataFrame:
     """(digest, n_bytes, keep struct<id, locator>, group_size) of the rows (digest, n_bytes, id, locator) of a table in a folder, gathered by a stream over that folder."""
     before = {k: spark.conf.get(k, None) for k in STORE}

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -329,16 +329,15 @@ def verified(grouped: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return rows.repartition(tasks, "component", "i", "j").groupBy("component", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
-def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id) of each row: sets of k-word shingles, linked when den * intersection >= num * union; component_id is the smallest id reachable by links.
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A long that stands for a row; rows of equal id and text have the same."""
+    return F.xxhash64(doc_id, text.cast("string"))
 
-    Words are runs of characters other than ASCII white space, A-Z taken as a-z. A text of fewer than k words is one
-    shingle; a null, empty or blank one has none and is linked with nothing, its component_id its own id. Rows without
-    id count as larger than any other; repeated rows are linked like copies. An empty table gives no rows; other
-    columns are dropped. Links rest on 64-bit hashes of words.
-    """
+
+def _classes(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, at, n, component_id, kept_at) of each row, kept_at the key of the row that stays of its group, null without shingles; and the keys (at) of rows that repeat."""
     tune(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("at", F.xxhash64("id", "text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("at", row_key(F.col("id"), F.col("text")))
     n_docs = rows.count()
     made = written(sets(rows, k, num, den, common_shingles(rows, k, n_docs)), "jaccard-sets")
     ids = written(rows.select("id", "at"), "jaccard-ids")
@@ -356,6 +355,27 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     linked = components(verified(texts, k, num, den))
     linked = linked.select(F.col("node").alias("rep"), F.col("component"))
     labelled = lowest.join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    least = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = written(labelled.join(least, "component").select("n", "sig_a", "sig_b", "component_id"), "jaccard-named")
-    return every.join(named, ["n", "sig_a", "sig_b"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("id")).alias("component_id"))
+    least = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.min_by("rep", F.struct(F.col("low").isNull(), "low", "rep")).alias("kept_at"))
+    named = written(labelled.join(least, "component").select("n", "sig_a", "sig_b", "component_id", "kept_at"), "jaccard-named")
+    return every.join(named, ["n", "sig_a", "sig_b"], "left").select("id", "at", "n", F.coalesce("component_id", F.col("id")).alias("component_id"), "kept_at"), repeated
+
+
+def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_shingles, component_id) of each row: sets of k-word shingles, linked when den * intersection >= num * union; component_id is the smallest id reachable by links.
+
+    Words are runs of characters other than ASCII white space, A-Z taken as a-z. A text of fewer than k words is one
+    shingle; a null, empty or blank one has none and is linked with nothing, its component_id its own id. Rows without
+    id count as larger than any other; repeated rows are linked like copies. An empty table gives no rows; other
+    columns are dropped. Links rest on 64-bit hashes of words.
+    """
+    found, _ = _classes(docs, k, num, den, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def jaccard_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Keys (`at`, see row_key) of the rows that do not stay, one row staying of each group that jaccard_classes links: that with the smallest id; and the keys of rows that repeat whole.
+
+    Rows without id stay only where their group has no id; of several rows with the smallest id one stays.
+    """
+    found, repeated = _classes(docs, k, num, den, id_col, text_col)
+    return found.filter("at <> kept_at").select("at"), repeated

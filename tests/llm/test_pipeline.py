@@ -39,3 +39,25 @@ def test_stages_one_by_one(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def rows_of(df):
+    return sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+
+
+def test_exact_by_row(spark, table):
+    kept = lambda rows: rows_of(corpus_pipeline.exact(spark, table(rows), SF))
+    assert kept([(None, "a"), (None, "b"), (1, "A")]) == [("1", "A"), ("None", "b")]
+    assert kept([(None, "a"), (None, "a"), (None, "b"), (None, "")]) == [("None", ""), ("None", "a"), ("None", "b")]
+    assert kept([(5, "a"), (5, "b"), (9, "a")]) == [("5", "b"), ("9", "a")]
+    assert kept([(5, "a"), (5, "a"), (5, "b"), (3, "b")]) == [("5", "a"), ("5", "b")]
+
+
+def test_near_by_row(spark, table):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    kept = lambda rows: rows_of(corpus_pipeline.near(spark, table(rows), SF))
+    assert kept([(3, a), (5, a + " x"), (5, b)]) == [("3", a), ("5", b)]
+    assert kept([(None, a), (1, a + " x"), (None, b), (None, c), (2, "")]) == sorted([("1", a + " x"), ("None", b), ("None", c), ("2", "")])
+    assert len(kept([(None, a), (None, a + " x"), (None, b), (None, b), (None, "")])) == 3
+    got = kept([(5, a), (5, a + " x"), (5, b), (9, b)])
+    assert len(got) == 2 and ("5", b) in got
