@@ -15,19 +15,29 @@ from leafline.functions import boxes
 CUE = re.compile(r"_{2,}|\.{3,}|…{2,}|（\s*）|\(\s*\)|\[\s*\]")
 MARKER = r"^\s*(?:第\s*\d+\s*[题问]?|\d+\s*[.、。．:：)）]|[A-Ha-h]\s*[.、．)])\s*$"
 OPTION = r"^\s*[A-H]\s*[.、．)]"
+#: Parts of a cell's slots, so that a full cell is the work of several tasks.
+PARTS = 8
 
 
-def scored_candidates(slots: DataFrame, blocks: DataFrame) -> DataFrame:
+def scored_candidates(slots: DataFrame, blocks: DataFrame, cell: float = 250.0) -> DataFrame:
     """Blocks that may be a slot's answer, with `score`, `rejection_reasons` and `eligible`.
 
     slots: (slot_id, page, proposal, domain, stem, kind, multi_line, broad_hint), boxes in the same page;
     blocks: (page, block_ord, block_box, text, confidence, printed, foreign_printed, excluded) with excluded the share of the
     block in known print. A block is looked at if 15 % of it lies in the proposal widened by its own size, 40 % and its centre
-    in the domain, and its centre or 8 % in the proposal.
+    in the domain, and its centre or 8 % in the proposal. Such a block touches the proposal itself, so both meet in the
+    cells of a grid of size `cell`, each pair in its smallest shared cell only.
     """
-    rows = slots.join(blocks, "page")
     b, p, d = F.col("block_box"), F.col("proposal"), F.col("domain")
     at = lambda box, i: F.get(box, F.lit(i))
+    placed = slots.withColumn("cell_", F.explode(boxes.cells(p, cell))).withColumn("part_", F.pmod(F.xxhash64("slot_id"), F.lit(PARTS)))
+    met = blocks.withColumn("marker_", F.col("text").rlike(MARKER)).withColumn("option_", F.col("text").rlike(OPTION)).withColumn("cell_", F.explode(boxes.cells(b, cell)))
+    met = met.withColumn("part_", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(PARTS)])))
+    # as many tasks as set, whatever their bytes: pairs cost more than rows
+    keys, tasks = ["page", "cell_", "part_"], int(slots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = placed.repartition(tasks, *keys).join(met.repartition(tasks, *keys), keys)
+    first = lambda i: F.floor(F.greatest(at(p, i), at(b, i)) / cell)
+    rows = rows.filter((at(b, 0) <= at(p, 2)) & (at(p, 0) <= at(b, 2)) & (at(b, 1) <= at(p, 3)) & (at(p, 1) <= at(b, 3)) & (F.col("cell_.cx") == first(0)) & (F.col("cell_.cy") == first(1)))
     cx, cy = (at(b, 0) + at(b, 2)) / 2, (at(b, 1) + at(b, 3)) / 2
     px, py = (at(p, 0) + at(p, 2)) / 2, (at(p, 1) + at(p, 3)) / 2
     diagonal = F.greatest(F.lit(1.0), F.sqrt(F.pow(boxes.width(p), 2) + F.pow(boxes.height(p), 2)))
@@ -36,7 +46,7 @@ def scored_candidates(slots: DataFrame, blocks: DataFrame) -> DataFrame:
     rows = rows.withColumn("in_proposal", boxes.containment(b, p)).withColumn("in_domain", boxes.containment(b, d)).withColumn("in_stem", F.coalesce(boxes.containment(b, F.col("stem")), F.lit(0.0)))
     rows = rows.withColumn("distance", F.sqrt(F.pow(cx - px, 2) + F.pow(cy - py, 2)) / diagonal).withColumn("inside", inside)
     rows = rows.filter((boxes.containment(b, search) >= 0.15) & (F.col("in_domain") >= 0.40) & cx.between(at(d, 0), at(d, 2)) & cy.between(at(d, 1), at(d, 3)) & (F.col("inside") | (F.col("in_proposal") >= 0.08)))
-    marker, option, wide = F.col("text").rlike(MARKER), F.col("text").rlike(OPTION), boxes.width(b) / F.greatest(F.lit(1.0), boxes.width(d))
+    marker, option, wide = F.col("marker_"), F.col("option_"), boxes.width(b) / F.greatest(F.lit(1.0), boxes.width(d))
     stem_y = (at(F.col("stem"), 1) + at(F.col("stem"), 3)) / 2 - 0.60 * F.greatest(F.lit(1.0), boxes.height(F.col("stem")))
     reasons = F.array_compact(F.array(
         F.when(marker, "STRUCTURAL_MARKER"), F.when(F.col("foreign_printed"), "OTHER_ITEM_PRINTED_TEXT"), F.when(option & ~F.contains("kind", F.lit("choice")), "PRINTED_OPTION_FOR_OTHER_ITEM"),

@@ -613,7 +613,7 @@ def q57_scored_candidates(t):
     rows = _vector_boxes(t)
     flag = F.col("vec_id") % 9 == 0
     blocks = rows.select(F.col("label").alias("page"), F.col("vec_id").alias("block_ord"), F.col("box").alias("block_box"), F.concat(F.lit("block "), "vec_id").alias("text"), F.lit(0.9).alias("confidence"), flag.alias("printed"), F.lit(False).alias("foreign_printed"), F.lit(0.0).alias("excluded"))
-    slots = rows.filter("vec_id % 10 = 0").select(F.col("vec_id").cast("string").alias("slot_id"), F.col("label").alias("page"), F.col("box").alias("proposal"), F.array(*[F.lit(float(x)) for x in (0, 0, 1654, 2338)]).alias("domain"), F.lit(None).cast("array<double>").alias("stem"), F.lit("fill").alias("kind"), F.lit(False).alias("multi_line"), F.lit(False).alias("broad_hint"))
+    slots = rows.select(F.col("vec_id").cast("string").alias("slot_id"), F.col("label").alias("page"), F.col("box").alias("proposal"), F.array(*[F.lit(float(x)) for x in (0, 0, 1654, 2338)]).alias("domain"), F.lit(None).cast("array<double>").alias("stem"), F.lit("fill").alias("kind"), F.lit(False).alias("multi_line"), F.lit(False).alias("broad_hint"))
     return candidates.scored_candidates(slots, blocks).select("slot_id", "page", "block_ord", "score", "eligible")
 
 

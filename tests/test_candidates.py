@@ -1,10 +1,13 @@
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from leafline import run as runs
 from leafline.operators import candidates
+from leafline.plans import catalog
 
 
 def test_contexts():
@@ -35,6 +38,33 @@ def test_scored_candidates(spark):
     assert candidates.best_clusters(both, 10.0).first()["block_ords"] == [0]
 
 
+def test_scored_candidates_query(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, i % 3, [rng.uniform(-0.9, 0.9) for _ in range(2)] + [rng.uniform(-0.5, 0.5) for _ in range(2)]) for i in range(90)]
+    spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect()]
+    found = {}
+    for i, label, v in rows:
+        a, b, c, d = (round(abs(x) * 1000, 3) for x in v)
+        found[i] = (label, [a, b, a + c + 1, b + d + 1])
+    area = lambda q: max(0, q[2] - q[0]) * max(0, q[3] - q[1])
+    inside = lambda q, r: area([max(q[0], r[0]), max(q[1], r[1]), min(q[2], r[2]), min(q[3], r[3])]) / max(1, area(q))
+    want = {}
+    for s, (page, p) in found.items():
+        w, h = p[2] - p[0], p[3] - p[1]
+        for k, (other, q) in found.items():
+            cx, cy = (q[0] + q[2]) / 2, (q[1] + q[3]) / 2
+            near, holds, centred = inside(q, [p[0] - w, p[1] - h, p[2] + w, p[3] + h]), inside(q, p), p[0] <= cx <= p[2] and p[1] <= cy <= p[3]
+            if page != other or near < 0.15 or inside(q, [0, 0, 1654, 2338]) < 0.40 or cx > 1654 or cy > 2338 or not (centred or holds >= 0.08):
+                continue
+            far = math.hypot(cx - (p[0] + p[2]) / 2, cy - (p[1] + p[3]) / 2) / max(1, math.hypot(w, h))
+            score = 0.50 * min(1, holds) + 0.22 * max(0, 1 - far) + 0.18 * 0.9 + 0.10 * centred + 0.10 * min(1, cx / 1654) - 0.22 * (k % 9 == 0)
+            want[str(s), k] = (page, score, not ((q[2] - q[0]) / 1654 > 0.70 and holds < 0.35))
+    got = catalog.QUERIES["q57_scored_candidates"](spark, str(tmp_path)).collect()
+    assert {int(r["slot_id"]) for r in got} == set(found) and len(got) == len(want)
+    assert {(r["slot_id"], r["block_ord"]): (r["page"], r["score"], r["eligible"]) for r in got} == {k: (v[0], pytest.approx(v[1], abs=1e-4), v[2]) for k, v in want.items()}
+
+
 def test_votes(spark):
     pixels = spark.createDataFrame([(1, s, x, 0, 10.0 * s, x == 0 or s == 1) for s in range(1, 5) for x in (0, 1)], "page int, sheet int, x int, y int, value double, ink boolean")
     assert {r["x"]: (r["votes"], r["stable"], r["brightness"]) for r in candidates.cohort_votes(pixels).collect()} == {0: (4, True, 32.5), 1: (1, False, 32.5)}
