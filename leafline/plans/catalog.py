@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leafline import ship
 from leafline.functions import boxes, text
-from leafline.operators import aggregates, assignment, candidates, evaluation, extraction, joins, ordering, structure, windows
+from leafline.operators import aggregates, assignment, candidates, contamination, evaluation, extraction, joins, ordering, structure, windows
 from leafline.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -294,6 +294,13 @@ def q23_contamination(t):
     return met.filter("k / n > 0.4").select("item_id", "other_id", F.round(F.col("k") / F.col("n"), 6).alias("share"))
 
 
+@query()
+def q23b_document_contamination(t):
+    lower = lambda name, key: t(name).select(key, F.lower("text").alias("text"))
+    found = contamination.contaminated(lower("documents", "doc_id"), lower("benchmark", "item_id"), 0.4, 4)
+    return found.select("doc_id", "item_id", F.round("share", 6).alias("share"), F.round("doc_share", 6).alias("doc_share"))
+
+
 @query("""
     SELECT p_partkey, CASE WHEN lower(p_type) SIMILAR TO '.*(brass|choice).*' THEN 'choice' WHEN lower(p_type) SIMILAR TO '.*(fill|steel).*' THEN 'fill' WHEN p_size > 40 THEN 'essay' ELSE 'short' END AS kind FROM part
 """)
@@ -360,6 +367,12 @@ def q30_best_with_margin(t):
     return ordering.with_margin(p, ["item_id"], "share", ["other_id"], 0.2, 0.02).withColumn("share", F.round("share", 6))
 
 
+@query()
+def q30b_document_best_with_margin(t):
+    found = contamination.best_items(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"), 0.2, 0.02)
+    return found.withColumn("share", F.round("share", 6))
+
+
 @query()
 def q31_best_assignment(t):
     e = t("events").filter("value > 0").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "user_id", "event_type").agg(F.round(F.sum("value"), 4).alias("score"))
