@@ -57,10 +57,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / lm.CHUNK_ROWS))
-    rows = docs.select("doc_id", "text", (~held_out(1, 5)).alias("train"), place.alias("chunk"))
-    done = lm.score(rows, chunk_col="chunk")
+    done = lm.score(documents(spark, sf_dir).select("doc_id", "text", (~held_out(1, 5)).alias("train")))
     return done.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

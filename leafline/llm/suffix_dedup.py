@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafline.llm.blobs import bundles, pack, unbundled, unpack
 from leafline.llm.difference_cover import suffix_ranks
 from leafline.llm.storage import trim, tune, written
 from leafline.llm.wordhash import BASE, BASE_INVERSE, U, _power, mixed
@@ -109,18 +109,6 @@ def _by_bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=U) << U(32))
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    raw = b"".join([np.array([len(arrays), *(a.nbytes for a in arrays)], "<i8").tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
-    return zstandard.ZstdCompressor(level=3).compress(raw)
-
-
-def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    sizes = np.frombuffer(raw, "<i8", len(types), 8)
-    starts = 8 + 8 * len(types) + np.r_[0, np.cumsum(sizes)[:-1]]
-    return [np.frombuffer(raw, t, int(n) // np.dtype(t).itemsize, int(s)) for t, n, s in zip(types, sizes, starts)]
-
-
 MESSAGE = "bucket bigint, chunk bigint, step int, data binary"
 
 
@@ -143,7 +131,7 @@ def _ask_anchors(docs: DataFrame, bits: int, length: int, gram: int) -> DataFram
         several = text[new] != text[np.r_[new[1:], len(key)] - 1] if len(key) else np.zeros(0, bool)
         key = key[new]
         cut = _by_bucket(key, bits)
-        return _messages([(b, chunk, 1, _pack(key[i:j].astype("<u4"), several[i:j])) for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i])
+        return _messages([(b, chunk, 1, pack(key[i:j].astype("<u4"), several[i:j])) for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, texts = None, []
@@ -165,7 +153,7 @@ def _answer_anchors(asked: DataFrame) -> DataFrame:
     """To each chunk, for its distinct anchors of a bucket in order, whether another document or chunk has it too."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [_unpack(d, "<u4", "?") for d in table.column("data").to_pylist()]
+        parts = [unpack(d, "<u4", "?") for d in table.column("data").to_pylist()]
         flat, several = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
         chunk = np.repeat(table.column("chunk").to_numpy(), [len(p[0]) for p in parts])
         order = np.lexsort((chunk, flat))
@@ -178,44 +166,11 @@ def _answer_anchors(asked: DataFrame) -> DataFrame:
         order = np.argsort(chunk, kind="stable")
         chunk, many = chunk[order], many[order]
         new = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-        return _messages([(key[0].as_py(), int(chunk[i]), 1, _pack(many[i:j])) for i, j in zip(new, np.r_[new[1:], len(chunk)])])
+        return _messages([(key[0].as_py(), int(chunk[i]), 1, pack(many[i:j])) for i, j in zip(new, np.r_[new[1:], len(chunk)])])
 
     return asked.groupBy("bucket").applyInArrow(run, MESSAGE)
 
 
-def _bundles(rows: DataFrame) -> DataFrame:
-    """(chunk, data): the rows of a chunk that lie together as one compressed table, which is what is shuffled."""
-
-    def flush(chunk: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(parts).combine_chunks()
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
-            out.write_table(table)
-        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "data"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, parts = None, []
-        for batch in batches:
-            chunks = batch.column("chunk").to_numpy()
-            batch = batch.drop_columns(["chunk"])
-            edges = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(chunks) else np.zeros(0, np.int64)
-            for i, j in zip(edges, np.r_[edges[1:], len(chunks)]):
-                if parts and (chunks[i] != held or sum(p.num_rows for p in parts) >= CHUNK_ROWS):
-                    yield flush(held, parts)
-                    parts = []
-                held = int(chunks[i])
-                parts.append(batch.slice(i, j - i))
-        if parts:
-            yield flush(held, parts)
-        trim()
-
-    return rows.mapInArrow(run, "chunk bigint, data binary")
-
-
-def _unbundled(table: pa.Table) -> pa.Table:
-    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in table.column("data").to_pylist()])
-
-
 class _Chunk:
     """The rows of a chunk in a fixed order, and their regions that may hold repeats, by bucket and hash."""
 
@@ -228,7 +183,7 @@ class _Chunk:
         short = np.concatenate([_short(r.key, bits) for _, r in self.runs])
         self.got = {(s, b): d for s, b, d in zip(*(answers.column(c).to_pylist() for c in ("step", "bucket", "data")))}
         first = [b for b in range(1 << bits) if (1, b) in self.got]
-        many = np.concatenate([_unpack(self.got[1, b], "?")[0] for b in first]) if first else np.zeros(0, bool)
+        many = np.concatenate([unpack(self.got[1, b], "?")[0] for b in first]) if first else np.zeros(0, bool)
         distinct, where = np.unique(short, return_inverse=True)
         kept = np.flatnonzero(many[where]) if len(distinct) else np.zeros(0, np.int64)
         cat = lambda f: np.concatenate([f(k, at, r) for k, (at, r) in enumerate(self.runs)])[kept]
@@ -244,12 +199,12 @@ class _Chunk:
         self.doc = np.array([NONE if i is None else i for i in self.ids], np.int64)[self.text]
 
 
-def _ask_regions(bundles: DataFrame, answers: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
+def _ask_regions(bundled: DataFrame, answers: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
     """A chunk's distinct regions that may hold repeats: bytes, sizes, keys and smallest documents, by bucket."""
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
         chunk = mine.column("chunk")[0].as_py()
-        c = _Chunk(_unbundled(mine), got, bits, length, gram)
+        c = _Chunk(unbundled(mine), got, bits, length, gram)
         if not len(c.new):
             return _messages([])
         low = np.minimum.reduceat(c.doc, c.new)
@@ -263,11 +218,11 @@ def _ask_regions(bundles: DataFrame, answers: DataFrame, bits: int, length: int,
         cut = _by_bucket(c.short[c.new], bits)
         ends = np.r_[place, len(joined)]
         return _messages([
-            (b, chunk, 2, _pack(joined[ends[i] : ends[j]], size[i:j].astype("<u2"), c.short[c.new][i:j].astype("<u4"), low[i:j]))
+            (b, chunk, 2, pack(joined[ends[i] : ends[j]], size[i:j].astype("<u2"), c.short[c.new][i:j].astype("<u4"), low[i:j]))
             for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i
         ])
 
-    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, MESSAGE)
+    return bundled.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, MESSAGE)
 
 
 def lowest_documents(joined: np.ndarray, size: np.ndarray, key: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -318,7 +273,7 @@ def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
     """To each chunk, for its regions of a bucket in order: whether one document is the smallest for all strings, that document, and else one for each string."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [_unpack(d, "u1", "<u2", "<u4", "<i8") for d in table.column("data").to_pylist()]
+        parts = [unpack(d, "u1", "<u2", "<u4", "<i8") for d in table.column("data").to_pylist()]
         size, short, low = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
         size = size.astype(np.int64)
         joined = np.concatenate([p[0] for p in parts])
@@ -343,7 +298,7 @@ def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
             single = flat[mine]
             more = mine[~single]
             where = np.repeat(first[more] - np.r_[0, np.cumsum(count[more])[:-1]], count[more]) + np.arange(count[more].sum()) if len(more) else np.zeros(0, np.int64)
-            rows.append((key[0].as_py(), chunk, 2, _pack(single, strings[first[mine]], strings[where])))
+            rows.append((key[0].as_py(), chunk, 2, pack(single, strings[first[mine]], strings[where])))
         return _messages(rows)
 
     return asked.groupBy("bucket").applyInArrow(run, MESSAGE)
@@ -369,17 +324,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         asked = rows
     bits = max(3, ((size["b"] or 0) // BUCKET_BYTES).bit_length())
     anchors = written(_answer_anchors(_ask_anchors(asked, bits, length, gram)), "suffix-anchors")
-    bundles = _bundles(asked)
-    regions = written(_answer_regions(_ask_regions(bundles, anchors, bits, length, gram), length), "suffix-regions")
+    bundled = bundles(asked, CHUNK_ROWS)
+    regions = written(_answer_regions(_ask_regions(bundled, anchors, bits, length, gram), length), "suffix-regions")
     answers = anchors.unionByName(regions)
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
-        mine = _unbundled(mine)
+        mine = unbundled(mine)
         c = _Chunk(mine, got, bits, length, gram)
         n_of = np.zeros(len(c.new), np.int64)
         singles, firsts, manys = [], [], []
         for b in sorted(b for s, b in c.got if s == 2):
-            s, f, m = _unpack(c.got[2, b], "?", "<i8", "<i8")
+            s, f, m = unpack(c.got[2, b], "?", "<i8", "<i8")
             singles.append(s), firsts.append(f), manys.append(m)
         lost = [np.zeros(len(r.buf) + 1, np.int32) for _, r in c.runs]
         if len(c.new):
@@ -418,4 +373,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         along = {x: mine.column(f"carry_{i}").take(pa.array(c.order, pa.int64())) for i, x in enumerate(carry)}
         return pa.table({id_col: pa.array(c.ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "span_starts": pa.array(starts, spans), "span_ends": pa.array(ends, spans), "kept": pa.array(kept, pa.string() if as_text else pa.binary()), **along})
 
-    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
+    return bundled.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
