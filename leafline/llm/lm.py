@@ -37,6 +37,8 @@ START, END, STEP = U(0x51A7), U(0xE9D), U(0xD6E8FEB86659FD93)
 PRIORS, DISCOUNT = (3000.0, 10.0), 0.5
 #: Bytes of text of a chunk, about, and its most documents; bytes of text for which there is one bucket.
 CHUNK_BYTES, CHUNK_ROWS, BUCKET_BYTES = 6 << 20, 3000, 4 << 20
+#: Words that a text is read in one stretch.
+STRETCH = 1000
 ANSWER = "chunk bigint, n int, bucket bigint, data binary, types bigint, total bigint"
 ASKED = "bucket bigint, chunk bigint, n int, data binary"
 
@@ -200,37 +202,40 @@ class Automaton:
 
     def step(self, state: np.ndarray, word: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 weight, next state) of each state that reads a word; `home` is the state of each word as a history of its own."""
-        weight, nxt = np.zeros(len(state)), np.empty(len(state), np.int64)
-        open_ = np.arange(len(state))
-        while len(open_):
-            s, w = state[open_], word[open_]
-            key = s * self.n_words + w
-            arc = np.searchsorted(self.keys, key)
-            found = self.keys[arc] == key
-            weight[open_] += np.where(found, self.weight[arc], self.fail_weight[s])
-            nxt[open_] = self.target[arc]
-            at_root = ~found & (s == 0)
-            done = open_[at_root]
-            weight[done] += self.root[w[at_root]]
-            nxt[done] = home[w[at_root]]
-            state = state.copy()
-            state[open_] = self.fail[s]
-            open_ = open_[~found & ~at_root]
-        return weight, nxt
-
-    def read(self, words: np.ndarray, first: np.ndarray, n: np.ndarray, begin: int, home: np.ndarray) -> np.ndarray:
-        """Summed log10 weights of texts, n words each from words[first] on, read from the state `begin`, all texts one word at a time."""
-        order = np.argsort(-n, kind="stable")
-        first, n = first[order], n[order]
-        total, state = np.zeros(len(n)), np.full(len(n), begin, np.int64)
-        active = np.searchsorted(-n, -np.arange(int(n[0]) if len(n) else 0), "left")
+        weight, nxt, failed = self.root[word], home[word], np.zeros(len(state))  # what the root's arcs give
+        left = np.flatnonzero(state)
+        at = state[left]
+        while len(left):
+            key = at * self.n_words + word[left]
+            arc = self.keys.searchsorted(key)
+            hit = self.keys[arc] == key
+            done, arc, miss = left[hit], arc[hit], ~hit
+            weight[done], nxt[done] = self.weight[arc], self.target[arc]
+            left, at = left[miss], at[miss]
+            failed[left] += self.fail_weight[at]
+            at = self.fail[at]
+            left, at = left[at > 0], at[at > 0]
+        return weight + failed, nxt
+
+    def read(self, words: np.ndarray, first: np.ndarray, n: np.ndarray, begin: int, home: np.ndarray, history: int) -> np.ndarray:
+        """Summed log10 weights of texts, n words each from words[first] on, read from the state `begin`, all texts one word at a time.
+
+        A text of more than STRETCH words is read in stretches side by side: the last `history` words alone decide the
+        state, so each reads as many words before its own to come into the state in which the one before ends.
+        """
+        parts = -(-n // STRETCH)
+        text = np.repeat(np.arange(len(n)), parts)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        before = np.where(nth > 0, history, 0)
+        size = np.minimum(n[text] - nth * STRETCH, STRETCH) + before
+        order = np.argsort(-size, kind="stable")
+        start, size, before = (first[text] + nth * STRETCH - before)[order], size[order], before[order]
+        total, state = np.zeros(len(size)), np.where(before > 0, 0, begin)
+        active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
         for t, k in enumerate(active.tolist()):
-            weight, nxt = self.step(state[:k], words[first[:k] + t], home)
-            total[:k] += weight
-            state[:k] = nxt
-        out = np.empty(len(n))
-        out[order] = total
-        return out
+            weight, state[:k] = self.step(state[:k], words[start[:k] + t], home)
+            total[:k] += weight if t >= history else np.where(before[:k] > t, 0.0, weight)
+        return np.bincount(text[order], weights=total, minlength=len(n))
 
 
 def automaton(c: Counts, n_types: int, total: int, n_texts: int, priors: Sequence[float], order: int) -> tuple[Automaton, np.ndarray, int, np.ndarray]:
@@ -313,7 +318,7 @@ def score(docs: DataFrame, train_col: str = "train", id_col: str = "doc_id", tex
         c = Counts(mine.column("text").to_pylist(), mine.column("train").to_pylist(), got, order)
         made, word, begin, home = automaton(c, n_types, total, n_texts, priors, order)
         first = np.cumsum(c.n + 1) - (c.n + 1) + 1
-        scores = made.read(word, first, c.n, begin, home)
+        scores = made.read(word, first, c.n, begin, home, order - 1)
         count = c.count[0][word[c.place > 0]]
         base = np.log10((count + 0.5) / (total + 0.5 * (n_types + 1)))
         cuts = np.cumsum(c.n) - c.n

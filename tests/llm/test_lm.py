@@ -47,6 +47,7 @@ def tokens(t):
 @pytest.mark.parametrize(("order", "priors", "per"), [(2, (20.0,), 3000), (3, (20.0, 5.0), 3000), (3, (20.0, 5.0), 4), (4, (9.0, 4.0, 2.0), 5)])
 def test_scores_equal_the_model_by_definition(table, awkward, monkeypatch, order, priors, per):
     monkeypatch.setattr(lm, "CHUNK_ROWS", per)
+    monkeypatch.setattr(lm, "STRETCH", 1000 if per == 3000 else 3)
     rows = awkward * (2 if per == 3000 else 1) + [(100 + i, "a b c d e " * (i % 5) + f"n{i} a b c") for i in range(50)]
     df = table(rows).withColumn("train", F.coalesce(F.col("doc_id") % 5 != 1, F.lit(False)))
     model = Model([tokens(t) for i, t in rows if i is not None and i % 5 != 1], order, priors)
