@@ -15,13 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafline.llm.bpe import WORDS, byte_symbols
+from leafline.llm.bpe import WORDS, byte_symbols, tokenizer
 from leafline.llm.spfhp import pack_histogram
 from leafline.llm.storage import tune, written
 
 SIZE = 1024
 END = 0
 
+#: A text with a longer word, or more white space beyond one character a word, is left to the encoder of bpe.py: the faster library's
+#: pattern overflows its stack on long runs of white space, and its merges are quadratic in the length of a word.
+LONG_RUN = 1000
+
 _encoders: dict[str, tiktoken.Encoding] = {}
 
 
@@ -40,6 +44,14 @@ def encoder(path: str) -> tiktoken.Encoding:
     return _encoders[path]
 
 
+def ids_of(text: str, path: str) -> list[int]:
+    """The ids of a text, whatever its runs."""
+    lengths = list(map(len, text.split()))
+    if max(max(lengths, default=0), len(text) - sum(lengths) - len(lengths)) > LONG_RUN:
+        return tokenizer(path).encode(text)
+    return encoder(path).encode(text, allowed_special="all")
+
+
 def pieces_of(docs: DataFrame, path: str, size: int = SIZE, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, start, length, ids_crc32, doc_tokens, part, local[, ids]): each document's ids and the end id, cut after every `size` ids.
 
@@ -49,13 +61,13 @@ def pieces_of(docs: DataFrame, path: str, size: int = SIZE, keep_ids: bool = Fal
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "part", "local", *["ids"] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seen = encoder(path), TaskContext.get().partitionId(), Counter()
+        part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 rows = batch.slice(at, 1000)
-                owner, cols, ids_of = [], [[] for _ in range(6)], []
+                owner, cols, kept = [], [[] for _ in range(6)], []
                 for i, text in enumerate(rows.column(1).to_pylist()):
-                    ids = np.array([*tokens.encode(text or "", allowed_special="all"), END], dtype="<u4")
+                    ids = np.array([*ids_of(text or "", path), END], dtype="<u4")
                     for start in range(0, len(ids), size):
                         piece = ids[start : start + size]
                         owner.append(i)
@@ -63,9 +75,9 @@ def pieces_of(docs: DataFrame, path: str, size: int = SIZE, keep_ids: bool = Fal
                             c.append(v)
                         seen[len(piece)] += 1
                         if keep_ids:
-                            ids_of.append(piece.astype(np.int32))
+                            kept.append(piece.astype(np.int32))
                 arrays = [rows.column(0).take(pa.array(owner, pa.int64())), *(pa.array(c, pa.int64()) for c in cols)]
-                yield pa.RecordBatch.from_arrays(arrays + ([pa.array(ids_of, pa.list_(pa.int32()))] if keep_ids else []), names)
+                yield pa.RecordBatch.from_arrays(arrays + ([pa.array(kept, pa.list_(pa.int32()))] if keep_ids else []), names)
 
     schema = f"`{id_col}` {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part bigint, local bigint" + ", ids array<int>" * keep_ids
     return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)

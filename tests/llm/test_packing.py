@@ -46,6 +46,64 @@ def test_encoder_is_the_library():
         assert encoder(PATH).encode(t, allowed_special="all") == LIBRARY.encode(t, add_special_tokens=False).ids
 
 
+def test_long_runs_are_encoded_as_the_library_does(table):
+    n = 1_000_000
+    texts = [" " * n + "a", " " * n, "\t" * n + "b", " \n" * (n // 2), "x" * n, "#" * n, "7" * 5000 + " " * 5000 + "é" * 5000, "\x1c" * 5000, "\u00a0" * 5000 + "a", "a b  c\n\n d " * 2000]
+    rows = pack(table(list(enumerate(texts))), PATH, keep_ids=True).collect()
+    for i, t in enumerate(texts):
+        ids = [x for r in sorted((r["start"], r["ids"]) for r in rows if r["doc_id"] == i) for x in r[1]]
+        assert ids == [*LIBRARY.encode(t, add_special_tokens=False).ids, 0]
+
+
+def best_packing(lengths, size):
+    """Fewest sequences that hold all lengths, by trying all ways."""
+    best = len(lengths)
+
+    def place(i, room):
+        nonlocal best
+        if len(room) >= best:
+            return
+        if i == len(lengths):
+            best = len(room)
+            return
+        for r in {*room}:
+            if r >= lengths[i]:
+                k = room.index(r)
+                place(i + 1, room[:k] + [r - lengths[i]] + room[k + 1 :])
+        place(i + 1, [*room, size - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
+def test_near_the_best_packing_of_all(lengths):
+    lengths = sorted(lengths, reverse=True)
+    histogram = {n: lengths.count(n) for n in lengths}
+    made = sum(p.count for p in pack_histogram(histogram, 12))
+    assert best_packing(lengths, 12) <= made <= 2 * best_packing(lengths, 12)
+
+
+def one_by_one(lengths, size):
+    """The same rule by single packs: longest first, each into the shortest pack that was begun, if it has room."""
+    packs = []
+    for n in sorted(lengths, reverse=True):
+        k = min(range(len(packs)), key=lambda k: sum(packs[k]), default=None)
+        if k is None or sum(packs[k]) + n > size:
+            packs.append([n])
+        else:
+            packs[k].append(n)
+    return len(packs)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=60))
+def test_as_many_sequences_as_packing_one_by_one(lengths):
+    histogram = {n: lengths.count(n) for n in lengths}
+    assert abs(sum(p.count for p in pack_histogram(histogram, 20)) - one_by_one(lengths, 20)) <= max(1, len(lengths) // 10)
+
+
 def test_every_id_lies_in_one_piece(table, awkward):
     rows = pack(table(awkward), PATH, size=128, keep_ids=True).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
