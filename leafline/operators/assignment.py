@@ -8,45 +8,55 @@ from pyspark.sql import DataFrame
 
 
 def best_assignment(scores: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs (row, column) of largest summed score, only positive ones; a row may stay free.
+    """Pairs (row, column) of largest summed score, only positive ones; rows and columns may stay free.
 
-    Shortest augmenting paths over a matrix with a free column for each row.
+    Pairs grow one by one along the alternating path that gains most, found for all columns at once; no path gains any
+    more after at most as many steps as the shorter side has members.
     """
-    n, m = scores.shape
-    cost = np.c_[-np.where(scores > 0, scores, 0.0), np.zeros((n, n))]
-    u, v = np.zeros(n + 1), np.zeros(m + n + 1)
-    owner = np.zeros(m + n + 1, int)
-    for i in range(1, n + 1):
-        owner[0], at = i, 0
-        least, way, used = np.full(m + n + 1, np.inf), np.zeros(m + n + 1, int), np.zeros(m + n + 1, bool)
+    if scores.shape[0] > scores.shape[1]:
+        return sorted((i, j) for j, i in best_assignment(scores.T))
+    gain = np.where(scores > 0, scores, -np.inf)
+    taken, holder = np.full(gain.shape[0], -1), np.full(gain.shape[1], -1)  # a row's column, a column's row
+    while True:
+        at_row = np.where(taken < 0, 0.0, -np.inf)  # gain of the best path that ends with the row free
+        at_column, by = np.full(gain.shape[1], -np.inf), np.full(gain.shape[1], -1)
         while True:
-            used[at] = True
-            free = ~used[1:]
-            reach = cost[owner[at] - 1] - u[owner[at]] - v[1:]
-            closer = free & (reach < least[1:])
-            least[1:][closer], way[1:][closer] = reach[closer], at
-            nxt = 1 + int(np.argmin(np.where(free, least[1:], np.inf)))
-            step = least[nxt]
-            u[owner[used]] += step
-            v[used] -= step
-            least[~used] -= step
-            at = nxt
-            if owner[at] == 0:
+            paths = at_row[:, None] + gain
+            row = paths.argmax(axis=0)
+            value = np.take_along_axis(paths, row[None], axis=0)[0]
+            better = value > at_column + 1e-12
+            at_column[better], by[better] = value[better], row[better]
+            moved = np.flatnonzero(better & (holder >= 0))
+            freed = at_column[moved] - gain[holder[moved], moved]
+            worth = freed > at_row[holder[moved]] + 1e-12
+            if not worth.any():
                 break
-        while at:
-            owner[at] = owner[way[at]]
-            at = way[at]
-    return sorted((int(owner[j]) - 1, j - 1) for j in range(1, m + 1) if owner[j] and scores[owner[j] - 1, j - 1] > 0)
+            at_row[holder[moved[worth]]] = freed[worth]
+        open_ = np.flatnonzero(holder < 0)
+        if not len(open_) or at_column[open_].max() <= 1e-12:
+            return [(i, int(j)) for i, j in enumerate(taken) if j >= 0]
+        column = open_[at_column[open_].argmax()]
+        while column >= 0:
+            row = by[column]
+            holder[column] = row
+            taken[row], column = column, taken[row]
+
+
+def greedy_places(score: np.ndarray, row: np.ndarray, column: np.ndarray, larger_first: bool = False) -> list[int]:
+    """Numbers of the pairs taken by falling score, each row and column once; equals by smaller rows and columns, or larger ones."""
+    sign = -1 if larger_first else 1
+    left = np.lexsort((sign * column, sign * row, -score))
+    out = []
+    while len(left):
+        out.append(int(left[0]))
+        left = left[(row[left] != row[left[0]]) & (column[left] != column[left[0]])]
+    return out
 
 
 def greedy(scored: list[tuple[float, int, int]], larger_first: bool = False) -> list[tuple[int, int]]:
-    """Pairs by falling score, each row and column once; equals by smaller indices, or larger ones."""
-    key = (lambda t: t) if larger_first else (lambda t: (t[0], -t[1], -t[2]))
-    rows, columns, out = set(), set(), []
-    for _, r, c in sorted(scored, key=key, reverse=True):
-        if r not in rows and c not in columns:
-            rows.add(r), columns.add(c), out.append((r, c))
-    return out
+    """Pairs (row, column) as greedy_places() takes them from (score, row, column)."""
+    score, row, column = (np.array(x) for x in zip(*scored)) if scored else (np.zeros(0),) * 3
+    return [(int(row[i]), int(column[i])) for i in greedy_places(score, row, column, larger_first)]
 
 
 def monotone_alignment(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -106,12 +116,17 @@ def assign(scores: DataFrame, group: str, row: str, column: str, score: str, met
     """(group, row, column, score) of the pairs chosen in each group: `best` in sum or `greedy`. Groups are pages or items, bounded by paper."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, columns = sorted(pdf[row].unique()), sorted(pdf[column].unique())
-        table = np.zeros((len(rows), len(columns)))
-        r, c = pdf[row].map({v: i for i, v in enumerate(rows)}), pdf[column].map({v: i for i, v in enumerate(columns)})
-        table[r, c] = pdf[score]
-        pairs = best_assignment(table) if method == "best" else sorted(greedy([(table[i, j], i, j) for i, j in zip(r, c) if table[i, j] > 0]))
-        return pd.DataFrame({group: [pdf[group].iloc[0]] * len(pairs), row: [rows[i] for i, _ in pairs], column: [columns[j] for _, j in pairs], score: [table[i, j] for i, j in pairs]})
+        (r, rows), (c, columns) = pd.factorize(pdf[row], sort=True), pd.factorize(pdf[column], sort=True)
+        if method == "best":
+            table = np.zeros((len(rows), len(columns)))
+            table[r, c] = pdf[score]
+            pairs = np.array(best_assignment(table), int).reshape(-1, 2)
+            values = table[pairs[:, 0], pairs[:, 1]]
+        else:
+            some = np.flatnonzero(pdf[score].to_numpy() > 0)
+            at = some[greedy_places(pdf[score].to_numpy()[some], r[some], c[some])]
+            pairs, values = np.c_[r[at], c[at]], pdf[score].to_numpy()[at]
+        return pd.DataFrame({group: [pdf[group].iloc[0]] * len(pairs), row: rows[pairs[:, 0]], column: columns[pairs[:, 1]], score: values})
 
     names = [group, row, column, score]
     schema = ", ".join(f"`{n}` {scores.schema[n].dataType.simpleString()}" for n in names)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from statistics import median
+import bisect
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -33,49 +34,78 @@ def batches(rows: DataFrame, keys: list[str], order: list[str], size: int = 12)
     return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1) / size))
 
 
+class _Lines:
+    """Lines of a page as boxes join them: the usual centre and height of each line's boxes."""
+
+    def __init__(self) -> None:
+        self.centre, self.height = np.zeros(0), np.zeros(0)
+        self._sorted: list[tuple[list[float], list[float]]] = []
+
+    def join(self, centre: float, height: float) -> int:
+        """Number of the line that the box joins: the nearest within reach, the first of equals, or a new one."""
+        away = np.abs(self.centre - centre)
+        away[away > 0.45 * np.minimum(self.height, height)] = np.inf
+        if not np.isfinite(away).any():
+            self._sorted.append(([], []))
+            self.centre, self.height, away = np.r_[self.centre, centre], np.r_[self.height, height], np.r_[away, 0.0]
+        line = int(np.argmin(away))
+        for known, value in zip(self._sorted[line], (centre, height)):
+            bisect.insort(known, value)
+        self.centre[line], self.height[line] = ((v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2 for v in self._sorted[line])
+        return line
+
+
+def _as_array(boxes: list[list[float] | None]) -> np.ndarray:
+    """(n, 4) numbers; a box that is missing or has not four numbers is a row of NaN."""
+    return np.array([b if b is not None and len(b) == 4 else [np.nan] * 4 for b in boxes], float).reshape(-1, 4)
+
+
 def rows_in_order(boxes: list[list[float] | None]) -> list[int]:
-    """Reading order of boxes: rows of near baselines from the top, each from the left; those without box last.
+    """Reading order of boxes: lines of near centres from the top, each from the left; those without box last, as given.
 
-    From the top left, a box joins the row whose median centre is nearest, if within 0.45 of the lesser of its
-    height and the row's median height, the first of equals; else it begins a row.
+    From the top left on, a box joins the line whose median centre is nearest, if within 0.45 of the lesser of its
+    height and the line's median height, else it begins a line.
     """
-    whole = [i for i, b in enumerate(boxes) if b is not None and len(b) == 4]
-    middle = lambda i: (boxes[i][1] + boxes[i][3]) / 2
-    tall = lambda i: max(1, boxes[i][3] - boxes[i][1])
-    found: list[list[int]] = []
-    for i in sorted(whole, key=lambda i: (boxes[i][1], boxes[i][0])):
-        near = [(abs(middle(i) - median(map(middle, row))), k) for k, row in enumerate(found)]
-        near = [(d, k) for d, k in near if d <= 0.45 * min(tall(i), median(map(tall, found[k])))]
-        if near:
-            found[min(near)[1]].append(i)
-        else:
-            found.append([i])
-    found.sort(key=lambda row: median(map(middle, row)))
-    return [i for row in found for i in sorted(row, key=lambda i: boxes[i][0])] + [i for i in range(len(boxes)) if i not in set(whole)]
+    x, top, _, bottom = table = _as_array(boxes).T
+    lines, line, turn = _Lines(), np.zeros(len(x), int), np.arange(len(x))
+    given = np.flatnonzero(~np.isnan(table).any(axis=0))
+    given = given[np.lexsort((x[given], top[given]))]
+    turn[given] = np.arange(len(given))
+    for i in given:
+        line[i] = lines.join((top[i] + bottom[i]) / 2, max(1.0, bottom[i] - top[i]))
+    height_on_page = np.full(len(x), np.inf)
+    height_on_page[given] = lines.centre[line[given]]
+    return np.lexsort((turn, np.nan_to_num(x), line, height_on_page)).tolist()
+
+
+#: Where gutters are looked for, in parts of the width; half their breadth; least blocks beside one, least characters of a block that counts as text.
+GUTTERS, CLEAR, BESIDE, WORDY = (0.5, 0.45, 0.55, 0.4, 0.6), 0.015, 3, 8
 
 
 def column_split(boxes: list[list[float] | None], texts: list[str], width: float) -> list[list[int]]:
     """Groups of blocks to be read one after another: what crosses, the left and the right column; one group without a clear gutter.
 
-    Of gutters at .5, .45, .55, .4 and .6 of the width, the first that has three blocks on either side clear of it,
-    sides that stand beside one another for four usual heights, no crossing block in that stretch, and three blocks of
-    eight or more characters a side.
+    Of GUTTERS the first with BESIDE blocks on either side clear of it, as many with WORDY characters, sides that stand
+    beside one another for four usual heights, and no block across that ends more than a usual height below where they begin to.
     """
-    whole = [i for i, b in enumerate(boxes) if b is not None and len(b) == 4]
-    if len(whole) >= 6:
-        usual = median(max(1, boxes[i][3] - boxes[i][1]) for i in whole)
-        for part in (0.5, 0.45, 0.55, 0.4, 0.6):
-            gutter, clear = width * part, width * 0.015
-            sides = [i for i in whole if boxes[i][2] < gutter - clear], [i for i in whole if boxes[i][0] > gutter + clear]
-            if min(map(len, sides)) < 3:
-                continue
-            begin = max(min(boxes[i][1] for i in s) for s in sides)
-            stop = min(max(boxes[i][3] for i in s) for s in sides)
-            across = [i for i in whole if i not in {*sides[0], *sides[1]}]
-            wordy = min(sum(len((texts[i] or "").strip()) >= 8 for i in s) for s in sides)
-            if stop - begin >= 4 * usual and all(boxes[i][3] <= begin + usual for i in across) and wordy >= 3:
-                return [across, *sides]
-    return [list(range(len(boxes)))]
+    x0, top, x1, bottom = table = _as_array(boxes).T
+    given = ~np.isnan(table).any(axis=0)
+    if given.sum() < 2 * BESIDE:
+        return [list(range(len(boxes)))]
+    usual = np.median(np.maximum(1, (bottom - top)[given]))
+    wordy = np.array([len((t or "").strip()) >= WORDY for t in texts])
+    gutter = np.array(GUTTERS)[:, None] * width
+    side = np.stack([x1 < gutter - CLEAR * width, x0 > gutter + CLEAR * width])  # which side, gutter, block; NaN is on neither
+    begin = np.where(side, top, np.inf).min(axis=2).max(axis=0)
+    stop = np.where(side, bottom, -np.inf).max(axis=2).min(axis=0)
+    across = given & ~side.any(axis=0)
+    low = np.where(across, bottom, -np.inf).max(axis=1)
+    fits = (side.sum(axis=2) >= BESIDE).all(axis=0) & ((side & wordy).sum(axis=2) >= BESIDE).all(axis=0) & (low <= begin + usual)
+    fits &= np.where(fits, stop, 0) - np.where(fits, begin, 0) >= 4 * usual
+    if not fits.any():
+        return [list(range(len(boxes)))]
+    g = int(np.argmax(fits))
+    return [np.flatnonzero(m).tolist() for m in (across[g], side[0, g], side[1, g])]
 
 
 def reading_order(blocks: DataFrame, page: list[str], box: str, text: str, width: float) -> DataFrame:
