@@ -1,13 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on windows of ordinary text and one on what sets toxic text apart: words
-that recur there in several contexts and that ordinary text does not have. A window of a few words is compressed with
-the ordinary dictionary alone and with the toxic one placed before it; as the ordinary part lies at the same
-distance in both, the lengths differ only where toxic material matches. The largest differences of a text go
-through a calibrated logistic curve.
-
-The model is fitted on a bounded sample of labelled rows (MOST_DOCS for each label, MOST_BYTES of text at most, by
-hash order) and sent to the executors; its size is fixed by the dictionaries' sizes.
+Two zstandard dictionaries are trained, one on windows of ordinary documents and one on windows of toxic ones, both as
+they stand. Of a toxic document most windows are ordinary too, so its dictionary is trained on those that hold a word
+whose smoothed share of toxic documents is RATIO times that of ordinary ones or more; a word is not ruled out by being
+met in ordinary text. A window of a few words is compressed with the ordinary dictionary alone and with the toxic one
+placed before it: as the ordinary part lies at the same distance in both, the lengths differ only where toxic windows
+match. The largest differences of a text go through a calibrated logistic curve, whose cut has the best F1.
+
+The model is fitted on a bounded sample of labelled rows (MOST_DOCS for each label, MOST_BYTES of text and MOST_WINDOWS
+of ordinary windows at most, by hash order), each label weighed by its share of all labelled rows, and sent to the
+executors; its size is fixed by the dictionaries' sizes.
 """
 
 import collections
@@ -22,14 +24,16 @@ from pyspark.sql import functions as F
 
 from leafline.llm.storage import tune
 
-#: Most labelled rows of each label that the model is fitted on, and most bytes of their texts in all.
+#: Most labelled rows of each label that the model is fitted on, most bytes of their texts in all, and most windows that the ordinary dictionary is trained on.
 MOST_DOCS = {0: 6_000, 1: 2_000}
 MOST_BYTES = 30_000_000
+MOST_WINDOWS = 100_000
 WINDOW_WORDS = 8
 LEVEL = 12
 TOXIC_BYTES, ORDINARY_BYTES = 3_072, 65_536
-#: Distinct preceding words that a toxic word must have been seen with.
-CONTEXTS = 3
+#: Words of a window that the toxic dictionary is trained on; how much more often than in ordinary documents, and in how many toxic ones, a word of it is met.
+#: Chosen with the sizes above by three folds of the training rows of sf0.1 (remainders 0, 1 and 3).
+TRAIN_WORDS, RATIO, LEAST_DOCS = 3, 8.0, 3
 CUT = 0.3
 
 
@@ -90,41 +94,33 @@ class ToxicityModel:
 
 
 def _dictionaries(texts: list[str], toxic: np.ndarray) -> tuple[bytes, bytes]:
-    known: set[bytes] = set()
-    plain: list[bytes] = []
+    docs = [collections.Counter(), collections.Counter()]  # in how many ordinary and toxic documents a word is met
     for t, y in zip(texts, toxic):
-        if not y:
-            ws = words(t)
-            known.update(ws)
-            plain += windows(ws)
-    before: dict[bytes, set[bytes]] = collections.defaultdict(set)
-    for t, y in zip(texts, toxic):
-        if y:
-            ws = words(t)
-            for a, b in zip([b"", *ws], ws):
-                if b not in known:
-                    before[b].add(a)
-    telling = {w for w, c in before.items() if len(c) >= CONTEXTS}
-    samples = [b" " + b" ".join(w for w in words(t) if w in telling) + b" " for t, y in zip(texts, toxic) if y]
+        docs[y].update({*words(t)})
+    n = np.bincount(toxic, minlength=2)
+    share = lambda w, y: (docs[y][w] + 0.5) / (n[y] + 1)
+    telling = {w for w, k in docs[1].items() if k >= LEAST_DOCS and share(w, 1) >= RATIO * share(w, 0)}
+    plain = [w for t, y in zip(texts, toxic) if not y for w in windows(words(t))]
+    samples = sorted({w for t, y in zip(texts, toxic) if y for w in windows(words(t), TRAIN_WORDS) if not telling.isdisjoint(w.split())})
     rng = np.random.default_rng(0)
-    plain = [plain[i] for i in rng.permutation(len(plain))[:100_000]]
-    return _train(ORDINARY_BYTES, plain, 64), _train(TOXIC_BYTES, [s for s in samples if s.strip()], 32)
+    plain, samples = ([x[i] for i in rng.permutation(len(x))] for x in (plain, samples))
+    return _train(ORDINARY_BYTES, plain[:MOST_WINDOWS], 64), _train(TOXIC_BYTES, samples, 32)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps, the bias first."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Coefficients of a ridge logistic regression of weighted rows by Newton steps, the bias first."""
     x1 = np.c_[np.ones(len(x)), x]
     w, ridge = np.zeros(x1.shape[1]), np.diag([1e-6] + [1e-2] * x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        w = w - np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + ridge, x1.T @ (p - y) + ridge @ w)
+        w = w - np.linalg.solve((x1 * (weight * p * (1 - p))[:, None]).T @ x1 + ridge, x1.T @ (weight * (p - y)) + ridge @ w)
     return w
 
 
-def fit(labelled: list[tuple[str, int]]) -> ToxicityModel:
-    """Model of (text, label) pairs. Differences for calibration come from dictionaries that did not see their text."""
-    labelled = sorted({(t or "", int(y)) for t, y in labelled})
-    texts, y = [t for t, _ in labelled], np.array([y for _, y in labelled], int)
+def fit(labelled: list[tuple[str, int, float]]) -> ToxicityModel:
+    """Model of (text, label, weight) rows. Differences for calibration come from dictionaries that did not see their text."""
+    labelled = sorted({(t or "", int(y), float(w)) for t, y, w in labelled})
+    texts, y, weight = [r[0] for r in labelled], np.array([r[1] for r in labelled], int), np.array([r[2] for r in labelled], float)
     if not (0 < y.sum() < len(y)):
         return ToxicityModel(b"", b"", [-30.0 if not y.sum() else 30.0] + [0.0] * 4)
     fold = np.random.default_rng(1).permutation(len(y)) % 3
@@ -134,12 +130,13 @@ def fit(labelled: list[tuple[str, int]]) -> ToxicityModel:
         m = _Measure(o, t)
         for i in np.flatnonzero(fold == k):
             x[i] = m.features(texts[i])
-    w = _logistic(x, y)
+    weight *= len(y) / weight.sum()
+    w = _logistic(x, y, weight)
     # the cut with the best F1 becomes a score of CUT
     z = w[0] + x @ w[1:]
     order = np.argsort(-z)
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
+    hit = np.cumsum((weight * y)[order])
+    f1 = 2 * hit / (np.cumsum(weight[order]) + hit[-1])
     best = int(np.argmax(f1))
     edge = (z[order[best]] + z[order[min(best + 1, len(y) - 1)]]) / 2
     w[0] += np.log(CUT / (1 - CUT)) - edge
@@ -147,21 +144,27 @@ def fit(labelled: list[tuple[str, int]]) -> ToxicityModel:
     return ToxicityModel(o, t, [float(v) for v in w])
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int]]:
-    """Bounded sample of labelled rows, least hashes of the id first, whole texts only."""
+def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int, float]]:
+    """Bounded sample of labelled rows (text, label, weight), least hashes of the id first, whole texts only; a text that no longer fits is passed over.
+
+    The weight is how many labelled rows of docs with that label each taken one stands for.
+    """
     tune(docs.sparkSession)
     known = docs.select(id_col)
-    rows = labels.select(id_col, F.col(label_col).cast("int").alias("y")).join(known, id_col, "left_semi").withColumn("h", F.xxhash64(id_col, F.lit(3)))
-    parts = [rows.filter(F.col("y") == y).dropDuplicates([id_col]).orderBy("h", id_col).limit(most) for y, most in MOST_DOCS.items()]
+    rows = labels.select(id_col, F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)").join(known, id_col, "left_semi").withColumn("h", F.xxhash64(id_col, F.lit(3))).dropDuplicates([id_col, "y"])
+    of_label = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [rows.filter(F.col("y") == y).orderBy("h", id_col).limit(most) for y, most in MOST_DOCS.items()]
     chosen = parts[0].unionByName(parts[1])
     texts = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     met = texts.join(F.broadcast(chosen), id_col).select("text", "y", "h")  # at most the sum of MOST_DOCS lines
     left, out = {y: MOST_BYTES * most // sum(MOST_DOCS.values()) for y, most in MOST_DOCS.items()}, []
     for r in sorted(met.collect(), key=lambda r: (r["h"], r["text"])):
-        left[r["y"]] -= len(r["text"])
-        if left[r["y"]] >= 0:
+        size = len(r["text"].encode("utf-8", "replace"))
+        if size <= left[r["y"]]:
+            left[r["y"]] -= size
             out.append((r["text"], r["y"]))
-    return out
+    taken = collections.Counter(y for _, y in out)
+    return [(t, y, of_label[y] / taken[y]) for t, y in out]
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

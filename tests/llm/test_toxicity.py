@@ -1,5 +1,7 @@
+import math
 import random
 
+from leafline.llm import toxicity
 from leafline.llm.toxicity import fit, sample_labelled, score
 
 
@@ -18,7 +20,7 @@ def corpus(seed, n):
 
 
 def test_held_out_accuracy(spark, table):
-    model = fit([(t, y) for _, t, y in corpus(1, 600)])
+    model = fit([(t, y, 1.0) for _, t, y in corpus(1, 600)])
     rows = corpus(2, 400)
     got = {r["doc_id"]: r for r in score(table([(i, t) for i, t, _ in rows]), model).collect()}
     right = [got[i]["predicted"] == y for i, _, y in rows]
@@ -27,7 +29,7 @@ def test_held_out_accuracy(spark, table):
 
 
 def test_awkward_rows(table, awkward):
-    model = fit([(t, y) for _, t, y in corpus(1, 200)])
+    model = fit([(t, y, 1.0) for _, t, y in corpus(1, 200)])
     done = score(table(awkward), model).collect()
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in done) == sorted((str(i), str(t)) for i, t in awkward)
     assert all(0 <= r["score"] <= 1 for r in done)
@@ -35,11 +37,41 @@ def test_awkward_rows(table, awkward):
 
 
 def test_one_sided_or_no_labels(table):
-    for labels in ([], [("a", 0)], [("a", 1)]):
+    for labels in ([], [("a", 0, 1.0)], [("a", 1, 2.0)]):
         assert 0 <= score(table([(1, "a b")]), fit(labels)).first()["score"] <= 1
 
 
-def test_sample(spark, table):
+def test_a_word_met_in_ordinary_text_still_tells(table):
+    """One ordinary document that quotes every insult does not take them from the dictionary."""
+    rows = corpus(1, 600)
+    quoting = (10_000, "vorkul zmagg plithry quobbex the on and", 0)
+    model = fit([(t, y, 1.0) for _, t, y in [*rows, quoting]])
+    assert all(w in model.toxic for w in (b"vorkul", b"zmagg", b"plithry", b"quobbex"))
+    test = corpus(2, 400)
+    got = {r["doc_id"]: r["predicted"] for r in score(table([(i, t) for i, t, _ in test]), model).collect()}
+    assert sum(got[i] == y for i, _, y in test) / len(test) > 0.95
+
+
+def test_scores_equal_compression_lengths_by_hand(table):
+    """Each score from the model's parts alone: windows compressed one by one, their differences, the curve."""
+    model = fit([(t, y, 1.0) for _, t, y in corpus(1, 200)])
+    measure = toxicity._Measure(model.ordinary, model.toxic)
+    for i, t, _ in (rows := corpus(3, 60)):
+        ws = t.lower().encode().split()
+        cut = [b" " + b" ".join(ws[k : k + 8]) + b" " for k in range(0, len(ws), 8)]
+        gains = sorted((len(measure.plain.compress(w)) - len(measure.nested.compress(w)) for w in cut), reverse=True)
+        x = [gains[0], sum(gains[:3]) / 3, math.log1p(sum(g for g in gains if g >= 3)), math.log1p(len(gains))]
+        z = model.weights[0] + sum(a * b for a, b in zip(model.weights[1:], x))
+        rows[i] = (i, t, 1 / (1 + math.exp(-max(-30, min(30, z)))))
+    done = {r["doc_id"]: r["score"] for r in score(table([(i, t) for i, t, _ in rows]), model).collect()}
+    assert all(abs(done[i] - want) < 1e-9 for i, _, want in rows)
+
+
+def test_sample(spark, table, monkeypatch):
     docs = table([(1, "x"), (2, None), (3, "z")])
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, None), (9, 0), (None, 1)], "doc_id bigint, toxic int")
-    assert sorted(sample_labelled(docs, labels)) == [("", 0), ("x", 1)]
+    assert sorted(sample_labelled(docs, labels)) == [("", 0, 1.0), ("x", 1, 1.0)]
+    monkeypatch.setattr(toxicity, "MOST_BYTES", 4 * 100)  # 300 ordinary bytes, 100 toxic ones
+    docs = table([(i, "y" * (500 if i == 3 else 20)) for i in range(12)])
+    labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id bigint, toxic int")
+    assert sample_labelled(docs, labels) == [("y" * 20, 1, 12 / 5)] * 5  # the long one is passed over, the others stand for all
