@@ -18,7 +18,7 @@ from leafline.llm.storage import documents
 from leafline.llm.suffix_dedup import CHUNK_ROWS, remove_repeats
 from leafline.llm.toxicity import fit, sample_labelled, score
 from leafline.llm.warc import captures, resolve_revisits
-from leafline.llm.winnowing import as_string, fingerprints_with_next, hashes, likeness
+from leafline.llm.winnowing import as_string, fingerprints_with_next, hashes, likeness, positions
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -67,7 +67,7 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_string(F.col("chosen")).alias("fingerprint"), as_string(F.col("edited_chosen")).alias("edited_fingerprint"),
-        likeness(own, edited).alias("near_edited"), likeness(own, F.col("next_hashes")).alias("near_next"),
+        likeness(own, edited).alias("near_edited"), likeness(own, F.col("next_hashes")).alias("near_next"), positions(F.col("chosen")).alias("positions"),
     )
 
 

@@ -1,9 +1,11 @@
 """Document fingerprints by winnowing, with built-in functions only.
 
-All k-grams of a text (k code points, at every position) are hashed; of every `window` neighbouring hashes the
-smallest is kept, the rightmost of equals, with its position. Two texts that share window + k - 1 code points in a
-row share a kept hash. Hash and position are packed in one long, so a window's choice is a plain minimum: the hash
-in the upper 32 bits, below it the position counted down.
+All k-grams of a text (k code points, at every position) have a rolling hash, the exclusive or of their code points'
+own hashes, each shifted by how many follow it: hashes of 2, 4, 8 code points come from two neighbouring ones of half
+the length, so each code point is read once and no k-gram is ever a string. Of every `window` neighbouring hashes the smallest is kept, the rightmost
+of equals, with its position. Two texts that share window + k - 1 code points in a row share a kept hash. Hash and
+position are packed in one long, so a window's choice is a plain minimum: the hash in the upper 32 bits, below it the
+position counted down.
 """
 
 from __future__ import annotations
@@ -26,6 +28,29 @@ def _least_of(df: DataFrame, column: str, far: int) -> DataFrame:
     return df.withColumn(column, F.zip_with(c, F.slice(c, far + 1, F.greatest(F.size(c) - far, F.lit(0))), lambda x, y: F.least(x, y)))
 
 
+def points(text: Column) -> Column:
+    """A hash of each code point."""
+    return F.transform(F.split(text, ""), lambda c: F.xxhash64(c))
+
+
+def rolling(df: DataFrame, column: str, k: int) -> DataFrame:
+    """df with an array of points() replaced by the hashes of the k-grams that begin at each; fewer than k code points are one k-gram.
+
+    Of a k-gram's two parts the second begins where the first ends; where k is no power of two the last two overlap. k is 2 or more, or the hashes are the points.
+    """
+    c, n, width = F.col(column), F.size(F.col(column)), 1
+    join = lambda a, b, step: F.shiftleft(a, step).bitwiseXOR(b)
+    whole = c
+    while width < k:  # places too near the end become null and go at last
+        step = min(width, k - width)
+        whole = F.zip_with(whole, F.slice(whole, step + 1, F.greatest(n, F.lit(1))), lambda a, b: join(a, b, step))
+        df, whole = df.withColumn("rolled_", whole), F.col("rolled_")
+        width += step
+    short = F.aggregate(c, F.lit(0).cast("bigint"), lambda a, b: join(a, b, 1))
+    out = F.when(n >= k, F.slice(whole, 1, n - (k - 1))).when(n > 0, F.array(short)).otherwise(c)
+    return df.withColumn(column, out).drop("rolled_")
+
+
 def minima(docs: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW, before: Column | None = None) -> DataFrame:
     """docs with column `out`: array<bigint>, the packed choice of each window of column `text`.
 
@@ -35,9 +60,8 @@ def minima(docs: DataFrame, text: str, out: str, k: int = K, window: int = WINDO
     """
     t, of = F.col(text), F.col(out)
     shift = F.lit(0) if before is None else before
-    grams = F.when(F.char_length(t) < k, F.array(t)).otherwise(F.expr(f"regexp_extract_all(`{text}`, '(?s)(?=(.{{{k}}})).', 1)"))
-    packed = F.transform(grams, lambda g, i: F.shiftleft(F.xxhash64(g), 32).bitwiseOR(F.lit(LAST).cast("bigint") - i))
-    df = docs.withColumn(out, F.when(F.coalesce(F.char_length(t), F.lit(0)) == 0, F.lit([]).cast("array<bigint>")).otherwise(packed))
+    df = rolling(docs.withColumn(out, F.when(F.coalesce(F.char_length(t), F.lit(0)) == 0, F.lit([]).cast("array<bigint>")).otherwise(points(t))), out, k)
+    df = df.withColumn(out, F.transform(of, lambda h, i: F.shiftleft(h, 32).bitwiseOR(F.lit(LAST).cast("bigint") - i)))
     width = 1
     while width < window:  # least of width neighbours, then of twice as many or of what is left
         step = min(width, window - width)
@@ -92,9 +116,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     high = F.coalesce(F.get(F.lit([float(b) for b in bounds]), at), low + 1)
     part = F.greatest(F.lit(0), F.least(F.lit(fine - 1), F.floor((id_ - low) / F.greatest(high - low, F.lit(1.0)) * fine)))
     rows = docs.withColumn("bucket", (at * fine + part).cast("bigint"))
-    firsts = rows.groupBy("bucket").agg(F.max(id_).alias("first"))
-    after = W.orderBy(F.col("bucket").desc())  # a line per bucket
-    before = firsts.select("first", F.lag("bucket").over(after).alias("before"), F.min("bucket").over(W.partitionBy()).alias("lowest"))
+    firsts = rows.groupBy("bucket").agg(F.max(id_).alias("first")).withColumn("range", F.expr(f"bucket div {fine}"))
+    edges = firsts.groupBy("range").agg(F.min("bucket").alias("lowest_"))  # a line per range, BOUNDS at most
+    edges = edges.select("range", F.lag("lowest_").over(W.orderBy(F.col("range").desc())).alias("above"), F.min("lowest_").over(W.partitionBy()).alias("lowest"))
+    within = F.lag("bucket").over(W.partitionBy("range").orderBy(F.col("bucket").desc()))
+    before = firsts.withColumn("within", within).join(F.broadcast(edges), "range").select("first", F.coalesce("within", "above").alias("before"), "lowest")
     visits = before.select(F.col("first").alias("first_"), F.coalesce("before", "lowest").alias("bucket"))
     guests = docs.withColumn("first_", id_).join(visits, "first_").drop("first_").select(*docs.columns, "bucket", F.lit(True).alias("visitor"))
     return rows.withColumn("visitor", F.lit(False)).unionByName(guests)
@@ -109,16 +135,23 @@ def fingerprints_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: st
     its own successor; an empty table gives no rows. Other columns are dropped. Each text is shuffled once.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    both = with_next(rows, "id").withColumn("tie", F.xxhash64("text"))
+    span = K + WINDOW - 1  # code points of a window
     half = (F.char_length("text") / 2).cast("int")
-    same = F.greatest(F.lit(0), F.col("kept") - (K - 1) - (WINDOW - 1))
-    both = both.withColumn("half", half).withColumn("kept", F.char_length("text") - F.col("half")).withColumn("same", same)
+    both = with_next(rows, "id").withColumn("tie", F.xxhash64("text")).withColumn("half", half).withColumn("kept", F.char_length("text") - F.col("half"))
+    both = both.withColumn("same", F.greatest(F.lit(0), F.col("kept") - (span - 1)))
     w = W.partitionBy("bucket").orderBy("visitor", F.col("id").desc_nulls_last(), "tie")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("kept")), F.substring(F.coalesce(F.lead("text").over(w), F.lit("")), F.lit(1), F.col("half")))
-    # windows that lie in the kept half are those of the text itself; only the rest of the edited text is hashed
     df = minima(both.withColumn("edited", edited), "text", "chosen")
-    df = df.withColumn("rest", F.substring(F.col("edited"), F.col("same") + 1, F.char_length("edited")))
-    df = minima(df, "rest", "edited_chosen", before=F.col("same"))
-    df = df.withColumn("edited_chosen", F.array_distinct(F.concat(F.slice("chosen", 1, F.col("same")), F.col("edited_chosen")))).withColumn("chosen", F.array_distinct("chosen"))
-    df = df.withColumn("next_hashes", F.lead(F.array_distinct(hashes(F.col("chosen")))).over(w))
-    return df.filter("not visitor").select(F.col("id").alias(id_col), "text", "edited", "chosen", "edited_chosen", "next_hashes")
+    # windows that lie in the kept half are those of the text, windows that lie behind it those of the next text: only the ones across are hashed anew
+    behind = F.char_length("edited") - F.col("kept")
+    df = df.withColumn("behind", behind).withColumn("across", F.substring(F.col("edited"), F.col("same") + 1, F.when(behind >= span, F.col("kept") - F.col("same") + span - 1).otherwise(F.char_length("edited"))))
+    df = minima(df, "across", "across_chosen", before=F.col("same"))
+    df = df.withColumn("end", F.when(behind >= span, F.substring(F.col("edited"), F.char_length("edited") - span + 1, F.lit(span))))
+    df = minima(df, "end", "end_chosen").withColumn("mine", F.array_distinct("chosen"))
+    df = df.withColumn("next_chosen", F.lead("mine").over(w))
+    # choices of windows in order stand in order, so those of the windows in the part taken over end with its last window's
+    last = F.col("behind") - span + F.get(positions(F.col("end_chosen")), F.lit(0))
+    place = lambda x: F.lit(LAST).cast("bigint") - x.bitwiseAND(F.lit(LAST).cast("bigint"))
+    taken = F.when(F.col("behind") >= span, F.transform(F.filter("next_chosen", lambda x: place(x) <= last), lambda x: x - F.col("kept"))).otherwise(F.lit([]).cast("array<bigint>"))
+    df = df.withColumn("edited_chosen", F.array_distinct(F.concat(F.slice("chosen", 1, F.col("same")), "across_chosen", taken)))
+    return df.filter("not visitor").select(F.col("id").alias(id_col), "text", "edited", F.col("mine").alias("chosen"), "edited_chosen", F.array_distinct(hashes(F.col("next_chosen"))).alias("next_hashes"))

@@ -10,7 +10,8 @@ def test_choices_are_the_rightmost_minima_of_all_windows(spark, awkward, k, widt
     texts = [(i, t) for i, t in enumerate([t for _, t in awkward] + ["abababababababab" * 3, "a" * 40, "abc", "\n\r\n x y"])]
     df = winnow(spark.createDataFrame(texts, "i int, t string"), "t", "out", k, width).select("i", "t", hashes(F.col("out")).alias("h"), positions(F.col("out")).alias("p"))
     grams = spark.createDataFrame([(g,) for g in {t[p : p + k] for _, t in texts if t for p in range(max(1, len(t) - k + 1))}], "g string")
-    of = {r["g"]: r["h"] for r in grams.select("g", F.shiftright(F.shiftleft(F.xxhash64("g"), 32), 32).alias("h")).collect()}
+    made = winnowing.rolling(grams.withColumn("h", winnowing.points(F.col("g"))), "h", k)
+    of = {r["g"]: (r["h"][0] + (1 << 31)) % (1 << 32) - (1 << 31) for r in made.collect()}
     for r in df.collect():
         t = r["t"]
         want = []
@@ -23,6 +24,20 @@ def test_choices_are_the_rightmost_minima_of_all_windows(spark, awkward, k, widt
         assert list(zip(r["h"], r["p"])) == want
 
 
+def test_hashes_are_those_that_roll(spark):
+    """Each hash from the one before: the first code point taken out, the next one taken in."""
+    k, texts = 8, ["the quick brown fox jumps over 🙂 the lazy dög", "12345678", "aaaaaaaaaaaaaaaa"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", winnowing.points(F.col("t"))).withColumn("h", F.col("p"))
+    for r in winnowing.rolling(df, "h", k).collect():
+        assert len(r["p"]) == len(r["t"])
+        h, want = 0, []
+        for i, c in enumerate(r["p"]):
+            out = r["p"][i - k] << (k - 1) if i >= k else 0
+            h = (((h ^ out) << 1) ^ c) % (1 << 64)
+            want += [h] * (i >= k - 1)
+        assert [x % (1 << 64) for x in r["h"]] == want
+
+
 @pytest.mark.parametrize("bucket", [2000, 2, 1])
 def test_next_by_descending_id(table, monkeypatch, bucket):
     monkeypatch.setattr(winnowing, "BUCKET_ROWS", bucket)
