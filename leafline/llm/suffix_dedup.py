@@ -3,7 +3,7 @@
 Each string of `length` bytes has an anchor: of the k-grams in it the one with the smallest hash, the leftmost of
 equals. Neighbouring strings with one anchor form a region. Equal strings have equal anchors, so suffixes need be
 sorted only among regions with the same anchor k-gram, which is how they are dealt out; regions whose anchor occurs in
-one document alone have no repeated string, and equal regions are one text. The texts of a bucket are joined and
+one document alone have no repeated string, and equal regions, byte by byte, are one text. The texts of a bucket are joined and
 their suffixes ranked by the difference-cover algorithm (leafline.llm.difference_cover); neighbours in that order
 whose first `length` bytes agree are one string, and the smallest document of each is known.
 
@@ -29,6 +29,8 @@ from leafline.llm.wordhash import BASE, BASE_INVERSE, U, _power, mixed
 LENGTH, GRAM = 50, 32
 CHUNK_ROWS, BUCKET_BYTES = 2000, 8 << 20
 RUN_BYTES, RANK_BYTES = 1 << 20, 1 << 16
+#: Bytes of text for which there is one task after a shuffle.
+TASK_BYTES = 10 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -80,6 +82,20 @@ class Regions:
         return _gather(self.buf, self.start[rows], self.count[rows] + length - 1)
 
 
+def _changes(buf: np.ndarray, start: np.ndarray, size: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Of regions in order of keys, which differ from the one before, in a key or in their bytes."""
+    new = np.ones(len(start), bool)
+    if len(start):
+        new[1:] = np.any([k[1:] != k[:-1] for k in (*keys, size)], axis=0)
+        at = np.flatnonzero(~new)
+        for i in range(0, len(at), 1 << 14):  # equal keys: the bytes decide
+            k = at[i : i + (1 << 14)]
+            a, n = _gather(buf, start[k], size[k])
+            b, _ = _gather(buf, start[k - 1], size[k])
+            new[k] = np.add.reduceat(a != b, np.cumsum(n) - n) > 0
+    return new
+
+
 def _gather(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the joined bytes from each start on, their sizes)."""
     if not len(start):
@@ -149,7 +165,7 @@ def _ask_anchors(docs: DataFrame, bits: int, length: int, gram: int) -> DataFram
     return docs.select("chunk", "text").mapInArrow(run, MESSAGE)
 
 
-def _answer_anchors(asked: DataFrame) -> DataFrame:
+def _answer_anchors(asked: DataFrame, tasks: int) -> DataFrame:
     """To each chunk, for its distinct anchors of a bucket in order, whether another document or chunk has it too."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -168,7 +184,7 @@ def _answer_anchors(asked: DataFrame) -> DataFrame:
         new = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
         return _messages([(key[0].as_py(), int(chunk[i]), 1, pack(many[i:j])) for i, j in zip(new, np.r_[new[1:], len(chunk)])])
 
-    return asked.groupBy("bucket").applyInArrow(run, MESSAGE)
+    return asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, MESSAGE)
 
 
 class _Chunk:
@@ -194,12 +210,14 @@ class _Chunk:
         order = np.lexsort((self.text, self.hash, self.short))
         for name in ("short", "hash", "run", "row", "count", "text"):
             setattr(self, name, getattr(self, name)[order])
-        n = len(order)
-        self.new = np.flatnonzero(np.r_[True, (self.hash[1:] != self.hash[:-1]) | (self.short[1:] != self.short[:-1])]) if n else np.zeros(0, np.int64)
+        buf = np.concatenate([r.buf for _, r in self.runs]) if self.runs else np.zeros(0, np.uint8)
+        begin = np.cumsum([0, *(len(r.buf) for _, r in self.runs)])
+        start = np.concatenate([r.start + b for (_, r), b in zip(self.runs, begin)])[kept][order] if len(kept) else np.zeros(0, np.int64)
+        self.new = np.flatnonzero(_changes(buf, start, self.count + length - 1, self.short, self.hash))
         self.doc = np.array([NONE if i is None else i for i in self.ids], np.int64)[self.text]
 
 
-def _ask_regions(bundled: DataFrame, answers: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
+def _ask_regions(bundled: DataFrame, answers: DataFrame, bits: int, length: int, gram: int, tasks: int) -> DataFrame:
     """A chunk's distinct regions that may hold repeats: bytes, sizes, keys and smallest documents, by bucket."""
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
@@ -222,7 +240,7 @@ def _ask_regions(bundled: DataFrame, answers: DataFrame, bits: int, length: int,
             for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i
         ])
 
-    return bundled.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, MESSAGE)
+    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(run, MESSAGE)
 
 
 def lowest_documents(joined: np.ndarray, size: np.ndarray, key: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +287,7 @@ def _ranked_minimum(text: np.ndarray, size: np.ndarray, count: np.ndarray, low:
     return found
 
 
-def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
+def _answer_regions(asked: DataFrame, length: int, tasks: int) -> DataFrame:
     """To each chunk, for its regions of a bucket in order: whether one document is the smallest for all strings, that document, and else one for each string."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -280,7 +298,7 @@ def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
         start = np.cumsum(size) - size
         hashes = np.concatenate([_span_hash(_sums(p[0]), (s := np.cumsum(p[1].astype(np.int64)) - p[1]), s + p[1]) for p in parts])
         order = np.lexsort((hashes, short))
-        new = np.r_[True, (hashes[order][1:] != hashes[order][:-1]) | (short[order][1:] != short[order][:-1])]
+        new = _changes(joined, start[order], size[order], short[order], hashes[order])
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
         one = order[new]
@@ -301,7 +319,7 @@ def _answer_regions(asked: DataFrame, length: int) -> DataFrame:
             rows.append((key[0].as_py(), chunk, 2, pack(single, strings[first[mine]], strings[where])))
         return _messages(rows)
 
-    return asked.groupBy("bucket").applyInArrow(run, MESSAGE)
+    return asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, MESSAGE)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chunk_col: str | None = None, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
@@ -323,9 +341,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     else:
         asked = rows
     bits = max(3, ((size["b"] or 0) // BUCKET_BYTES).bit_length())
-    anchors = written(_answer_anchors(_ask_anchors(asked, bits, length, gram)), "suffix-anchors")
+    tasks = max(8, (size["b"] or 0) // TASK_BYTES)  # tasks of one size, however much there is
+    anchors = written(_answer_anchors(_ask_anchors(asked, bits, length, gram), tasks), "suffix-anchors")
     bundled = bundles(asked, CHUNK_ROWS)
-    regions = written(_answer_regions(_ask_regions(bundled, anchors, bits, length, gram), length), "suffix-regions")
+    regions = written(_answer_regions(_ask_regions(bundled, anchors, bits, length, gram, tasks), length, tasks), "suffix-regions")
     answers = anchors.unionByName(regions)
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
@@ -373,4 +392,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         along = {x: mine.column(f"carry_{i}").take(pa.array(c.order, pa.int64())) for i, x in enumerate(carry)}
         return pa.table({id_col: pa.array(c.ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "span_starts": pa.array(starts, spans), "span_ends": pa.array(ends, spans), "kept": pa.array(kept, pa.string() if as_text else pa.binary()), **along})
 
-    return bundled.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
+    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
