@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from leafline.llm.blobs import bundles, from_planes, pack, planes, unbundled, unpack
 from leafline.llm.storage import place_in_files, remove, trim, tune, written
@@ -37,6 +38,8 @@ START, END, STEP = U(0x51A7), U(0xE9D), U(0xD6E8FEB86659FD93)
 PRIORS, DISCOUNT = (3000.0, 10.0), 0.5
 #: Bytes of text of a chunk, about, and its most documents; bytes of text for which there is one bucket.
 CHUNK_BYTES, CHUNK_ROWS, BUCKET_BYTES = 6 << 20, 3000, 4 << 20
+#: Bytes of text for which there is one task after a shuffle.
+TASK_BYTES = 10 << 20
 #: Words that a text is read in one stretch.
 STRETCH = 1000
 ANSWER = "chunk bigint, n int, bucket bigint, data binary, types bigint, total bigint"
@@ -109,7 +112,7 @@ def _ask_short(docs: DataFrame, bits: int) -> DataFrame:
     return docs.select("chunk", "text", "train").mapInArrow(run, ASKED)
 
 
-def _answer(asked: DataFrame) -> DataFrame:
+def _answer(asked: DataFrame, tasks: int) -> DataFrame:
     """For each chunk the trained counts of its n-grams in a bucket, in order, and whether another chunk has them; and with chunk null the bucket's number of trained n-grams and their sum."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -141,7 +144,7 @@ def _answer(asked: DataFrame) -> DataFrame:
             "types": pa.array([None] * k + [int((sums > 0).sum())], pa.int64()), "total": pa.array([None] * k + [int(sums.sum())], pa.int64()),
         })
 
-    return asked.groupBy("bucket", "n").applyInArrow(run, ANSWER)
+    return asked.repartition(tasks, "bucket", "n").groupBy("bucket", "n").applyInArrow(run, ANSWER)
 
 
 class Counts:
@@ -175,7 +178,12 @@ class Counts:
             self.keys.append(keys), self.count.append(count), self.at.append(at), self.asks.append(asks)
 
 
-def _ask_long(bundled: DataFrame, answers: DataFrame, n: int, bits: int) -> DataFrame:
+def _by_chunk(bundled: DataFrame, answers: DataFrame, tasks: int) -> PandasCogroupedOps:
+    """Each chunk's rows with its answers."""
+    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.select("chunk", "n", "bucket", "data").repartition(tasks, "chunk").groupBy("chunk"))
+
+
+def _ask_long(bundled: DataFrame, answers: DataFrame, n: int, bits: int, tasks: int) -> DataFrame:
     """The n-grams of n tokens of each chunk that other chunks may have, with the chunk's own trained counts."""
 
     def run(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
@@ -186,7 +194,7 @@ def _ask_long(bundled: DataFrame, answers: DataFrame, n: int, bits: int) -> Data
         trim()
         return out
 
-    return bundled.groupBy("chunk").cogroup(answers.select("chunk", "n", "bucket", "data").groupBy("chunk")).applyInArrow(run, ASKED)
+    return _by_chunk(bundled, answers, tasks).applyInArrow(run, ASKED)
 
 
 class Automaton:
@@ -304,11 +312,12 @@ def score(docs: DataFrame, train_col: str = "train", id_col: str = "doc_id", tex
     else:
         rows = rows.withColumn("chunk", place)
     bits = max(3, (n_bytes // BUCKET_BYTES).bit_length())
-    parts = [written(_answer(_ask_short(rows, bits)), "lm-answers")]
+    tasks = max(8, n_bytes // TASK_BYTES)  # tasks of one size, however much there is
+    parts = [written(_answer(_ask_short(rows, bits), tasks), "lm-answers")]
     bundled = bundles(rows, CHUNK_ROWS)
     answers = parts[0].filter("chunk is not null")
     for n in range(3, order + 1):
-        parts.append(written(_answer(_ask_long(bundled, answers, n, bits)), "lm-answers"))
+        parts.append(written(_answer(_ask_long(bundled, answers, n, bits, tasks), tasks), "lm-answers"))
         answers = answers.unionByName(parts[-1].filter("chunk is not null"))
     seen = parts[0].filter("chunk is null and n = 1").agg(F.sum("types").alias("v"), F.sum("total").alias("n")).first()
     n_types, total, n_texts = seen["v"] or 0, seen["n"] or 0, size["t"]
@@ -330,4 +339,4 @@ def score(docs: DataFrame, train_col: str = "train", id_col: str = "doc_id", tex
 
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return bundled.groupBy("chunk").cogroup(answers.select("chunk", "n", "bucket", "data").groupBy("chunk")).applyInArrow(run, schema)
+    return _by_chunk(bundled, answers, tasks).applyInArrow(run, schema)
