@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -18,9 +21,11 @@ FILTER_BITS = 1 << 23
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder of spark.checkpoint.dir. Where that is unset, a temporary one on one machine, as in tests; an error on a cluster."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not known:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that all machines share")
         known = "file://" + tempfile.mkdtemp(prefix="leafline-")
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")
@@ -46,8 +51,35 @@ def trim() -> None:
         return
 
 
+#: Paths made within passing().
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/leafline-{name}-{uuid.uuid4().hex}"
+    path, made = f"{shared_dir(spark)}/leafline-{name}-{uuid.uuid4().hex}", _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written within are deleted at its end, but for those given to the function it yields."""
+    made: list[str] = []
+    kept: set[str] = set()
+    token = _made.set(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._leafline_path)  # noqa: SLF001
+        return df
+
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for path in made:
+            if path not in kept:
+                drop_path(spark, path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from leafline.llm import sharding
 from leafline.llm.sharding import shard
@@ -32,3 +33,42 @@ def test_awkward_rows(table, awkward):
 def test_unknown_law(table):
     with pytest.raises(ValueError):
         shard(table([]), law="other")
+
+
+@pytest.mark.parametrize(("law", "n_shards", "ranges"), [("bytes", 4, 8), ("rows", 3, 5), ("bytes", 16, 64)])
+def test_rows_lie_where_sorting_them_all_puts_them(spark, table, law, n_shards, ranges):
+    """Each row's shard and slot from one sorted list: the order of keys, the room that the large rows leave, the middles of the rest."""
+    rows = [(i, "x" * (i * 7919 % 400) + str(i % 90)) for i in range(700)] + [(1000 + i, "y" * 6000) for i in range(3)]
+    df = table(rows)
+    keys = {r["doc_id"]: (r["k"], r["t"]) for r in df.select("doc_id", F.xxhash64("text").alias("k"), F.xxhash64("doc_id", F.lit(1)).alias("t")).collect()}
+    weight = {i: len(t.encode()) + 1 if law == "bytes" else 1 for i, t in rows}
+    total = sum(weight.values())
+    big = [i for i, _ in rows if weight[i] * n_shards * sharding.LARGE > total]
+    done = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard(df, n_shards, law, ranges).collect()}
+    assert len(done) == len(rows)
+    load = [sum(weight[i] for i in big if done[i][0] == s) for s in range(n_shards)]
+    lightest_first = sorted((weight[i] for i in big), reverse=True)
+    assert not big or max(load) - min(load) <= lightest_first[0]
+    room = [max(0.0, total / n_shards - x) for x in load]
+    rest = total - sum(load)
+    ends, at = [], 0.0
+    for x in room[:-1]:
+        at += x * rest / sum(room)
+        ends.append(at)
+    begin, held = 0, [0] * n_shards
+    for i in sorted((i for i, _ in rows if i not in set(big)), key=lambda i: (*keys[i], i)):
+        s = sum(e <= begin + weight[i] / 2 for e in ends)
+        assert done[i] == (s, held[s])
+        begin += weight[i]
+        held[s] += 1
+    for s in range(n_shards):
+        assert sorted(done[i][1] for i in big if done[i][0] == s) == list(range(held[s], held[s] + sum(done[i][0] == s for i in big)))
+
+
+def test_ranges_by_halving(spark):
+    cuts = sorted({(i * 37 % 101 - 50, i % 3) for i in range(90)})
+    probes = [(k, t) for k in range(-55, 56, 5) for t in range(4)]
+    df = spark.createDataFrame(probes, "key bigint, tie bigint")
+    for n in (0, 1, 2, 3, 7, 8, len(cuts)):
+        got = {(r["key"], r["tie"]): r["n"] for r in df.withColumn("n", sharding._range_of(cuts[:n])).collect()}
+        assert got == {p: sum(c <= p for c in cuts[:n]) for p in probes}
