@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences in five stages."""
+"""From raw documents to packed training sequences in five stages.
+
+Every stage takes rows as they come: a null text counts as empty, null ids are ids like others, repeated ids are rows of
+their own, ties are broken by id and then by row, columns beside COLUMNS are dropped, and an empty table gives none.
+Long texts are read whole.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from leafline.llm.exact_dedup import exact_dedup, text_digest
 from leafline.llm.jaccard import jaccard_copies, row_key
 from leafline.llm.packing import pack
 from leafline.llm.queries import held_out
-from leafline.llm.storage import documents, place_in_files, without, written
+from leafline.llm.storage import documents, passing, place_in_files, remove, without, written
 from leafline.llm.suffix_dedup import CHUNK_ROWS, remove_repeats
 from leafline.llm.toxicity import fit, sample_labelled, score
 
@@ -19,7 +24,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic; it learns from labels outside the held-out fold."""
+    """Documents that the classifier does not call toxic; it learns from labels outside the held-out fold. Null and empty texts have the score of no evidence; with labels of one kind only all rows have one score."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit(sample_labelled(docs.filter(~held_out(2, 4)), labels))
     return score(docs, model).filter("predicted = 0").select(*COLUMNS)
@@ -41,7 +46,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without strings of 50 bytes that also start in a document with a smaller doc_id."""
+    """All documents, without strings of 50 bytes that also start in a document with a smaller doc_id; a null id is larger than any, rows of one id do not shorten one another. A null text becomes an empty one."""
     place = place_in_files(docs, CHUNK_ROWS)
     rows = docs.select(*COLUMNS, *([] if place is None else [place.alias("chunk")]))
     done = remove_repeats(rows, chunk_col=None if place is None else "chunk", carry=("lang", "source"), as_text=True)
@@ -49,7 +54,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 tokens."""
+    """Pieces of all documents in sequences of at most 1024 tokens; an empty text is one piece, the end."""
     return pack(docs, VOCABULARY)
 
 
@@ -60,8 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces that the stages make of `documents`; each stage's result is written and read again."""
+    """The pieces that the stages make of `documents`; each stage's result is written and read again, and what it was made from is deleted."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing(spark) as keep:
+            after = keep(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if hasattr(docs, "_leafline_path"):
+            remove(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
