@@ -112,3 +112,65 @@ def slot_reasons(box: Column, kind: Column, page_width: Column, page_height: Col
         F.when(width(box) > page_width * pick(0), "TOO_WIDE"),
         F.when(area(box) > page_width * page_height * pick(1), "TOO_LARGE"),
     ))
+
+
+def shared_height(a: Column, b: Column) -> Column:
+    """Share of the lower box's height that both have."""
+    common = F.greatest(F.lit(0.0), F.least(_at(a, 3), _at(b, 3)) - F.greatest(_at(a, 1), _at(b, 1)))
+    return common / F.greatest(F.lit(1.0), F.least(height(a), height(b)))
+
+
+def in_region(block: Column, region: Column, least: float = 0.5) -> Column:
+    """Whether a block lies in a region by its centre or by that share of its area."""
+    inside = ((_at(block, 0) + _at(block, 2)) / 2).between(_at(region, 0), _at(region, 2)) & center_y(block).between(_at(region, 1), _at(region, 3))
+    return (containment(block, region) >= least) | inside
+
+
+def too_broad(box: Column, page_width: Column, page_height: Column) -> Column:
+    """Whether a region is over 60 % of the page, or over 90 % of its width and 40 % of its height."""
+    w, h = width(box) / page_width, height(box) / page_height
+    return (w * h > 0.6) | ((w > 0.9) & (h > 0.4))
+
+
+def split_down(box: Column, parts: int, page_height: Column) -> Column:
+    """The box, cut off at the page's end, in parts of one height from the top; none if nothing is left."""
+    bottom = F.least(_at(box, 3), page_height)
+    step = (bottom - _at(box, 1)) / parts
+    part = lambda i: F.array(_at(box, 0), F.round(_at(box, 1) + i * step, 2), _at(box, 2), F.round(bottom if i + 1 == parts else _at(box, 1) + (i + 1) * step, 2))
+    return F.when(bottom > _at(box, 1), F.array(*[part(i) for i in range(parts)]))
+
+
+def union_all(box: Column) -> Column:
+    """Aggregate: the least box around all."""
+    return F.array(F.min(_at(box, 0)), F.min(_at(box, 1)), F.max(_at(box, 2)), F.max(_at(box, 3)))
+
+
+def upper_median(value: Column) -> Column:
+    """Aggregate: the middle value, of two the upper one. A group's values are one array: a page's worth."""
+    all_ = F.array_sort(F.collect_list(value))
+    return F.get(all_, F.floor(F.size(all_) / 2).cast("int"))
+
+
+def hard_gate(box: Column, kind: Column, roi_width: Column, roi_height: Column, corridor: Column | None = None, stem: Column | None = None, other_stems: Column | None = None, diagrams: Column | None = None, siblings: Column | None = None) -> Column:
+    """Ordered reason codes against a slot's box in its question's region; what is not given speaks against nothing.
+
+    In the region; by kind its area and sides; its centre in the question's corridor; how much it covers of the stem,
+    of other questions' stems (arrays of boxes, as all that follow), of diagrams of itself, and of its siblings.
+    """
+    choice = F.coalesce(kind == "choice", F.lit(False))
+    shaped = F.coalesce((F.size(box) == 4) & (_at(box, 0) >= 0) & (_at(box, 1) >= 0) & (_at(box, 0) < _at(box, 2)) & (_at(box, 1) < _at(box, 3)) & (_at(box, 2) <= roi_width) & (_at(box, 3) <= roi_height), F.lit(False))
+    ratio = area(box) / F.greatest(F.lit(1.0), roi_width * roi_height)
+    any_of = lambda found, test: F.lit(False) if found is None else F.coalesce(F.exists(found, test), F.lit(False))
+    share = lambda a, of: F.coalesce(F.try_divide(intersection(a, box), area(of)), F.lit(0.0))
+    outside = F.lit(False) if corridor is None else ~(((_at(box, 0) + _at(box, 2)) / 2).between(_at(corridor, 0), _at(corridor, 2)) & center_y(box).between(_at(corridor, 1), _at(corridor, 3)))
+    reasons = F.array_compact(F.array(
+        F.when(ratio > F.when(choice, 0.035).otherwise(0.12), "box_area_too_large"),
+        F.when(choice & ((width(box) > 0.22 * roi_width) | (height(box) > 0.12 * roi_height)), "choice_box_not_local"),
+        F.when(~choice & (height(box) > 0.32 * roi_height), "answer_box_too_tall"),
+        F.when(outside, "outside_question_corridor"),
+        F.when(F.lit(False) if stem is None else share(stem, stem) > 0.62, "covers_printed_stem"),
+        F.when(any_of(other_stems, lambda o: share(o, o) > 0.45), "crosses_other_question_stem"),
+        F.when(any_of(diagrams, lambda d: share(d, box) >= 0.30), "overlaps_diagram_mask"),
+        F.when(any_of(siblings, lambda o: F.coalesce(F.try_divide(intersection(o, box), F.least(area(o), area(box))), F.lit(0.0)) >= 0.55), "duplicates_sibling_slot"),
+    ))
+    return F.when(shaped, reasons).otherwise(F.array(F.lit("invalid_or_out_of_bounds")))

@@ -48,15 +48,24 @@ def answer_key(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(t, r"\.0+\b", ""), "[,.;:，。；：、]", ""))
 
 
-@F.pandas_udf(T.StringType())
-def folded(text: pd.Series) -> pd.Series:
-    """NFKC, dashes and × folded, letters and digits only, lower case. Python, as Spark has no NFKC."""
+def _by_nfkc(change, finish):
+    """A normaliser of NFKC forms to letters and digits. Python, as Spark has no NFKC."""
 
-    def one(t: str | None) -> str:
-        t = unicodedata.normalize("NFKC", t or "").replace("−", "-").replace("–", "-").replace("—", "-").replace("×", "x")
-        return re.sub(r"[\W_]+", "", t).lower()
+    @F.pandas_udf(T.StringType())
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: finish(re.sub(r"[\W_]+", "", change(unicodedata.normalize("NFKC", t or "")))))
 
-    return text.map(one)
+    return run
+
+
+#: LaTeX commands that do not count in a comparison; dashes and signs and what stands for them.
+COMMANDS = re.compile(r"\\(?:frac|sqrt|left|right|mathrm|text|square)")
+DASHES = str.maketrans({"−": "-", "–": "-", "—": "-", "×": "x"})
+
+#: Letters and digits of the NFKC form: × taken as x, in lower case; in case-folded form; without LaTeX commands, in lower case.
+folded = _by_nfkc(lambda t: t.translate(DASHES), str.lower)
+casefolded = _by_nfkc(str, str.casefold)
+formula_key = _by_nfkc(lambda t: COMMANDS.sub("", t), str.lower)
 
 
 def choice(text: Column) -> Column:
@@ -161,12 +170,11 @@ def balanced(text: pd.Series) -> pd.Series:
 
 def content_issues(text: Column, confidence: Column, kind_: Column, stem: Column) -> Column:
     """Ordered issues of a transcription: empty, low confidence, invalid choice, text of the question, cut off, a bare mark."""
-    t = compact(text)
-    return F.array_compact(F.array(
+    return F.get(F.transform(F.array(compact(text)), lambda t: F.array_compact(F.array(  # the compact text is made once
         F.when(t == "", "EMPTY"),
         F.when(F.coalesce(confidence, F.lit(0.0)) < 0.65, "LOW_CONFIDENCE"),
         F.when((t != "") & (kind_ == "choice") & ~choice(text).rlike("^([A-H]{1,8}|✓)$"), "INVALID_CHOICE"),
         F.when((F.char_length(t) >= 8) & F.contains(compact(stem), t), "STEM_TEXT"),
         F.when(t.rlike(r"(\.\.\.|…)$"), "TRUNCATED"),
-        F.when(t.rlike(r"^[(\[]?[0-9]{1,2}[)\].、]?$") & (kind_ != "choice"), "MARKER_ONLY"),
-    ))
+        F.when((F.char_length(t) <= 5) & t.rlike(r"^[(\[]?[0-9]{1,2}[)\].、]?$") & (kind_ != "choice"), "MARKER_ONLY"),
+    ))), F.lit(0))

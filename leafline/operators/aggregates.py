@@ -123,16 +123,24 @@ def triage(text: Column, confidence: Column) -> Column:
     return F.when(n == 0, "missing").when(sure < 0.5, "poor").when((n < 20) & (sure < 0.8), "doubtful").when(sure < 0.8, "fair").otherwise("good")
 
 
+def reports(rows: DataFrame, key: Column, rules: list[tuple], message: bool = False) -> DataFrame:
+    """(rule, level, key[, message]) for each rule (name, level, condition[, message]) that a row breaks, in one pass."""
+    line = lambda r: F.struct(F.lit(r[0]).alias("rule"), F.lit(r[1]).alias("level"), key.cast("string").alias("key"), *([r[3].cast("string").alias("message")] if message else []))
+    return rows.select(F.inline(F.array_compact(F.array(*[F.when(F.coalesce(r[2], F.lit(False)), line(r)) for r in rules]))))
+
+
 def tree_rules(tree: DataFrame) -> DataFrame:
     """(rule, level, key, message) of the rows (item_id, slot_idx, expected_slot_count) of a tree: ids missing, slots repeated or not contiguous from 1, counts out of range or not met."""
     items = tree.groupBy("item_id").agg(F.count("slot_idx").alias("n"), F.countDistinct("slot_idx").alias("d"), F.min("slot_idx").alias("lo"), F.max("slot_idx").alias("hi"), F.max("expected_slot_count").alias("e"))
-    key = F.col("item_id").cast("string")
-    checks = [
+    return reports(items, F.col("item_id"), [
         ("MISSING_ID", "error", F.col("item_id").isNull(), F.lit("item without id")),
         ("DUPLICATE_SLOT", "error", F.col("n") > F.col("d"), F.concat(F.col("n") - F.col("d"), F.lit(" repeated"))),
         ("SLOT_GAP", "error", (F.col("n") > 0) & ((F.col("lo") != 1) | (F.col("hi") != F.col("d"))), F.concat(F.lit("slots "), F.col("lo"), F.lit(" to "), F.col("hi"))),
         ("COUNT_RANGE", "error", ~F.col("e").between(1, 100), F.concat(F.lit("count "), F.col("e"))),
         ("COUNT_MISMATCH", "warning", F.col("e") != F.col("d"), F.concat(F.col("e"), F.lit(" expected, "), F.col("d"), F.lit(" found"))),
-    ]
-    found = [items.filter(c).select(F.lit(r).alias("rule"), F.lit(lv).alias("level"), key.alias("key"), m.alias("message")) for r, lv, c, m in checks]
-    return reduce(DataFrame.unionByName, found)
+    ], message=True)
+
+
+def mean_or_zero(value: Column, digits: int = 4) -> Column:
+    """Aggregate: the sum over how many rows there are, nought without."""
+    return F.round(F.coalesce(F.sum(value), F.lit(0.0)) / F.greatest(F.lit(1), F.count(F.lit(1))), digits)

@@ -17,6 +17,11 @@ def best(rows: DataFrame, keys: list[str], score: Column, ties: list[Column | st
     return rows.withColumn("rank_", F.row_number().over(W.partitionBy(*keys).orderBy(score.desc(), *ties))).filter("rank_ = 1").drop("rank_")
 
 
+def first_by(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """The first row of each key by an order."""
+    return rows.withColumn("rank_", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("rank_ = 1").drop("rank_")
+
+
 def top(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """The first k rows of each key with their `rank`."""
     return rows.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= k)

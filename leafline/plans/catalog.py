@@ -2,41 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafline import ship
 from leafline.functions import boxes, text
 from leafline.operators import aggregates, assignment, candidates, contamination, evaluation, extraction, joins, ordering, structure, windows
+from leafline.plans.registry import ORACLE_SQL, QUERIES, long, query  # noqa: F401
 from leafline.streaming import arrivals
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a function of (table) under its name; `sql` is its twin."""
-
-    def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
-            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-        QUERIES[f.__name__] = run
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def long(c: Column) -> Column:
-    return c.cast("bigint")
-
-
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000 ORDER BY o_orderkey LIMIT 100")
 def q01_filter_limit(t):
     rows = t("orders").filter((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 100000))
@@ -223,11 +197,11 @@ def q15b_answer_completion(t):
 
 
 @query("""
-    SELECT doc_id, 'left' AS side FROM (SELECT DISTINCT doc_id FROM documents WHERE lang = 'en') WHERE doc_id NOT IN (SELECT doc_id FROM labels)
-    UNION ALL SELECT doc_id, 'right' FROM (SELECT DISTINCT doc_id FROM labels) WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')
+    SELECT doc_id, 'left' AS side FROM (SELECT DISTINCT doc_id FROM documents) WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+    UNION ALL SELECT doc_id, 'right' FROM (SELECT DISTINCT doc_id FROM labels) WHERE doc_id NOT IN (SELECT doc_id FROM documents)
 """)
 def q16_uncovered(t):
-    return joins.uncovered(t("documents").filter("lang = 'en'"), t("labels"), ["doc_id"])
+    return joins.uncovered(t("documents"), t("labels"), ["doc_id"])
 
 
 @query("""
@@ -515,12 +489,12 @@ def q47_histogram(t):
 
 
 @query("""
-    WITH p AS (SELECT conv_id, turn, role, lower(regexp_replace(substr(text, 1, 2), '[^0-9A-Za-z]+', '', 'g')) AS title FROM conversations),
+    WITH p AS (SELECT conv_id, turn, role, lower(regexp_replace(role, '[^0-9A-Za-z]+', '', 'g')) AS title FROM conversations),
     f AS (SELECT *, min(turn) OVER (PARTITION BY conv_id, title) AS first FROM p)
     SELECT conv_id, turn, dense_rank() OVER (PARTITION BY conv_id ORDER BY first)::INT AS section FROM f
 """)
 def q48_merged_sections(t):
-    rows = t("conversations").select("conv_id", "turn", F.substring("text", 1, 2).alias("head"))
+    rows = t("conversations").select("conv_id", "turn", F.col("role").alias("head"))
     return structure.merged_sections(rows, ["conv_id"], F.lower(F.regexp_replace("head", "[^0-9A-Za-z]+", "")), ["turn"]).select("conv_id", "turn", "section")
 
 
@@ -598,10 +572,10 @@ def q53_fallback_chain(t):
 
 
 @query("""
-    SELECT conv_id, count(*)::BIGINT AS n, CASE WHEN bool_and(role <> 'system') AND bool_or(regexp_matches(upper(substr(text, 1, 1)), '^[A-H]$')) THEN 1 ELSE count(*) END::BIGINT AS n_items FROM conversations GROUP BY 1
+    SELECT conv_id, count(*)::BIGINT AS n, CASE WHEN bool_and(role <> 'system') AND bool_or(regexp_matches(chr((65 + turn % 12)::INT), '^[A-H]$')) THEN 1 ELSE count(*) END::BIGINT AS n_items FROM conversations GROUP BY 1
 """)
 def q54_collapsed_choices(t):
-    rows = t("conversations").select("conv_id", "turn", F.when(F.col("role") != "system", "choice").otherwise("fill").alias("kind"), F.upper(F.substring("text", 1, 1)).alias("label"), F.array("role").alias("refs"))
+    rows = t("conversations").select("conv_id", "turn", F.when(F.col("role") != "system", "choice").otherwise("fill").alias("kind"), F.char(65 + F.col("turn") % 12).alias("label"), F.array("role").alias("refs"))
     out = structure.collapsed_choices(rows, ["conv_id"], "turn", "kind", "label", "refs")
     return rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).join(out, "conv_id").select("conv_id", "n", "n_items")
 
@@ -611,9 +585,10 @@ def q54_collapsed_choices(t):
     SELECT o_custkey, len(list_intersect(a, b)) >= 0.65 * len(b) AND len(list_filter(a, lambda x: NOT list_contains(b, x))) <= greatest(2, round_even(len(b) * 0.25, 0)) AS accepted FROM c, s
 """)
 def q55_candidate_gate(t):
-    named = t("orders").filter("o_orderpriority < '4'").agg(F.collect_set("o_orderpriority").alias("b")).first()["b"]  # a handful of names
-    rows = t("orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("a"))
-    return rows.select("o_custkey", structure.candidate_gate(F.col("a"), F.array(*[F.lit(x) for x in named]).cast("array<string>")).alias("accepted"))
+    one = F.lit(1).alias("one_")
+    named = t("orders").filter("o_orderpriority < '4'").agg(F.collect_set("o_orderpriority").alias("b")).select("b", one)  # one row, a handful of names
+    rows = t("orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("a")).select("o_custkey", "a", one)
+    return rows.join(F.broadcast(named), "one_").select("o_custkey", structure.candidate_gate(F.col("a"), F.col("b")).alias("accepted"))
 
 
 @query("SELECT vec_id, x2 > x1 AND x2 <= 1654 AND y2 > y1 AND y2 <= 2338 AS valid, round((x2 - x1) * (y2 - y1), 3) AS area FROM (SELECT vec_id, round(abs(embedding[1]::DOUBLE) * 1000, 3) AS x1, round(abs(embedding[2]::DOUBLE) * 1000, 3) AS y1, round(abs(embedding[1]::DOUBLE) * 1000, 3) + round(abs(embedding[3]::DOUBLE) * 1000, 3) + 1 AS x2, round(abs(embedding[2]::DOUBLE) * 1000, 3) + round(abs(embedding[4]::DOUBLE) * 1000, 3) + 1 AS y2 FROM embeddings)")
