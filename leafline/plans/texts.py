@@ -199,14 +199,14 @@ def q73_printed_text(t):
 
 
 _BOX = """
-    WITH v AS (SELECT vec_id, label, round(abs(embedding[1]::DOUBLE) * 1000, 3) AS x1, round(abs(embedding[2]::DOUBLE) * 1000, 3) AS y1, round(abs(embedding[3]::DOUBLE) * 1000, 3) AS w, round(abs(embedding[4]::DOUBLE) * 1000, 3) AS h FROM embeddings),
+    WITH v AS (SELECT vec_id, label, floor(abs(embedding[1]::DOUBLE) * 1000000) / 1000 AS x1, floor(abs(embedding[2]::DOUBLE) * 1000000) / 1000 AS y1, floor(abs(embedding[3]::DOUBLE) * 1000000) / 1000 AS w, floor(abs(embedding[4]::DOUBLE) * 1000000) / 1000 AS h FROM embeddings),
     b AS (SELECT *, x1 + w + 1 AS x2, y1 + h + 1 AS y2 FROM v)
 """
 
 
 def vector_boxes(t):
     """A box from the first four numbers of each vector, on a page of 1000."""
-    v = [F.round(F.abs(F.get("embedding", F.lit(i)).cast("double")) * 1000, 3) for i in range(4)]
+    v = [F.floor(F.abs(F.get("embedding", F.lit(i)).cast("double")) * 1000000) / 1000 for i in range(4)]
     return t("embeddings").select("vec_id", "label", F.array(v[0], v[1], v[0] + v[2] + 1, v[1] + v[3] + 1).alias("box"))
 
 
@@ -255,9 +255,9 @@ def q77_split_regions(t):
     return rows.select("vec_id", "part", *[F.get("p", F.lit(i)).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
-@query(_BOX + "SELECT label, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2, sort_[len(sort_) // 2 + 1] AS upper_median, median(w) AS median FROM (SELECT *, list_sort(list(w) OVER (PARTITION BY label)) AS sort_ FROM b) GROUP BY label, sort_")
+@query(_BOX + "SELECT label, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2, sort_[len(sort_) // 2 + 1] AS upper_median, median(x2) AS median FROM (SELECT *, list_sort(list(x2) OVER (PARTITION BY label)) AS sort_ FROM b) GROUP BY label, sort_")
 def q78_union_and_medians(t):
-    rows = vector_boxes(t).withColumn("w", F.round(F.abs(F.get(F.col("box"), F.lit(2)) - F.get(F.col("box"), F.lit(0)) - 1), 3))
+    rows = vector_boxes(t).withColumn("w", F.get(F.col("box"), F.lit(2)))
     out = rows.groupBy("label").agg(boxes.union_all(F.col("box")).alias("u"), boxes.upper_median(F.col("w")).alias("upper_median"), F.median("w").alias("median"))
     return out.select("label", *[F.get("u", F.lit(i)).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))], "upper_median", "median")
 

@@ -325,7 +325,7 @@ def q104_document_fingerprints(t):
 
 
 @query(_BOX + """
-    , s AS (SELECT * FROM b WHERE vec_id % 10 = 3), m AS (SELECT s.vec_id, s.label, o.vec_id AS other, o.x1 AS ox1, o.x2 AS ox2, s.x1 AS sx1, s.x2 AS sx2, abs((s.y1 + s.y2) / 2 - (o.y1 + o.y2) / 2) <= greatest(18, (s.y2 - s.y1) * 0.6) AS near FROM s JOIN b o ON o.label = s.label AND o.vec_id <> s.vec_id)
+    , s AS (SELECT * FROM b WHERE vec_id % 10 = 3), m AS (SELECT s.vec_id, s.label, o.vec_id AS other, o.x1 AS ox1, o.x2 AS ox2, s.x1 AS sx1, s.x2 AS sx2, abs((s.y1 + s.y2) / 2 - (o.y1 + o.y2) / 2) <= greatest(18, (s.y2 - s.y1) * 0.6) AS near FROM s JOIN b o ON o.label = s.label)
     SELECT s.vec_id::VARCHAR AS slot_id, (SELECT max_by('t' || other, ox2) FROM m WHERE m.vec_id = s.vec_id AND near AND ox2 <= sx1 + 8) AS before, (SELECT min_by('t' || other, ox1) FROM m WHERE m.vec_id = s.vec_id AND near AND ox1 >= sx2 - 8) AS after FROM s
 """)
 def q105_printed_context(t):
