@@ -3,7 +3,8 @@
 Each distinct text has a key (its digest and byte length) in a disk-backed state store that never expires; the state
 retains the digest, the identifier of the row that stays and that row's content locator. Rows whose digest was met
 more than once have their full bytes compared; texts that differ in spite of an equal digest are told apart by the
-texts themselves.
+texts themselves. exact_dedup() takes one table and leaves nothing; exact_dedup_batch() goes on from a folder that holds
+the state and the contents of all batches before.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from leafline.llm.storage import likely, new_path, written
+from leafline.llm.storage import children, likely, new_path, path_exists, written
 
 #: Fixed values.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,35 +43,81 @@ def text_digest(text: Column) -> Column:
     return sha256(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))))
 
 
-def keep_largest(spark: SparkSession, keys: DataFrame) -> DataFrame:
-    """(digest, n_bytes, keep struct<id, locator>, group_size) of the rows (digest, n_bytes, id, locator) of a table in a folder, gathered by a stream over that folder."""
+def keep_largest(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, out: str) -> DataFrame:
+    """(digest, n_bytes, keep struct<id, locator>, group_size) of the rows (digest, n_bytes, id, locator) of the tables in a folder, gathered by a stream over that folder.
+
+    The stream goes on from its checkpoint: what it has seen stays in its state, and only new files are read.
+    """
     before = {k: spark.conf.get(k, None) for k in STORE}
     for k, v in STORE.items():
         spark.conf.set(k, v)
-    at, out = new_path(spark, "dedup-stream"), new_path(spark, "dedup-state")
-    schema = "digest string, n_bytes int, keep struct<id: %s, locator: bigint>, group_size bigint" % keys.schema["id"].dataType.simpleString()
+    known, locator = schema["id"].dataType.simpleString(), schema["locator"].dataType.simpleString()
+    out_schema = f"digest string, n_bytes int, keep struct<id: {known}, locator: {locator}>, group_size bigint"
     try:
         state = (
-            spark.readStream.schema(keys.schema).parquet(keys._leafline_path)  # noqa: SLF001
+            spark.readStream.schema(schema).parquet(path)
             .groupBy("digest", "n_bytes")
             .agg(F.max(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
         )
         query = (
             state.writeStream.outputMode("update")
             .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"))
-            .option("checkpointLocation", at).trigger(availableNow=True).start()
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
         query.awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    if not query.recentProgress or all(not p["numInputRows"] for p in query.recentProgress):
-        return spark.createDataFrame([], schema)
-    emitted = spark.read.schema(schema + ", batch bigint").parquet(out)
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], out_schema)
+    emitted = spark.read.schema(out_schema + ", batch bigint").parquet(out)
     last = F.max(F.struct("batch", "keep", "group_size")).alias("last")
     return emitted.groupBy("digest", "n_bytes").agg(last).select("digest", "n_bytes", "last.keep", "last.group_size")
 
 
+def exact_dedup_batch(
+    docs: DataFrame,
+    state: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    normalise: Callable[[Column], Column] = ascii_lower,
+    digest: Callable[[Column], Column] = sha256,
+) -> DataFrame:
+    """exact_dedup() of a batch against itself and all batches before it, which a folder `state` that all machines share remembers.
+
+    Rows are those of docs alone: keep_id may be of an earlier batch, and a kept row of an earlier batch may since have
+    given way to one with a larger id. The folder holds the stream's checkpoint with its state, which never expires,
+    each row's key, and the contents by locator (batch and row); the text at the kept row's locator is fetched for
+    every digest met more than once and compared byte by byte. A batch is added once: one whose run was broken off
+    stays added.
+    """
+    spark = docs.sparkSession
+    nth = len(children(spark, f"{state}/contents"))
+    text = normalise(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.struct(F.lit(nth).alias("batch"), F.monotonically_increasing_id().alias("row")).alias("locator"))
+    rows = rows.select("*", digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"))
+    at = f"{state}/contents/{nth:08d}"
+    rows.write.parquet(at)
+    rows = spark.read.schema(rows.schema).parquet(at)
+    rows.select("id", "digest", "n_bytes", "locator").write.mode("append").parquet(f"{state}/keys")
+    keys = rows.select("id", "digest", "n_bytes", "locator")
+    found = written(keep_largest(spark, f"{state}/keys", keys.schema, f"{state}/checkpoint", f"{state}/groups"), "dedup-kept")
+    mine = keys.join(found, ["digest", "n_bytes"])
+    every = spark.read.schema(rows.schema).parquet(f"{state}/contents/*")
+    hits = mine.filter("group_size > 1").select("digest", "n_bytes", F.col("keep.locator").alias("locator")).distinct()
+    kept = likely(every.select("locator", F.col("text").alias("kept_text")), hits, ["locator"]).join(hits, "locator")
+    met = likely(rows.select("digest", "n_bytes", "text"), hits, ["digest", "n_bytes"]).join(kept, ["digest", "n_bytes"])
+    collided = written(met.filter("text <> kept_text").select("digest", "n_bytes").distinct(), "dedup-collided")
+    line = lambda df: df.select("id", F.col("keep.id").alias("keep_id"), "group_size", (F.col("locator") == F.col("keep.locator")).alias("kept"), "digest", "n_bytes")
+    out = line(mine)
+    if not collided.isEmpty():
+        again = every.join(collided, ["digest", "n_bytes"], "left_semi")
+        by_text = again.groupBy("digest", "n_bytes", "text").agg(F.max(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+        own = rows.join(collided, ["digest", "n_bytes"], "left_semi").join(by_text, ["digest", "n_bytes", "text"])
+        out = out.join(collided, ["digest", "n_bytes"], "left_anti").unionByName(line(own))
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "digest")
+
+
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -87,7 +135,7 @@ def exact_dedup(
     text = normalise(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     keys = written(rows.select("id", digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"), F.monotonically_increasing_id().alias("locator")), "dedup-keys")
-    state = written(keep_largest(spark, keys), "dedup-kept")
+    state = written(keep_largest(spark, keys._leafline_path, keys.schema, new_path(spark, "dedup-stream"), new_path(spark, "dedup-state")), "dedup-kept")  # noqa: SLF001
     hits = state.filter("group_size > 1").select("digest", "n_bytes")
     texts = rows.select(digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"), "text")
     met = likely(texts, hits, ["digest", "n_bytes"]).join(hits, ["digest", "n_bytes"])  # keys of hits are unique; Spark would push a semi join below the filter

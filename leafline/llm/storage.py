@@ -97,6 +97,17 @@ def remove(df: DataFrame) -> None:
     drop_path(df.sparkSession, df._leafline_path)  # noqa: SLF001
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(children(spark, path))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     at = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,9 +1,11 @@
 from collections import defaultdict
 from hashlib import sha256
 
+import pytest
 from pyspark.sql import functions as F
 
-from leafline.llm.exact_dedup import exact_dedup
+from leafline.llm.exact_dedup import exact_dedup, exact_dedup_batch
+from leafline.llm.exact_dedup import sha256 as column_sha256
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -38,3 +40,19 @@ def test_full_bytes_are_compared_when_digests_collide(table, awkward):
 
 def test_empty_table(table):
     assert exact_dedup(table([])).collect() == []
+
+
+@pytest.mark.parametrize("digest", [column_sha256, lambda t: F.char_length(t).cast("string")])
+def test_later_batches_against_earlier_ones(spark, table, awkward, tmp_path, digest):
+    """Each batch's rows are grouped with all rows seen so far; with digests that collide the bytes still decide."""
+    batches, seen = [awkward, [(1, "aA"), (20, "one TWO three"), (21, "new"), (None, "new"), (0, "xyz")], [], [(99, "NEW"), (3, "É"), (98, "xyz")]], []
+    for rows in batches:
+        seen += rows
+        groups = {}
+        for i, t in seen:
+            groups.setdefault((t or "").translate(LOW), []).append(i)
+        best = lambda ids: max((i for i in ids if i is not None), default=None)
+        done = exact_dedup_batch(table(rows), f"file://{tmp_path}/state", digest=digest)
+        got = sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in done.collect()), key=str)
+        assert got == sorted(((i, best(g), len(g)) for i, t in rows for g in [groups[(t or "").translate(LOW)]]), key=str)
+        assert all(r["doc_id"] == r["keep_id"] for r in done.filter("kept").collect())
