@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.llm.components import components
-from leafline.llm.storage import likely, trim, tune, without, written
+from leafline.llm.storage import likely, salted_join, trim, tune, without, written
 from leafline.llm.wordhash import U, all_words, mixed
 
 GROUPS = 64
@@ -183,6 +183,15 @@ def in_parts(df: DataFrame, key: str, order: list[str], block: int, least: int =
     return other.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("rows_", "other")
 
 
+def in_hashed_parts(df: DataFrame, key: str, spread: str, block: int) -> DataFrame:
+    """in_parts() without an order: rows of one key in parts of about `block` rows by the hash of `spread`, so no task has a whole key's rows."""
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_"))
+    numbered = salted_join(df, n, key, spread).withColumn("parts_", F.expr(f"(rows_ + {block - 1}) div {block}"))
+    numbered = numbered.withColumn("part", F.when(F.col("parts_") == 1, F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(spread, F.lit(11)), F.col("parts_"))))
+    other = numbered.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts_") - 1)))
+    return other.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("rows_", "parts_", "other")
+
+
 def fine_from(num: int, den: int) -> int:
     """Size from which sets have FINE groups: up to it, unrelated sets of that size differ over GROUPS groups by 1.5 times what similar ones may.
 
@@ -296,7 +305,7 @@ def candidates(postings: DataFrame, points: DataFrame, num: int, den: int) -> Da
 
 def verified(grouped: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) that connect the rows (component, at, n, text) of each component whose sets are similar enough."""
-    rows = in_parts(grouped, "component", ["n", "at"], BLOCK).select("component", "i", "j", "part", "at", "text")
+    rows = in_hashed_parts(grouped, "component", "at", BLOCK).select("component", "i", "j", "part", "at", "text")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         at, part = table.column("at").to_numpy(), table.column("part").to_numpy()
@@ -356,7 +365,7 @@ def _classes(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
     linked = linked.select(F.col("node").alias("rep"), F.col("component"))
     labelled = lowest.join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.min_by("rep", F.struct(F.col("low").isNull(), "low", "rep")).alias("kept_at"))
-    named = written(labelled.join(least, "component").select("n", "sig_a", "sig_b", "component_id", "kept_at"), "jaccard-named")
+    named = written(salted_join(labelled, least, "component", "rep").select("n", "sig_a", "sig_b", "component_id", "kept_at"), "jaccard-named")
     return every.join(named, ["n", "sig_a", "sig_b"], "left").select("id", "at", "n", F.coalesce("component_id", F.col("id")).alias("component_id"), "kept_at"), repeated
 
 

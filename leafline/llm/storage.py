@@ -118,6 +118,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Tasks among which the rows of one group are spread.
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, per_group: DataFrame, key: str, spread: str) -> DataFrame:
+    """rows with the columns of per_group, which has a line per key: each line goes to SALTS tasks, and a group's rows among them by the hash of `spread`."""
+    line = per_group.withColumn("salt_", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
+    return rows.withColumn("salt_", F.pmod(F.xxhash64(spread), F.lit(SALTS))).join(line, [key, "salt_"]).drop("salt_")
+
+
 def likely(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of df whose keys may be among those of wanted: all that are and a few others, so a join after it shuffles little.
 
