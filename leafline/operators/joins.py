@@ -51,15 +51,18 @@ def nearest_around(rows: DataFrame, keys: list[str], order: list[str], is_slot:
     return out.filter(is_slot)
 
 
-def printed_context(slots: DataFrame, blocks: DataFrame, page: str = "page") -> DataFrame:
+def printed_context(slots: DataFrame, blocks: DataFrame, page: str = "page", strip: float = 40.0) -> DataFrame:
     """Each slot (slot_id, page, box) with the last 48 characters of the printed block just left of it and the first 48 of the one right of it.
 
     Left: ends at most 8 beyond the slot's start, the rightmost; right: starts at least 8 before its end, the
     leftmost; both centred within max(18, 0.6 of the slot's height) of the slot's centre. blocks: (page, text, block_box).
+    Both meet in strips of that height: a slot looks into those that its band touches, a block lies in that of its centre.
     """
     s, b = F.col("box"), F.col("block_box")
     band = F.greatest(F.lit(18.0), boxes.height(s) * 0.6)
-    rows = slots.join(blocks, page, "left")
+    place = lambda y: F.floor(y / strip)
+    looking = slots.withColumn("strip_", F.explode(F.sequence(place(boxes.center_y(s) - band), place(boxes.center_y(s) + band))))
+    rows = looking.join(blocks.withColumn("strip_", place(boxes.center_y(b))), [page, "strip_"], "left")
     same_row = F.abs(boxes.center_y(s) - boxes.center_y(b)) <= band
     left = F.when(same_row & (F.get(b, F.lit(2)) <= F.get(s, F.lit(0)) + 8), F.get(b, F.lit(2)))
     right = F.when(same_row & (F.get(b, F.lit(0)) >= F.get(s, F.lit(2)) - 8), -F.get(b, F.lit(0)))
