@@ -24,12 +24,13 @@ def scored_candidates(slots: DataFrame, blocks: DataFrame, cell: float = 250.0)
 
     slots: (slot_id, page, proposal, domain, stem, kind, multi_line, broad_hint), boxes in the same page;
     blocks: (page, block_ord, block_box, text, confidence, printed, foreign_printed, excluded) with excluded the share of the
-    block in known print. A block is looked at if 15 % of it lies in the proposal widened by its own size, 40 % and its centre
+    block in known print, and optionally `merged`: one whose print and answer were read again apart. A block is looked at if 15 % of it lies in the proposal widened by its own size, 40 % and its centre
     in the domain, and its centre or 8 % in the proposal. Such a block touches the proposal itself, so both meet in the
     cells of a grid of size `cell`, each pair in its smallest shared cell only.
     """
     b, p, d = F.col("block_box"), F.col("proposal"), F.col("domain")
     at = lambda box, i: F.get(box, F.lit(i))
+    blocks = blocks if "merged" in blocks.columns else blocks.withColumn("merged", F.lit(False))
     placed = slots.withColumn("cell_", F.explode(boxes.cells(p, cell))).withColumn("part_", F.pmod(F.xxhash64("slot_id"), F.lit(PARTS)))
     met = blocks.withColumn("marker_", F.col("text").rlike(MARKER)).withColumn("option_", F.col("text").rlike(OPTION)).withColumn("cell_", F.explode(boxes.cells(b, cell)))
     met = met.withColumn("part_", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(PARTS)])))
@@ -52,6 +53,7 @@ def scored_candidates(slots: DataFrame, blocks: DataFrame, cell: float = 250.0)
         F.when(marker, "STRUCTURAL_MARKER"), F.when(F.col("foreign_printed"), "OTHER_ITEM_PRINTED_TEXT"), F.when(option & ~F.contains("kind", F.lit("choice")), "PRINTED_OPTION_FOR_OTHER_ITEM"),
         F.when(F.col("stem").isNotNull() & ~F.col("multi_line") & (cy < stem_y), "BEFORE_ITEM_READING_ANCHOR"), F.when((wide > 0.70) & (F.col("in_proposal") < 0.35), "LONG_LINE_PARTIAL_INTERSECTION"),
         F.when(~F.col("multi_line") & (F.col("in_stem") >= 0.60) & (F.col("printed") | (wide > 0.65)), "PRINTED_STEM_OVERLAP"), F.when(F.col("excluded") >= 0.15, "PRINTED_EXCLUSION_OVERLAP"),
+        F.when(F.coalesce(F.col("merged"), F.lit(False)), "MERGED_PRINTED_AND_ANSWER_OCR_BOX"),
     ))
     unit = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
     minus = lambda c, w: F.when(c, w).otherwise(0.0)

@@ -34,6 +34,8 @@ def test_scored_candidates(spark):
     assert got[0]["score"] == pytest.approx(0.50 + 0.22 + 0.18 * 0.9 + 0.10 + 0.10 * 150 / 400, abs=1e-4)
     assert got[1]["rejection_reasons"] == ["STRUCTURAL_MARKER"]
     assert got[3]["rejection_reasons"] == ["OTHER_ITEM_PRINTED_TEXT", "PRINTED_OPTION_FOR_OTHER_ITEM", "PRINTED_EXCLUSION_OVERLAP"]
+    merged = candidates.scored_candidates(slots, blocks.withColumn("merged", F.col("block_ord") == 0)).filter("block_ord = 0").first()
+    assert merged["rejection_reasons"] == ["MERGED_PRINTED_AND_ANSWER_OCR_BOX"] and not merged["eligible"]
     both = candidates.scored_candidates(slots, blocks).join(slots.select("slot_id", "proposal"), "slot_id")
     assert candidates.best_clusters(both, 10.0).first()["block_ords"] == [0]
 
