@@ -13,6 +13,7 @@ from leafline.llm.exact_dedup import exact_dedup
 from leafline.llm import lm
 from leafline.llm.jaccard import jaccard_classes
 from leafline.llm.packing import pack
+from leafline.llm.resample import resample
 from leafline.llm.sharding import shard
 from leafline.llm.storage import documents
 from leafline.llm.suffix_dedup import CHUNK_ROWS, remove_repeats
@@ -81,6 +82,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), n_shards=16, law="bytes").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_sharding": op10_sharding,
+    "op12_resampling": op12_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -126,4 +132,31 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN outcome = 'resolved' THEN sha END AS payload_sha256, CASE WHEN outcome = 'resolved' THEN n END AS payload_bytes
         FROM o
     """,
+    "op12_resampling": r"""
+        WITH poly AS (
+            SELECT list(list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY c) AS t
+            FROM (SELECT unnest(range(256))::BIGINT AS c)),
+        d AS (SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        b AS (SELECT string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+        dw AS (SELECT doc_id, w FROM (SELECT doc_id, unnest(ws) AS w FROM d) WHERE w <> ''),
+        bw AS (SELECT w FROM (SELECT unnest(ws) AS w FROM b) WHERE w <> ''),
+        v AS (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM dw UNION SELECT DISTINCT w FROM bw)),
+        h AS (
+            SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x)::BIGINT, 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+                                      lambda c, y: xor(c // 256, t[(xor(c, y) % 256) + 1])), 4294967295) % 10000 AS bucket
+            FROM v, poly),
+        s AS (SELECT bucket, count(*) AS n FROM dw JOIN h USING (w) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM bw JOIN h USING (w) GROUP BY bucket),
+        g AS (
+            SELECT k AS bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+                                                / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM (SELECT unnest(range(10000)) AS k) LEFT JOIN s ON s.bucket = k LEFT JOIN t ON t.bucket = k),
+        w AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM dw JOIN h USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+        c AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM documents LEFT JOIN w USING (doc_id)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS k, count(*) OVER (PARTITION BY n_features >= 20) AS able FROM c)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= able // 10 THEN k END AS rank FROM r
+    """,
 }
