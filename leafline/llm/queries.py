@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from leafline.llm.bpe import bpe_round_trip
 from leafline.llm.exact_dedup import exact_dedup
-from leafline.llm import lm
+from leafline.llm.hard_negatives import mine
+from leafline.llm import lm, pii
 from leafline.llm.jaccard import jaccard_classes
 from leafline.llm.packing import pack
 from leafline.llm.resample import resample
@@ -82,10 +83,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), n_shards=16, law="bytes").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label=moved)
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    n = [F.size(F.filter("base.kind", F.lit(k).eqNullSafe)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *n, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -97,7 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_sharding": op10_sharding,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_resampling": op12_resampling,
+    "op13_pii": op13_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -132,6 +146,19 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN outcome = 'resolved' THEN sha END AS payload_sha256, CASE WHEN outcome = 'resolved' THEN n END AS payload_bytes
         FROM o
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (
+            SELECT a.vec_id AS a, a.label AS l, b.vec_id AS b, b.label AS m, list_inner_product(a.e, b.e)::BIGINT AS s
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS k FROM p WHERE l = m) WHERE k <= 5),
+        neg AS (
+            SELECT pos.a, pos.b, pos.s AS ps, p.b AS n, p.s AS ns, row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY p.s DESC, p.b) AS k
+            FROM pos JOIN p ON p.a = pos.a AND p.m <> p.l AND 50 * pos.s <= 100 * p.s AND 100 * p.s <= 95 * pos.s)
+        SELECT a AS anchor_id, b AS positive_id, k::INT AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score FROM neg WHERE k <= 3
+    """,
     "op12_resampling": r"""
         WITH poly AS (
             SELECT list(list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY c) AS t
