@@ -4,6 +4,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
+from leafline.llm import exact_dedup as module
 from leafline.llm.exact_dedup import exact_dedup, exact_dedup_batch
 from leafline.llm.exact_dedup import sha256 as column_sha256
 
@@ -56,3 +57,62 @@ def test_later_batches_against_earlier_ones(spark, table, awkward, tmp_path, dig
         got = sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in done.collect()), key=str)
         assert got == sorted(((i, best(g), len(g)) for i, t in rows for g in [groups[(t or "").translate(LOW)]]), key=str)
         assert all(r["doc_id"] == r["keep_id"] for r in done.filter("kept").collect())
+
+
+class Broken(Exception):
+    pass
+
+
+#: Steps of a batch after which a run is broken off: by the folder that was written last, or the micro-batch's end.
+STEPS = ["contents", "keys", "begun", "groups", "collided"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_batch_broken_off_after_any_step_is_added_once(spark, table, tmp_path, monkeypatch, step):
+    state, low = f"file://{tmp_path}/state", [(1, "a"), (2, "B")]
+    sizes = lambda df: sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in df.collect())
+    assert sizes(exact_dedup_batch(table(low), state)) == [(1, 1, 1, True), (2, 2, 1, True)]
+    second = table([(3, "A"), (4, "c")])
+    known = module._written_out
+
+    def breaking(s, path):  # what is asked for next tells that the step before is written
+        after = {"contents": "keys", "keys": "begun", "begun": "ended", "groups": "begun/00000002", "collided": None}[step]
+        if after and f"/{after}" in path and ("00000001" in path or "begun/00000002" == after and path.endswith(after)):
+            if after != "ended" or path.endswith("ended/00000001"):
+                raise Broken
+        return known(s, path)
+
+    if step == "collided":
+        monkeypatch.setattr(module, "written", lambda df, name, w=module.written: (_ for _ in ()).throw(Broken) if name == "dedup-batch" else w(df, name))
+    else:
+        monkeypatch.setattr(module, "_written_out", breaking)
+    with pytest.raises(Broken):
+        exact_dedup_batch(second, state)
+    monkeypatch.undo()
+    want = [(3, 3, 2, True), (4, 4, 1, True)]
+    with pytest.raises(ValueError, match="other rows"):
+        exact_dedup_batch(table([(3, "A"), (4, "d")]), state)
+    assert sizes(exact_dedup_batch(second, state)) == want
+    assert sizes(exact_dedup_batch(second, state, batch=1)) == want  # and given again
+    assert sizes(exact_dedup_batch(table([(0, "a"), (9, "C")]), state)) == [(0, 3, 3, False), (9, 9, 2, True)]
+    assert sizes(exact_dedup_batch(second, state, batch=1)) == want
+    with pytest.raises(ValueError, match="not ended"):
+        exact_dedup_batch(second, state, batch=7)
+
+
+def test_part_written_contents_are_no_batch(spark, table, tmp_path):
+    state = f"file://{tmp_path}/state"
+    folder = tmp_path / "state" / "contents" / "00000000"
+    folder.mkdir(parents=True)
+    spark.createDataFrame([(9, "zzz")], "id bigint, text string").coalesce(1).write.parquet(f"file://{tmp_path}/other")
+    for f in (tmp_path / "other").glob("*.parquet"):
+        (folder / f.name).write_bytes(f.read_bytes())
+    assert [(r["doc_id"], r["group_size"]) for r in exact_dedup_batch(table([(1, "zzz")]), state).collect()] == [(1, 1)]
+
+
+def test_a_table_goes_through_several_micro_batches(spark, table, monkeypatch):
+    seen = []
+    monkeypatch.setattr(module, "_latest", lambda s, paths, schema, f=module._latest: seen.append(len(paths)) or f(s, paths, schema))
+    rows = [(i, f"text {i % 7}") for i in range(100)]
+    assert got(exact_dedup(table(rows).repartition(6))) == expected(rows)
+    assert seen == [2]
