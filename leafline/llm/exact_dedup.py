@@ -48,9 +48,11 @@ def text_digest(text: Column) -> Column:
 def _own_session(spark: SparkSession) -> SparkSession:
     """A session with the settings of the given one and those of the state store, so streams side by side don't disturb each other's."""
     own = spark.newSession()
-    for k, v in (spark.conf.getAll | STORE).items():
+    for k, v in spark.conf.getAll.items():
         if own.conf.isModifiable(k):
             own.conf.set(k, v)
+    for k, v in STORE.items():  # not known to isModifiable()
+        own.conf.set(k, v)
     return own
 
 
