@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def best_assignment(scores: np.ndarray) -> list[tuple[int, int]]:
@@ -60,25 +63,73 @@ def greedy(scored: list[tuple[float, int, int]], larger_first: bool = False) ->
 
 
 def monotone_alignment(cost: np.ndarray) -> list[tuple[int, int]]:
-    """Cheapest alignment in order of all of the shorter side to the longer one's members."""
+    """Cheapest alignment in order of all of the shorter side to the longer one's members; of equal ones that whose last members lie latest."""
     if cost.shape[0] > cost.shape[1]:
         return [(i, j) for j, i in monotone_alignment(cost.T)]
     n, m = cost.shape
-    total = np.full((n + 1, m + 1), np.inf)
-    total[0] = 0
-    for i in range(1, n + 1):
-        for j in range(i, m + 1):
-            total[i, j] = min(total[i, j - 1], total[i - 1, j - 1] + cost[i - 1, j - 1])
-    out, i, j = [], n, m
-    while i:
-        if total[i, j] == total[i, j - 1]:
+    least = np.zeros(m + 1)  # of aligning the first i of the shorter side within the first j of the longer one
+    taken = np.zeros((n, m), bool)
+    for i in range(n):
+        met = least[:-1] + cost[i]
+        met[:i] = np.inf  # a band: each member needs one of its own, and the later ones theirs
+        met[m - n + i + 1 :] = np.inf
+        least = np.r_[np.inf, np.minimum.accumulate(met)]
+        taken[i] = met <= least[:-1]
+    out, j = [], m
+    for i in range(n - 1, -1, -1):
+        j -= 1
+        while not taken[i, j]:
             j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((i, j))
+        out.append((i, j))
     return out[::-1]
 
 
+def match_cost(box: Column, reference: Column, same_page: Column, width: Column, height: Column, confidence: Column, alike: Column) -> Column:
+    """Cost of taking a candidate slot for a reference: distance of centres in widths and heights, .4 for unlike text before it, .3 for lack of confidence.
+
+    Another page costs 2 and the lack of confidence, a side without a box the lack alone. alike: similarity of the
+    texts before both, null where one has none.
+    """
+    lack = 1 - F.coalesce(confidence, F.lit(0.5))
+    middle = lambda b, i: (F.get(b, F.lit(i)) + F.get(b, F.lit(i + 2))) / 2
+    near = F.abs(middle(box, 1) - middle(reference, 1)) / F.greatest(F.lit(1.0), height) + F.abs(middle(box, 0) - middle(reference, 0)) / F.greatest(F.lit(1.0), width)
+    boxed = (F.size(box) == 4) & (F.size(reference) == 4)
+    return F.when(~same_page, 2 + lack).when(~F.coalesce(boxed, F.lit(False)), lack).otherwise(near + 0.4 * (1 - F.coalesce(alike, F.lit(1.0))) + 0.3 * lack)
+
+
+def aligned(costs: DataFrame, item: str, row: str, column: str, cost: str) -> DataFrame:
+    """(item, row, column, cost) of the cheapest alignment in order of each item's rows and columns, all of the shorter side.
+
+    costs has a line for each row and column of an item, whose slots are bounded by paper. Sorted items go through
+    Python many a batch.
+    """
+    names = [item, row, column, cost]
+    schema = ", ".join(f"`{n}` {costs.schema[n].dataType.simpleString()}" for n in names)
+
+    def solved(rows: pd.DataFrame) -> pd.DataFrame:
+        key = rows[item].to_numpy()
+        ends = np.r_[np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)] if len(key) else []
+        out, begin = [], 0
+        for end in ends:
+            n = len(np.unique(rows[row].to_numpy()[begin:end]))
+            table = rows[cost].to_numpy()[begin:end].reshape(n, -1)
+            out += [begin + i * table.shape[1] + j for i, j in monotone_alignment(table)]
+            begin = end
+        return rows.iloc[out]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for rows in batches:
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            last = (rows[item] == rows[item].iloc[-1]) if len(rows) else pd.Series([], dtype=bool)
+            held = rows[last].reset_index(drop=True)  # its rows may go on in the next batch
+            yield solved(rows[~last].reset_index(drop=True))
+        if held is not None and len(held):
+            yield solved(held)
+
+    return costs.select(*names).repartition(item).sortWithinPartitions(item, row, column).mapInPandas(run, schema)
+
+
 def contiguous_parts(transitions: list[float], k: int, join_cost: float = 0.03) -> list[int]:
     """Starts of k runs of len(transitions) + 1 members with the least sum of inner transitions and join_cost times squared joins."""
     n = len(transitions) + 1

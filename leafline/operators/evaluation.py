@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.functions import boxes, text
@@ -12,28 +15,50 @@ from leafline.operators.aggregates import ratio
 MATCHES = "case_id string, item_id string, slot_id string, truth_ord int, overlap double, text_exact boolean"
 
 
+def _matched(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of whole keys, sorted by key, true and found place: for each true slot the free found one with the largest overlap."""
+    out: list[int] = []
+    columns = [rows[c].to_numpy() for c in ("case_id", "item_id", "slot_id", "truth_ord", "pred_ord", "overlap")]
+    key, at, best, used = None, None, -1, set()
+    for i, (*k, t, p, o) in enumerate(zip(*columns)):
+        if (k, t) != (key, at):
+            if best >= 0:
+                out.append(best)
+                used.add(columns[4][best])
+            used = used if k == key else set()
+            key, at, best = k, t, -1
+        if p not in used and (best < 0 or o > columns[5][best]):
+            best = i
+    return rows.iloc[[*out, best] if best >= 0 else out].drop(columns="pred_ord")
+
+
 def match_slots(truth: DataFrame, predicted: DataFrame) -> DataFrame:
     """(case_id, item_id, slot_id, truth_ord, overlap, text_exact): for each true slot in order the predicted one of its id and page with the largest overlap, each used once, the first of equals.
 
     truth and predicted: (case_id, item_id, slot_id, page_index, ord, box, text). Boxes without four sides do not
-    match. Where ids are unique on a page, as they should be, groups have one row.
+    match. Ids that one true and one found slot have, as they should, need no choice; only the others go, sorted and
+    many ids a batch, through Python.
     """
     t = truth.select("case_id", "item_id", "slot_id", "page_index", F.col("ord").alias("truth_ord"), F.col("box").alias("truth_box"), F.col("text").alias("truth_text"))
     p = predicted.filter(F.size("box") == 4).select("case_id", "item_id", "slot_id", "page_index", F.col("ord").alias("pred_ord"), "box", F.col("text").alias("pred_text"))
     exact = F.coalesce(text.compact(F.col("pred_text")) == text.compact(F.col("truth_text")), F.lit(False)) & F.col("pred_text").isNotNull() & F.col("truth_text").isNotNull()
-    pairs = t.join(p, ["case_id", "item_id", "slot_id", "page_index"]).select("case_id", "item_id", "slot_id", "truth_ord", "pred_ord", boxes.iou(F.col("box"), F.col("truth_box")).alias("overlap"), exact.alias("text_exact"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        used, out = set(), []
-        for _, g in pdf.sort_values(["truth_ord", "pred_ord"]).groupby("truth_ord", sort=True):
-            free = g[~g["pred_ord"].isin(used)]
-            if len(free):
-                best = free.loc[free["overlap"].idxmax()]
-                used.add(best["pred_ord"])
-                out.append(best)
-        return pd.DataFrame(out, columns=pdf.columns).drop(columns="pred_ord")
-
-    return pairs.groupBy("case_id", "item_id", "slot_id").applyInPandas(run, MATCHES)
+    key = ["case_id", "item_id", "slot_id"]
+    pairs = t.join(p, [*key, "page_index"]).select(*key, "truth_ord", "pred_ord", boxes.iou(F.col("box"), F.col("truth_box")).alias("overlap"), exact.alias("text_exact"))
+    pairs = pairs.withColumn("n_", F.count(F.lit(1)).over(W.partitionBy(*key)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for rows in batches:
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            last = (rows[key] == rows[key].iloc[-1]).all(axis=1) if len(rows) else pd.Series([], dtype=bool)
+            held = rows[last].reset_index(drop=True)  # its key may go on in the next batch
+            yield _matched(rows[~last].reset_index(drop=True))
+        if held is not None and len(held):
+            yield _matched(held)
+
+    many = pairs.filter("n_ > 1").drop("n_").repartition(*key).sortWithinPartitions(*key, "truth_ord", "pred_ord")
+    one = pairs.filter("n_ = 1").select(*key, "truth_ord", "overlap", "text_exact")
+    return one.unionByName(many.mapInPandas(run, MATCHES))
 
 
 def counts(true_questions: DataFrame, questions: DataFrame, true_items: DataFrame, items: DataFrame, true_slots: DataFrame, slots: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafline import store
-from leafline.operators import merging
+from leafline.operators import assignment, merging
 from leafline.plans.registry import query
 
 
@@ -135,3 +135,39 @@ def q127_inherited_items(t):
 def q128_inherited_packages(t):
     teachers, students = _packages(t)
     return merging.inherited(teachers, students).select("exam_id", "golden_source", "mapped", F.array_join("conflicts", ",").alias("conflicts"), "error")
+
+
+@query("""
+    WITH RECURSIVE c AS (SELECT DISTINCT l_orderkey AS item, l_linenumber AS line, l_quantity AS q FROM lineitem), r AS (SELECT o_orderkey AS item, unnest(range(1, o_orderkey % 6 + 2)) AS ref, o_custkey % 9 AS w FROM orders),
+    p AS (SELECT item, line, ref, abs(floor(q / 10) - ref) + (line + ref + w) % 3 AS cost, dense_rank() OVER (PARTITION BY item ORDER BY line) AS i, ref AS j FROM (SELECT item, line, min(q) AS q FROM c GROUP BY ALL) JOIN r USING (item)),
+    n AS (SELECT item, max(i) AS n, max(j) AS k FROM p GROUP BY 1),
+    m AS (SELECT p.item, line, ref, cost, CASE WHEN n.n >= k THEN j ELSE i END AS s, CASE WHEN n.n >= k THEN i ELSE j END AS l, least(n.n, k) AS short FROM p JOIN n USING (item)),
+    walk AS (
+        SELECT item, s, l, short, cost::DOUBLE AS total, [{'line': line, 'ref': ref, 'cost': cost}] AS path FROM m WHERE s = 1
+        UNION ALL
+        SELECT item, s, l, short, total, path FROM (
+            SELECT m.item, m.s, m.l, m.short, w.total + m.cost AS total, list_append(w.path, {'line': m.line, 'ref': m.ref, 'cost': m.cost}) AS path, row_number() OVER (PARTITION BY m.item, m.s, m.l ORDER BY w.total, w.l DESC) AS best
+            FROM walk w JOIN m ON m.item = w.item AND m.s = w.s + 1 AND m.l > w.l) WHERE best = 1),
+    done AS (SELECT item, path, row_number() OVER (PARTITION BY item ORDER BY total, l DESC) AS best FROM walk WHERE s = short),
+    u AS (SELECT item, unnest(path) AS x FROM done WHERE best = 1)
+    SELECT item, x.line AS line, x.ref AS ref, x.cost::DOUBLE AS cost FROM u
+""")
+def q129_aligned_slots(t):
+    """Orders' lines as candidates in order, up to six references each: more candidates than references in some, fewer in others, many ties."""
+    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("line")).agg(F.min("l_quantity").alias("q"))
+    references = t("orders").select(F.col("o_orderkey").alias("item"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("o_orderkey") % 6 + 1)).alias("ref"), (F.col("o_custkey") % 9).alias("w"))
+    cost = F.abs(F.floor(F.col("q") / 10) - F.col("ref")) + (F.col("line") + F.col("ref") + F.col("w")) % 3
+    costs = lines.join(references, "item").select("item", "line", "ref", cost.cast("double").alias("cost"))
+    return assignment.aligned(costs, "item", "line", "ref", "cost")
+
+
+@query("""
+    WITH s AS (SELECT vec_id, label, abs(embedding[1]::DOUBLE) AS a, abs(embedding[2]::DOUBLE) AS b, abs(embedding[3]::DOUBLE) AS c, abs(embedding[4]::DOUBLE) AS d FROM embeddings)
+    SELECT vec_id, round(CASE WHEN label % 4 = 0 THEN 2 + (1 - a) WHEN label % 4 = 1 THEN 1 - a ELSE abs((b * 2338 + b * 2338 + 50) / 2 - (c * 2338 + c * 2338 + 50) / 2) / 2338 + abs((a * 1654 + a * 1654 + 90) / 2 - (d * 1654 + d * 1654 + 90) / 2) / 1654 + 0.4 * CASE WHEN label % 4 = 2 THEN 1 - b ELSE 0 END + 0.3 * (1 - a) END, 6) AS cost FROM s
+""")
+def q130_match_costs(t):
+    a, b, c, d = (F.abs(F.get("embedding", F.lit(i)).cast("double")) for i in range(4))
+    box, other = (F.array(x * 1654, y * 2338, x * 1654 + 90, y * 2338 + 50) for x, y in ((a, b), (d, c)))
+    k = F.col("label") % 4
+    cost = assignment.match_cost(F.when(k != 1, box).otherwise(F.array()), other, k != 0, F.lit(1654.0), F.lit(2338.0), a, F.when(k == 2, b))
+    return t("embeddings").select("vec_id", F.round(cost, 6).alias("cost"))
