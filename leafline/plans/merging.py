@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafline import store
-from leafline.operators import assignment, merging
+from leafline.operators import assignment, merging, variants
 from leafline.plans.registry import query
 
 
@@ -171,3 +171,47 @@ def q130_match_costs(t):
     k = F.col("label") % 4
     cost = assignment.match_cost(F.when(k != 1, box).otherwise(F.array()), other, k != 0, F.lit(1654.0), F.lit(2338.0), a, F.when(k == 2, b))
     return t("embeddings").select("vec_id", F.round(cost, 6).alias("cost"))
+
+
+TREE_SCHEMA = {"title": "string", "sections": [{"title": "string", "questions": [{"number": "int", "items": [{"label": "string", "pages": ["int"], "note?": "string"}]}]}]}
+
+
+def _trees_as_json(t):
+    """Orders as nested JSON, each of whose lines is a question, and of which six in seven have a fault of their kind."""
+    k = F.col("l_orderkey") % 7
+    line = t("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("int").alias("q")).withColumn("n", F.col("l_linenumber").cast("string"))
+    number = F.when(k == 3, F.concat(F.lit('"'), "n", F.lit('"'))).otherwise(F.col("n"))
+    label = F.when((k == 2) & (F.col("l_linenumber") == 2), F.lit("")).otherwise(F.concat(F.lit('"label":"'), "n", F.lit('",')))
+    page = F.when((k == 4) & (F.col("q") > 25), F.lit('"a"')).otherwise(F.col("q").cast("string"))
+    extra = F.when((k == 1) & (F.col("q") > 30), F.lit(',"x":{"y":[1]}')).otherwise("")
+    question = F.concat(F.lit('{"number":'), number, extra, F.lit(',"items":[{'), label, F.lit('"pages":['), page, F.lit(',1]}]}'))
+    per = line.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", question.alias("s")))), lambda x: x["s"]), ",").alias("q"))
+    sections = F.when(k == 5, F.lit('{"title":"s"}')).otherwise(F.concat(F.lit('[{"title":"s","questions":['), "q", F.lit("]}]")))
+    text = F.concat(F.lit('{"title":"'), F.col("l_orderkey").cast("string"), F.lit('","sections":'), sections, F.when(k == 6, F.lit("")).otherwise("}"))
+    return per.select("l_orderkey", text.alias("tree"))
+
+
+_TREES = """
+    l AS (SELECT l_orderkey AS o, l_linenumber AS n, min(l_quantity)::INT AS q, l_orderkey % 7 AS k FROM lineitem GROUP BY ALL),
+    s AS (SELECT o, k, string_agg('{"number":' || CASE WHEN k = 3 THEN '"' || n || '"' ELSE n::VARCHAR END || CASE WHEN k = 1 AND q > 30 THEN ',"x":{"y":[1]}' ELSE '' END || ',"items":[{'
+                 || CASE WHEN k = 2 AND n = 2 THEN '' ELSE '"label":"' || n || '",' END || '"pages":[' || CASE WHEN k = 4 AND q > 25 THEN '"a"' ELSE q::VARCHAR END || ',1]}]}', ',' ORDER BY n) AS q FROM l GROUP BY ALL),
+    j AS (SELECT o, '{"title":"' || o || '","sections":' || CASE WHEN k = 5 THEN '{"title":"s"}' ELSE '[{"title":"s","questions":[' || q || ']}]' END || CASE WHEN k = 6 THEN '' ELSE '}' END AS tree FROM s),
+    n AS (SELECT o, t.fullkey AS path, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS pattern, t.type AS kind FROM (SELECT * FROM j WHERE json_valid(tree)), json_tree(tree) AS t)
+"""
+
+
+@query(f"""
+    WITH {_TREES},
+    schema_ AS (SELECT * FROM (VALUES ('$', 'o'), ('$.title', 's'), ('$.sections', 'a'), ('$.sections[]', 'o'), ('$.sections[].title', 's'), ('$.sections[].questions', 'a'), ('$.sections[].questions[]', 'o'), ('$.sections[].questions[].number', 'i'),
+        ('$.sections[].questions[].items', 'a'), ('$.sections[].questions[].items[]', 'o'), ('$.sections[].questions[].items[].label', 's'), ('$.sections[].questions[].items[].pages', 'a'), ('$.sections[].questions[].items[].pages[]', 'i'), ('$.sections[].questions[].items[].note', 's?')) AS v(pattern, want)),
+    m AS (SELECT n.*, want, CASE kind WHEN 'OBJECT' THEN 'o' WHEN 'ARRAY' THEN 'a' WHEN 'VARCHAR' THEN 's' WHEN 'UBIGINT' THEN 'i' WHEN 'BIGINT' THEN 'i' END AS got FROM n LEFT JOIN schema_ USING (pattern))
+    SELECT o AS l_orderkey, path, 'WRONG_TYPE' AS fault FROM m WHERE want IS NOT NULL AND left(want, 1) <> got
+    UNION ALL SELECT o, path, 'UNKNOWN_KEY' FROM m WHERE want IS NULL AND path NOT LIKE '%]' AND regexp_replace(pattern, '\\.[^.]*$', '') IN (SELECT pattern FROM schema_ WHERE want = 'o')
+    UNION ALL SELECT m.o, m.path || '.' || c.name, 'MISSING_KEY' FROM m JOIN (SELECT regexp_replace(pattern, '\\.[^.]*$', '') AS pattern, regexp_extract(pattern, '([^.]*)$', 1) AS name FROM schema_ WHERE want NOT LIKE '%?' AND pattern LIKE '%.%' AND pattern NOT LIKE '%]') c ON c.pattern = m.pattern
+        WHERE m.want = 'o' AND m.got = 'o' AND NOT EXISTS (SELECT 1 FROM n WHERE n.o = m.o AND n.path = m.path || '.' || c.name)
+    UNION ALL SELECT o, '$', 'NOT_JSON' FROM j WHERE NOT json_valid(tree)
+""")
+def q131_closed_world(t):
+    """Nested trees of five levels against their schema, without a line of Python in the plan."""
+    rows = _trees_as_json(t)
+    return variants.closed_world_faults(rows, ["l_orderkey"], "tree", TREE_SCHEMA, store.new_folder(rows.sparkSession, "nodes"))
