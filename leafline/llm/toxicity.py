@@ -1,11 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on windows of ordinary documents and one on windows of toxic ones, both as
-they stand. Of a toxic document most windows are ordinary too, so its dictionary is trained on those that hold a word
-whose smoothed share of toxic documents is RATIO times that of ordinary ones or more; a word is not ruled out by being
-met in ordinary text. A window of a few words is compressed with the ordinary dictionary alone and with the toxic one
-placed before it: as the ordinary part lies at the same distance in both, the lengths differ only where toxic windows
-match. The largest differences of a text go through a calibrated logistic curve, whose cut has the best F1.
+Two zstandard dictionaries of one size are trained, one on windows of ordinary text and one on windows of toxic text,
+each placed before the same ordinary base. A window is compressed with both; as the base lies at the same distance in
+both, the lengths differ only where one of the two dictionaries matches. Figures of a text's differences go through a
+calibrated logistic curve, whose cut has the best F1.
+
+Most windows of a toxic document are ordinary. Which ones the toxic dictionary is trained on is decided by compression
+alone: all windows are compressed with dictionaries that did not see their document, and those of toxic documents stay
+whose difference is larger than that of nearly all ordinary windows; those of ordinary documents that look most toxic
+(but for the few that look like quotations) train the ordinary dictionary; and so again, ROUNDS times. Toxic windows
+that another document repeats word for word take no part, as a copied passage would match itself.
 
 The model is fitted on a bounded sample of labelled rows (MOST_DOCS for each label, MOST_BYTES of text and MOST_WINDOWS
 of ordinary windows at most, by hash order), each label weighed by its share of all labelled rows, and sent to the
@@ -24,16 +28,18 @@ from pyspark.sql import functions as F
 
 from leafline.llm.storage import tune
 
-#: Most labelled rows of each label that the model is fitted on, most bytes of their texts in all, and most windows that the ordinary dictionary is trained on.
+#: Most labelled rows of each label that the model is fitted on, most bytes of their texts in all, and most windows of ordinary ones.
 MOST_DOCS = {0: 6_000, 1: 2_000}
 MOST_BYTES = 30_000_000
-MOST_WINDOWS = 100_000
-WINDOW_WORDS = 8
+MOST_WINDOWS = 80_000
+#: Words of a window that is scored, and of one that a dictionary is trained on.
+WINDOW_WORDS, TRAIN_WORDS = 6, 3
 LEVEL = 12
-TOXIC_BYTES, ORDINARY_BYTES = 3_072, 65_536
-#: Words of a window that the toxic dictionary is trained on; how much more often than in ordinary documents, and in how many toxic ones, a word of it is met.
-#: Chosen with the sizes above by three folds of the training rows of sf0.1 (remainders 0, 1 and 3).
-TRAIN_WORDS, RATIO, LEAST_DOCS = 3, 8.0, 3
+#: Bytes of either dictionary, and of the base behind both.
+DICTIONARY_BYTES, BASE_BYTES = 3_072, 110_000
+#: Share of ordinary windows below whose differences a toxic window is not chosen; share of ordinary windows that look most toxic, and of those that look so toxic that they may quote; how often both are chosen anew. Chosen, with the sizes, on sf0.1 and check_s.
+BELOW, HARD, QUOTED, ROUNDS = 0.985, 0.05, 0.002, 4
+FOLDS = 3
 CUT = 0.3
 
 
@@ -53,7 +59,7 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def _train(size: int, samples: list[bytes], k: int) -> bytes:
-    """Dictionary of at most `size` bytes; too few samples for training are taken as they are."""
+    """Dictionary of at most `size` bytes; where zstandard finds too few samples for training, the samples themselves."""
     try:
         return zstandard.train_dictionary(size, samples, k=k, d=6).as_bytes()
     except zstandard.ZstdError:
@@ -61,50 +67,80 @@ def _train(size: int, samples: list[bytes], k: int) -> bytes:
 
 
 class _Measure:
-    def __init__(self, ordinary: bytes, toxic: bytes) -> None:
-        self.plain, self.nested = _compressor(ordinary or b" " * 8), _compressor((toxic + ordinary) or b" " * 8)
-
-    def gains(self, text: str) -> np.ndarray:
-        """For each window, by how many bytes the toxic dictionary shortens it."""
-        ws = windows(words(text))
-        if not ws:
-            return np.zeros(0)
-        if len(ws) == 1:
-            return np.array([len(self.plain.compress(ws[0])) - len(self.nested.compress(ws[0]))], float)
-        a, b = self.plain.multi_compress_to_buffer(ws), self.nested.multi_compress_to_buffer(ws)
+    def __init__(self, base: bytes, ordinary: bytes, toxic: bytes) -> None:
+        self.ordinary, self.toxic = _compressor(ordinary + base or b" " * 8), _compressor(toxic + base or b" " * 8)
+
+    def gains(self, ws: list[bytes]) -> np.ndarray:
+        """For each window, by how many bytes it is shorter with the toxic dictionary than with the ordinary one."""
+        if len(ws) < 2:
+            return np.array([len(self.ordinary.compress(w)) - len(self.toxic.compress(w)) for w in ws], float)
+        a, b = self.ordinary.multi_compress_to_buffer(ws), self.toxic.multi_compress_to_buffer(ws)
         return np.array([len(x) - len(y) for x, y in zip(a, b)], float)
 
     def features(self, text: str) -> list[float]:
-        g = np.sort(self.gains(text))[::-1]
+        g = np.sort(self.gains(windows(words(text))))[::-1]
         if not len(g):
-            return [0.0] * 4
-        strong = g[g >= 3]
-        return [float(g[0]), float(g[:3].sum()) / 3, float(np.log1p(strong.sum())), float(np.log1p(len(g)))]
+            return [0.0] * FEATURES
+        above = [g[g >= k] for k in (1, 2, 3)]
+        return [float(x) for x in (g[0], g[:3].sum() / 3, g.mean(), np.log1p(len(g)), len(above[0]) / len(g), len(above[1]) / len(g), *(np.log1p(a.sum()) for a in above))]
+
+
+FEATURES = 9
 
 
 @dataclasses.dataclass
 class ToxicityModel:
+    base: bytes
     ordinary: bytes
     toxic: bytes
     weights: list[float]
 
     def scorer(self):
-        m, w = _Measure(self.ordinary, self.toxic), np.array(self.weights)
+        m, w = _Measure(self.base, self.ordinary, self.toxic), np.array(self.weights)
         return lambda text: float(1 / (1 + np.exp(-np.clip(w[0] + np.dot(w[1:], m.features(text)), -30, 30))))
 
 
-def _dictionaries(texts: list[str], toxic: np.ndarray) -> tuple[bytes, bytes]:
-    docs = [collections.Counter(), collections.Counter()]  # in how many ordinary and toxic documents a word is met
-    for t, y in zip(texts, toxic):
-        docs[y].update({*words(t)})
-    n = np.bincount(toxic, minlength=2)
-    share = lambda w, y: (docs[y][w] + 0.5) / (n[y] + 1)
-    telling = {w for w, k in docs[1].items() if k >= LEAST_DOCS and share(w, 1) >= RATIO * share(w, 0)}
-    plain = [w for t, y in zip(texts, toxic) if not y for w in windows(words(t))]
-    samples = sorted({w for t, y in zip(texts, toxic) if y for w in windows(words(t), TRAIN_WORDS) if not telling.isdisjoint(w.split())})
-    rng = np.random.default_rng(0)
-    plain, samples = ([x[i] for i in rng.permutation(len(x))] for x in (plain, samples))
-    return _train(ORDINARY_BYTES, plain[:MOST_WINDOWS], 64), _train(TOXIC_BYTES, samples, 32)
+def _own_windows(texts: list[str], toxic: np.ndarray, rng: np.random.Generator) -> tuple[list[bytes], np.ndarray]:
+    """Windows and the place of each one's text; of toxic texts those that no other text has word for word."""
+    cut = [windows(words(t), TRAIN_WORDS) for t in texts]
+    met = collections.Counter(w for ws in cut for w in {*ws})
+    ws = [(w, i) for i, (own, y) in enumerate(zip(cut, toxic)) for w in own if not y or met[w] < 2]
+    ordinary = [x for x in ws if not toxic[x[1]]]
+    kept = [ordinary[i] for i in rng.permutation(len(ordinary))[:MOST_WINDOWS]] + [x for x in ws if toxic[x[1]]]
+    return [w for w, _ in kept], np.array([i for _, i in kept], int)
+
+
+class _Chooser:
+    """Windows chosen by compression differences, and dictionaries of those outside a fold."""
+
+    def __init__(self, texts: list[str], toxic: np.ndarray, fold: np.ndarray) -> None:
+        self.rng = np.random.default_rng(0)
+        self.ws, at = _own_windows(texts, toxic, self.rng)
+        self.toxic, self.fold = toxic[at].astype(bool) if len(at) else np.zeros(0, bool), fold[at] if len(at) else np.zeros(0, int)
+        self.half = ~self.toxic & (self.rng.random(len(self.ws)) < 0.5)  # half of the ordinary windows are for the base
+        self.base, self.chosen = self.half, ~self.half
+        for _ in range(ROUNDS):
+            self.choose()
+
+    def dictionaries(self, without: int) -> tuple[bytes, bytes, bytes]:
+        of = lambda some: [self.ws[i] for i in self.rng.permutation(np.flatnonzero(some & (self.fold != without)))]
+        return _train(BASE_BYTES, of(self.base), 64), _train(DICTIONARY_BYTES, of(self.chosen & ~self.toxic), 32), _train(DICTIONARY_BYTES, of(self.chosen & self.toxic), 32)
+
+    def choose(self) -> None:
+        gain = np.zeros(len(self.ws))
+        for f in range(FOLDS):
+            m = _Measure(*self.dictionaries(f))
+            own = np.flatnonzero(self.fold == f)
+            gain[own] = m.gains([self.ws[i] for i in own])
+        ordinary = gain[~self.toxic]
+        if not len(ordinary) or self.toxic.sum() == 0:
+            return
+        most = np.quantile(ordinary, 1 - QUOTED)
+        self.base = self.half & (gain < most)
+        told = self.toxic & (gain > np.quantile(ordinary, BELOW))
+        hard = ~self.toxic & ~self.half & (gain >= np.quantile(ordinary, 1 - HARD)) & (gain <= most)
+        if told.any() and hard.any():
+            self.chosen = told | hard
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -122,12 +158,12 @@ def fit(labelled: list[tuple[str, int, float]]) -> ToxicityModel:
     labelled = sorted({(t or "", int(y), float(w)) for t, y, w in labelled})
     texts, y, weight = [r[0] for r in labelled], np.array([r[1] for r in labelled], int), np.array([r[2] for r in labelled], float)
     if not (0 < y.sum() < len(y)):
-        return ToxicityModel(b"", b"", [-30.0 if not y.sum() else 30.0] + [0.0] * 4)
-    fold = np.random.default_rng(1).permutation(len(y)) % 3
-    x = np.zeros((len(y), 4))
-    for k in range(3):
-        o, t = _dictionaries([s for s, f in zip(texts, fold) if f != k], y[fold != k])
-        m = _Measure(o, t)
+        return ToxicityModel(b"", b"", b"", [-30.0 if not y.sum() else 30.0] + [0.0] * FEATURES)
+    fold = np.random.default_rng(1).permutation(len(y)) % FOLDS
+    chooser = _Chooser(texts, y, fold)
+    x = np.zeros((len(y), FEATURES))
+    for k in range(FOLDS):
+        m = _Measure(*chooser.dictionaries(k))
         for i in np.flatnonzero(fold == k):
             x[i] = m.features(texts[i])
     weight *= len(y) / weight.sum()
@@ -140,31 +176,37 @@ def fit(labelled: list[tuple[str, int, float]]) -> ToxicityModel:
     best = int(np.argmax(f1))
     edge = (z[order[best]] + z[order[min(best + 1, len(y) - 1)]]) / 2
     w[0] += np.log(CUT / (1 - CUT)) - edge
-    o, t = _dictionaries(texts, y)
-    return ToxicityModel(o, t, [float(v) for v in w])
+    return ToxicityModel(*chooser.dictionaries(-1), [float(v) for v in w])
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> list[tuple[str, int, float]]:
     """Bounded sample of labelled rows (text, label, weight), least hashes of the id first, whole texts only; a text that no longer fits is passed over.
 
-    The weight is how many labelled rows of docs with that label each taken one stands for.
+    The weight is how many labelled rows of docs with that label each taken one stands for. Of rows with one id that
+    with the least digest counts; an id with both labels counts under each. Ids, digests and sizes are chosen from
+    first; only texts that fit are fetched.
     """
     tune(docs.sparkSession)
     known = docs.select(id_col)
     rows = labels.select(id_col, F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)").join(known, id_col, "left_semi").withColumn("h", F.xxhash64(id_col, F.lit(3))).dropDuplicates([id_col, "y"])
     of_label = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [rows.filter(F.col("y") == y).orderBy("h", id_col).limit(most) for y, most in MOST_DOCS.items()]
-    chosen = parts[0].unionByName(parts[1])
-    texts = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    met = texts.join(F.broadcast(chosen), id_col).select("text", "y", "h")  # at most the sum of MOST_DOCS lines
-    left, out = {y: MOST_BYTES * most // sum(MOST_DOCS.values()) for y, most in MOST_DOCS.items()}, []
-    for r in sorted(met.collect(), key=lambda r: (r["h"], r["text"])):
-        size = len(r["text"].encode("utf-8", "replace"))
-        if size <= left[r["y"]]:
-            left[r["y"]] -= size
-            out.append((r["text"], r["y"]))
-    taken = collections.Counter(y for _, y in out)
-    return [(t, y, of_label[y] / taken[y]) for t, y in out]
+    chosen = parts[0].unionByName(parts[1])  # at most the sum of MOST_DOCS lines
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(id_col, text.alias("text"))
+    keyed = texts.join(F.broadcast(chosen.select(id_col).distinct()), id_col).groupBy(id_col).agg(F.min(F.struct(F.sha2("text", 256).alias("digest"), F.octet_length("text").alias("size"))).alias("of"))
+    met = chosen.join(F.broadcast(keyed), id_col).select(id_col, "y", "h", "of.digest", "of.size").collect()
+    left, taken = {y: MOST_BYTES * most // sum(MOST_DOCS.values()) for y, most in MOST_DOCS.items()}, []
+    for r in sorted(met, key=lambda r: (r["h"], r["digest"], r["y"])):
+        if r["size"] <= left[r["y"]]:
+            left[r["y"]] -= r["size"]
+            taken.append((r[id_col], r["digest"], r["y"]))
+    kind = docs.schema[id_col].dataType.simpleString()
+    fits = docs.sparkSession.createDataFrame(taken, f"`{id_col}` {kind}, digest string, y int")
+    fetched = texts.withColumn("digest", F.sha2("text", 256)).join(F.broadcast(fits), [id_col, "digest"]).dropDuplicates([id_col, "digest", "y"])
+    out = [(r["text"], r["y"]) for r in fetched.collect()]
+    n = collections.Counter(y for _, y in out)
+    return [(t, y, of_label[y] / n[y]) for t, y in out]
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,7 +215,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     A null or empty text has no windows and gets the score of no evidence. Null ids, repeated rows and ties are scored
     row by row. An empty table gives none. Whole texts are scored; no shuffle. id_col takes no part in the score.
     """
-    shared = tune(docs.sparkSession).sparkContext.broadcast(model)  # two dictionaries of fixed size
+    shared = tune(docs.sparkSession).sparkContext.broadcast(model)  # dictionaries of fixed size
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

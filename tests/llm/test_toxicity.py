@@ -52,15 +52,59 @@ def test_a_word_met_in_ordinary_text_still_tells(table):
     assert sum(got[i] == y for i, _, y in test) / len(test) > 0.95
 
 
+def phrases(seed, n):
+    """Texts of the same words, each as frequent in either kind; only in toxic ones do some pairs follow upon one another."""
+    rng = random.Random(seed)
+    vocabulary = [a + b + c for a in ("br", "st", "kl", "gr", "pl", "tr", "sn", "fl") for b in ("ax", "eno", "ilu", "orm", "umpy", "yth") for c in ("an", "el", "ot", "um", "ix")]
+    pairs = [(vocabulary[i], vocabulary[-1 - i]) for i in range(0, 60, 15)]
+    rows = []
+    for i in range(n):
+        text = [rng.choice(vocabulary) for _ in range(rng.randrange(30, 90))]
+        for _ in range(6):
+            a, b = rng.choice(pairs)
+            at = rng.randrange(len(text))
+            if i % 4 == 0:
+                text[at:at] = [a, b]
+            else:
+                text.insert(at, a)
+                text.insert(rng.randrange(len(text)), b)
+        rows.append((i, " ".join(text), int(i % 4 == 0)))
+    return rows
+
+
+def test_learns_where_no_single_word_tells(table):
+    model = fit([(t, y, 1.0) for _, t, y in phrases(1, 900)])
+    rows = phrases(2, 300)
+    got = {r["doc_id"]: r["score"] for r in score(table([(i, t) for i, t, _ in rows]), model).collect()}
+    toxic, clean = ([got[i] for i, _, y in rows if y == k] for k in (1, 0))
+    area = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / (len(toxic) * len(clean))
+    assert area > 0.65
+
+
+def test_both_dictionaries_are_trained_alike():
+    model = fit([(t, y, 1.0) for _, t, y in corpus(1, 600)])
+    assert 0 < len(model.toxic) <= toxicity.DICTIONARY_BYTES and 0 < len(model.ordinary) <= toxicity.DICTIONARY_BYTES
+
+
 def test_scores_equal_compression_lengths_by_hand(table):
-    """Each score from the model's parts alone: windows compressed one by one, their differences, the curve."""
+    """Each score from zstandard itself: windows compressed one by one with either dictionary before the base, their differences, the curve."""
+    import zstandard
+
     model = fit([(t, y, 1.0) for _, t, y in corpus(1, 200)])
-    measure = toxicity._Measure(model.ordinary, model.toxic)
-    for i, t, _ in (rows := corpus(3, 60)):
+
+    def length(window, dictionary):
+        content = dictionary + model.base
+        p = zstandard.ZstdCompressionParameters.from_level(12, source_size=48, dict_size=len(content), write_checksum=False, write_content_size=False, write_dict_id=False)
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=p)
+        return len(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress(window))
+
+    for i, t, _ in (rows := corpus(3, 20)):
         ws = t.lower().encode().split()
-        cut = [b" " + b" ".join(ws[k : k + 8]) + b" " for k in range(0, len(ws), 8)]
-        gains = sorted((len(measure.plain.compress(w)) - len(measure.nested.compress(w)) for w in cut), reverse=True)
-        x = [gains[0], sum(gains[:3]) / 3, math.log1p(sum(g for g in gains if g >= 3)), math.log1p(len(gains))]
+        cut = [b" " + b" ".join(ws[k : k + 6]) + b" " for k in range(0, len(ws), 6)]
+        g = sorted((length(w, model.ordinary) - length(w, model.toxic) for w in cut), reverse=True)
+        over = [[v for v in g if v >= k] for k in (1, 2, 3)]
+        x = [g[0], sum(g[:3]) / 3, sum(g) / len(g), math.log1p(len(g)), len(over[0]) / len(g), len(over[1]) / len(g), *(math.log1p(sum(o)) for o in over)]
         z = model.weights[0] + sum(a * b for a, b in zip(model.weights[1:], x))
         rows[i] = (i, t, 1 / (1 + math.exp(-max(-30, min(30, z)))))
     done = {r["doc_id"]: r["score"] for r in score(table([(i, t) for i, t, _ in rows]), model).collect()}
@@ -68,9 +112,9 @@ def test_scores_equal_compression_lengths_by_hand(table):
 
 
 def test_sample(spark, table, monkeypatch):
-    docs = table([(1, "x"), (2, None), (3, "z")])
+    docs = table([(1, "x"), (1, "y"), (2, None), (2, None), (3, "z")])  # of a repeated id one text counts
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, None), (9, 0), (None, 1)], "doc_id bigint, toxic int")
-    assert sorted(sample_labelled(docs, labels)) == [("", 0, 1.0), ("x", 1, 1.0)]
+    assert sorted(sample_labelled(docs, labels)) in ([("", 0, 1.0), ("x", 1, 1.0)], [("", 0, 1.0), ("y", 1, 1.0)])
     monkeypatch.setattr(toxicity, "MOST_BYTES", 4 * 100)  # 300 ordinary bytes, 100 toxic ones
     docs = table([(i, "y" * (500 if i == 3 else 20)) for i in range(12)])
     labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id bigint, toxic int")
