@@ -19,8 +19,9 @@ def json_nodes(rows: DataFrame, keys: list[str], column: str, folder: str, most_
     """(keys, path, pattern, parent, parent_path, depth, ord, name, kind, value) of every node of a JSON column, by levels until one has no containers.
 
     path is that of the node, pattern the same with [] for every place of an array; the root's is $. kind is OBJECT,
-    ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN or VOID; value is the node itself. A text that is no JSON, or null,
-    has no node. Each level is written to the folder, and read for the next one. More levels than most_levels are an error.
+    ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN or VOID; value is the node as JSON. A text that is no JSON, or null,
+    has no node. Each level is written to the folder, as text (tables of variants are shredded to one type a column), and
+    read for the next one. More levels than most_levels are an error.
     """
     spark = rows.sparkSession
     null = F.lit(None)
@@ -28,12 +29,13 @@ def json_nodes(rows: DataFrame, keys: list[str], column: str, folder: str, most_
         *keys, F.lit("$").alias("path"), F.lit("$").alias("pattern"), null.cast("string").alias("parent"), null.cast("string").alias("parent_path"), F.lit(0).alias("depth"),
         F.lit(0).alias("ord"), null.cast("string").alias("name"), F.try_parse_json(column).alias("value"),
     ).filter("value is not null")
-    level = store.put(root.withColumn("kind", _kind(F.col("value"))), folder, "level=0")
+    shown = lambda df: df.withColumn("kind", _kind(F.col("value"))).withColumn("value", F.to_json("value"))
+    level = store.put(shown(root), folder, "level=0")
     levels = ["level=0"]
     while not (within := level.filter("kind in ('OBJECT', 'ARRAY')")).isEmpty():
         if len(levels) > most_levels:
             raise ValueError(f"more than {most_levels} levels")
-        up = within.select(*keys, F.col("path").alias("parent_path"), F.col("pattern").alias("parent"), "depth", F.col("value").alias("held"))
+        up = within.select(*keys, F.col("path").alias("parent_path"), F.col("pattern").alias("parent"), "depth", F.parse_json("value").alias("held"))
         each = up.lateralJoin(spark.tvf.variant_explode(F.col("held").outer()))
         step = lambda base, place: F.when(F.col("key").isNotNull(), F.concat(base, F.lit("."), "key")).otherwise(F.concat(base, F.lit("["), place, F.lit("]")))
         down = each.select(
@@ -41,7 +43,7 @@ def json_nodes(rows: DataFrame, keys: list[str], column: str, folder: str, most_
             F.col("pos").alias("ord"), F.col("key").alias("name"), "value",
         )
         levels.append(f"level={len(levels)}")
-        level = store.put(down.withColumn("kind", _kind(F.col("value"))), folder, levels[-1])
+        level = store.put(shown(down), folder, levels[-1])
     return spark.read.schema(level.schema).parquet(*[f"{folder}/{n}" for n in levels])
 
 
