@@ -202,21 +202,28 @@ def canonical_hash(tree: pd.Series) -> pd.Series:
     return tree.map(lambda t: None if t is None else hash_of(json.loads(t)))
 
 
+#: A leading number however it goes on; a number in brackets.
+LEADING = r"^\s*(?:第\s*)?([0-9]{1,3})\s*[.、．:：)）]?"
+BRACKETED = r"[（(\[]\s*([0-9]{1,2})\s*[）)\]]"
+
+
+def number_of(c: Column, pattern: str) -> Column:
+    """The number that a pattern's group finds, null without."""
+    return F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), pattern, 1), F.lit("")).try_cast("int")
+
+
+def label_similarity(a: Column, b: Column, raw_a: Column, raw_b: Column, least: float) -> Column:
+    """Similarity of an anchor and a block, both given folded and raw: equal numbers make short labels nearly certain, a text within the other counts by its length, all else is aligned."""
+    low = F.least(F.char_length(a), F.char_length(b))
+    return (
+        F.when((a == "") | (b == ""), 0.0).when((number_of(raw_a, LEADING) == number_of(raw_b, LEADING)) & (low <= 3), 0.92).when((number_of(raw_a, BRACKETED) == number_of(raw_b, BRACKETED)) & (low <= 3), 0.90)
+        .when(low < 3, 0.0).when(F.contains(a, b) | F.contains(b, a), F.least(F.lit(1.0), low / 8.0)).otherwise(texts.alike_from(a, b, F.lit(least)))
+    )
+
+
 def structural_similarity(text: Column, block: Column) -> Column:
-    """How alike a text and a block are by their letters, from 0 to 1; equal numbers or sub-numbers make a short label certain, and one inside the other counts by its length."""
-    number = lambda c: F.nullif(F.regexp_extract(c, r"^\s*([0-9]{1,3})\s*[.、．:：)）]", 1), F.lit(""))
-    sub = lambda c: F.nullif(F.regexp_extract(c, r"^\s*[（(]\s*([0-9]{1,2})\s*[）)]", 1), F.lit(""))
-    a, b = F.coalesce(texts.folded(text), F.lit("")), F.coalesce(texts.folded(block), F.lit(""))
-    x = F.struct(a.alias("a"), b.alias("b"), texts.similarity(texts.folded(text), texts.folded(block)).alias("r"))
-
-    def score(v: Column) -> Column:
-        low = F.least(F.char_length(v["a"]), F.char_length(v["b"]))
-        return (
-            F.when((v["a"] == "") | (v["b"] == ""), 0.0).when((number(text) == number(block)) & (low <= 3), 0.92).when((sub(text) == sub(block)) & (low <= 3), 0.90)
-            .when(low < 3, 0.0).when(F.contains(v["a"], v["b"]) | F.contains(v["b"], v["a"]), F.least(F.lit(1.0), low / 8.0)).otherwise(v["r"])
-        )
-
-    return F.get(F.transform(F.array(x), score), F.lit(0))
+    """How alike a text and a block are by their letters, from 0 to 1; equal numbers or sub-numbers make a short label nearly certain, and one inside the other counts by its length."""
+    return label_similarity(F.coalesce(texts.folded(text), F.lit("")), F.coalesce(texts.folded(block), F.lit("")), text, block, 0.0)
 
 
 @F.pandas_udf(T.StringType())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -151,6 +152,30 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf(T.DoubleType())
+def alike_from(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
+    """difflib's ratio where it is `least` or more, else nought: texts whose letters alone rule that out are not aligned."""
+    counts: dict[str, Counter] = {}
+    of = lambda t: counts.setdefault(t, Counter(t))
+    matcher, seen = difflib.SequenceMatcher(None), None
+    out = []
+    for x, y, m in zip(a, b, least):
+        if not x or not y:
+            out.append(0.0)
+            continue
+        total = len(x) + len(y)
+        if 2 * min(len(x), len(y)) < m * total or 2 * (of(x) & of(y)).total() < m * total:
+            out.append(0.0)
+            continue
+        if y != seen:
+            matcher.set_seq2(y)
+            seen = y
+        matcher.set_seq1(x)
+        r = matcher.ratio()
+        out.append(r if r >= m else 0.0)
+    return pd.Series(out, dtype="float64")
+
+
 @F.pandas_udf(T.BooleanType())
 def balanced(text: pd.Series) -> pd.Series:
     """Whether round, square and curly brackets nest, those after a backslash apart."""

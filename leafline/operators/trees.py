@@ -175,14 +175,16 @@ def anchor_scores(items: DataFrame, blocks: DataFrame, least: float = 0.38) -> D
     """(page, item_id, block_ord, score) of items (page, item_id, number, text) and recognised blocks (page, block_ord, text) that are alike enough.
 
     0.65 of the similarity of their first 120 letters, or of one holding the other's beginning, and 0.35 for a block
-    that begins with the item's number. Items and blocks of one page meet: both are bounded by paper.
+    that begins with the item's number. Items and blocks of one page meet: both are bounded by paper. Only pairs whose
+    letters, whatever their order, let them be alike enough are aligned.
     """
     q, b = F.col("query_"), F.col("block_")
     rows = items.select("page", "item_id", "number", text.letters(F.col("text")).alias("query_")).join(blocks.select("page", "block_ord", F.col("text").alias("raw_"), text.letters(F.col("text")).alias("block_")), "page").filter((q != "") & (b != ""))
     held = F.contains(b, F.left(q, F.lit(8))) | F.contains(q, F.left(b, F.lit(8)))
     number = F.nullif(F.regexp_extract("raw_", r"^\s*([0-9]{1,3})\s*[.、．:：)]", 1), F.lit("")).try_cast("int")
-    alike = F.greatest(text.similarity(F.left(q, F.lit(120)), F.left(b, F.lit(120))), F.when(held, 1.0).otherwise(0.0))
-    scored = rows.withColumn("score", F.round(0.65 * alike + F.when(F.coalesce(number == F.col("number"), F.lit(False)), 0.35).otherwise(0.0), 6))
+    bonus = F.when(F.coalesce(number == F.col("number"), F.lit(False)), 0.35).otherwise(0.0)
+    aligned = text.alike_from(F.when(~held, F.left(q, F.lit(120))), F.left(b, F.lit(120)), (F.lit(least) - bonus) / 0.65 - 1e-5)
+    scored = rows.withColumn("score", F.round(0.65 * F.when(held, 1.0).otherwise(aligned) + bonus, 6))
     return scored.filter(F.col("score") >= least).select("page", "item_id", "block_ord", "score")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafline import store
-from leafline.operators import assignment, merging, variants
+from leafline.functions import parsing
+from leafline.operators import assignment, grounding, merging, variants
 from leafline.plans.registry import query
 
 
@@ -215,3 +216,36 @@ def q131_closed_world(t):
     """Nested trees of five levels against their schema, without a line of Python in the plan."""
     rows = _trees_as_json(t)
     return variants.closed_world_faults(rows, ["l_orderkey"], "tree", TREE_SCHEMA, store.new_folder(rows.sparkSession, "nodes"))
+
+
+def _papers(t):
+    """Conversations as papers: a turn is a page, its sentences the blocks; every third is a question, named by its beginning, the two after it its items."""
+    lines = t("conversations").select(F.col("conv_id").cast("string").alias("document"), F.col("turn").cast("int").alias("page_index"), F.posexplode(F.filter(F.split("text", r"[.\n]+ *"), lambda s: s != "")).alias("n", "s"))
+    n = F.col("n")
+    block = F.when(n % 3 == 0, F.concat(n + 1, F.lit(". "), "s")).when(n % 3 == 1, F.concat(F.lit("(1) "), "s", F.lit(" A. x B. y"))).otherwise(F.concat(F.lit("(2) "), "s"))
+    blocks = lines.select("document", "page_index", F.lit(0).alias("col"), n.alias("place"), F.when(n % 3 == 0, 90.0).otherwise(130.0).alias("x"), block.alias("text"))
+    qid = F.concat_ws("-", "document", "page_index", (n / 3).cast("int"))
+    wrong = F.xxhash64("s") % 11 == 0  # one in eleven anchors is of another text
+    anchor = F.when(wrong, "quite another text").otherwise(F.left("s", F.lit(20)))
+    ref = F.array(F.struct("page_index", anchor.alias("anchor")))
+    questions = lines.filter("n % 3 = 0").select("document", (F.col("page_index") * 1000 + n).alias("question_ord"), qid.alias("question_id"), (n + 1).alias("number"), F.col("s").alias("text"), ref.alias("refs"))
+    items = lines.filter("n % 3 > 0").select("document", qid.alias("question_id"), (n % 3).alias("item_ord"), F.concat(qid, F.lit("/"), n % 3).alias("item_id"), F.concat(F.lit("("), n % 3, F.lit(")")).alias("label"), F.col("s").alias("text"), ref.alias("refs"))
+    pages = lines.select("document", "page_index", F.col("page_index").alias("page_ord")).distinct()
+    return questions, items, blocks, pages
+
+
+@query()
+def q132_text_issues(t):
+    """Faults of structures against the text of their pages; held against all pairs in the tests."""
+    return grounding.text_issues(*_papers(t))
+
+
+@query("""
+    SELECT item_id, round(CASE WHEN item_id % 3 = 0 THEN least(1.0, length(lower(regexp_replace(left(text, 4), '[^\\p{L}\\p{N}]', '', 'g'))) / 8.0) WHEN item_id % 3 = 1 THEN 0.92 ELSE 0.9 END, 6) AS alike FROM benchmark
+""")
+def q133_structural_similarity(t):
+    """Items held against their own text: a beginning, a number, a number in brackets."""
+    k, own = F.col("item_id") % 3, F.left("text", F.lit(4))
+    a = F.when(k == 0, own).when(k == 1, F.lit("7.")).otherwise("(3)")
+    b = F.when(k == 0, F.col("text")).when(k == 1, F.concat(F.lit("7) "), "text")).otherwise(F.concat(F.lit("（3）"), "text"))
+    return t("benchmark").select("item_id", F.round(parsing.structural_similarity(a, b), 6).alias("alike"))
