@@ -18,6 +18,7 @@ executors; its size is fixed by the dictionaries' sizes.
 
 import collections
 import dataclasses
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,13 +102,25 @@ class ToxicityModel:
 
 
 def _own_windows(texts: list[str], toxic: np.ndarray, rng: np.random.Generator) -> tuple[list[bytes], np.ndarray]:
-    """Windows and the place of each one's text; of toxic texts those that no other text has word for word."""
-    cut = [windows(words(t), TRAIN_WORDS) for t in texts]
-    met = collections.Counter(w for ws in cut for w in {*ws})
-    ws = [(w, i) for i, (own, y) in enumerate(zip(cut, toxic)) for w in own if not y or met[w] < 2]
-    ordinary = [x for x in ws if not toxic[x[1]]]
-    kept = [ordinary[i] for i in rng.permutation(len(ordinary))[:MOST_WINDOWS]] + [x for x in ws if toxic[x[1]]]
-    return [w for w, _ in kept], np.array([i for _, i in kept], int)
+    """Windows and the place of each one's text: MOST_WINDOWS of ordinary texts, and of toxic ones all that no other text has word for word."""
+    cut = lambda t: windows(words(t), TRAIN_WORDS)  # noqa: E731  cut twice, as all windows at once take much memory
+    named = [np.fromiter(((zlib.crc32(w) << 32) | zlib.adler32(w) for w in cut(t)), np.uint64) for t in texts]
+    names, n = np.unique(np.concatenate([np.unique(x) for x in named]), return_counts=True)
+    repeated = names[n > 1]
+    sizes = np.array([0 if y else len(x) for x, y in zip(named, toxic)])
+    order = rng.permutation(int(sizes.sum()))[:MOST_WINDOWS]
+    taken = np.zeros(int(sizes.sum()), bool)
+    taken[order] = True
+    ws, at, begin = {0: [], 1: []}, {0: [], 1: []}, 0
+    for i, (t, y) in enumerate(zip(texts, toxic)):
+        kept = ~np.isin(named[i], repeated) if y else taken[begin : begin + sizes[i]]
+        begin += sizes[i]
+        if kept.any():
+            own = cut(t)
+            ws[y] += [own[k] for k in np.flatnonzero(kept)]
+            at[y] += [i] * int(kept.sum())
+    drawn = np.searchsorted(np.sort(order), order)  # ordinary ones in the order they were drawn
+    return [ws[0][k] for k in drawn] + ws[1], np.array([at[0][k] for k in drawn] + at[1], int)
 
 
 class _Chooser:
