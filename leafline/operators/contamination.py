@@ -1,7 +1,8 @@
 """Documents against a benchmark: which items' grams they hold, and which item their words match best.
 
-The benchmark is the small side: its items' sets are held whole in every worker, documents are looked at one by one and
-whole. All items are counted at once as a product of 0/1 matrices, so frequent grams cost no more than rare ones.
+The benchmark is the small side: an index of its items by gram is built once and held in every worker, documents are
+looked at one by one and whole. A benchmark is measured before it is fetched; one of more than MOST_BYTES is taken in
+parts by the hash of the id, each of which meets all documents in a pass of its own.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-#: Documents counted together, and items of one matrix.
-ROWS, ITEMS = 128, 256
+#: Bytes of a benchmark's texts that are indexed and broadcast at once.
+MOST_BYTES = 32 << 20
 
 
 def _codes(text: str) -> np.ndarray:
@@ -76,42 +79,41 @@ class _Words:
         return np.array([self.number[w] for w in set(text.split(" ")) if w in self.number], np.int64)
 
 
-def _blocks(items: list[str], kind) -> list[tuple]:
-    """(vocabulary, matrix of vocabulary x items) of each ITEMS items."""
-    out = []
-    for i in range(0, len(items), ITEMS):
-        part = items[i : i + ITEMS]
-        v = kind(part)
-        m = np.zeros((len(v), len(part)), np.float32)
-        for j, t in enumerate(part):
-            m[v.of(t), j] = 1
-        out.append((v, m))
-    return out
+class _Index:
+    """For each element of the items' vocabulary the items that have it, one after another."""
 
+    def __init__(self, items: list[str], kind) -> None:
+        self.elements = kind(items)
+        own = [np.unique(self.elements.of(t)) for t in items]
+        self.sizes = np.array([len(x) for x in own], np.int64)
+        element, item = np.concatenate(own or [np.zeros(0, np.int64)]), np.repeat(np.arange(len(items)), self.sizes)
+        order = np.argsort(element, kind="stable")
+        self.items = item[order].astype(np.int32)
+        self.begins = np.searchsorted(element[order], np.arange(len(self.elements) + 1))
 
-def _counts(texts: list[str], blocks: list[tuple]) -> np.ndarray:
-    """Shared distinct elements of each text and each item."""
-    out = []
-    for v, m in blocks:
-        d = np.zeros((len(texts), len(v)), np.float32)
-        for i, t in enumerate(texts):
-            d[i, v.of(t)] = 1
-        out.append(d @ m)  # whole numbers under 2^24 are exact
-    return np.concatenate(out, axis=1)
+    def shared(self, text: str) -> np.ndarray:
+        """How many distinct elements a text shares with each item."""
+        ids = np.unique(self.elements.of(text))
+        n = self.begins[ids + 1] - self.begins[ids]
+        at = np.repeat(self.begins[ids] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum()) if len(ids) else ids
+        return np.bincount(self.items[at], minlength=len(self.sizes))
 
 
-def _looked_at(batches: Iterator[pa.RecordBatch], blocks: list[tuple]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """(ids, distinct elements, shared ones by item) of some documents at a time."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            part = batch.slice(start, ROWS)
-            texts = part.column(1).to_pylist()
-            yield part.column(0), np.array([blocks[0][0].size(t) for t in texts]), _counts(texts, blocks).astype(np.int64)
+def _parts(benchmark: DataFrame) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of a benchmark (id, text), in parts of about MOST_BYTES at most, by id."""
+    key, text = (F.col(c) for c in benchmark.columns[:2])
+    n = -(-(benchmark.agg(F.sum(F.octet_length(text))).first()[0] or 0) // MOST_BYTES)
+    for i in range(n):
+        rows = sorted(benchmark.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i).collect(), key=lambda r: r[0])
+        if rows:
+            yield [r[0] for r in rows], [r[1] for r in rows]
 
 
-def _items(benchmark: DataFrame) -> tuple[list, list[str]]:
-    rows = sorted(benchmark.collect(), key=lambda r: r[0])  # the benchmark is the side held in memory
-    return [r[0] for r in rows], [r[1] for r in rows]
+def _united(docs: DataFrame, found: list[DataFrame], schema: str) -> DataFrame:
+    out = docs.sparkSession.createDataFrame([], schema)
+    for f in found:
+        out = out.unionByName(f)
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: int = 4) -> DataFrame:
@@ -120,46 +122,59 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: i
     docs: (doc_id, text), benchmark: (item_id, text). Texts that are null or shorter than n have no grams.
     """
     sized = lambda df: df.filter(f"char_length(text) >= {n}")
-    ids, texts = _items(sized(benchmark))
     a, b = (df.schema.fields[0].dataType.simpleString() for df in (docs, benchmark))
     schema = f"doc_id {a}, item_id {b}, share double, doc_share double"
-    if not ids:
-        return docs.sparkSession.createDataFrame([], schema)
-    shared = docs.sparkSession.sparkContext.broadcast(texts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _blocks(shared.value, lambda part: _Grams(part, n))
-        sizes = np.concatenate([m.sum(axis=0) for _, m in blocks]).astype(np.int64)
-        names = pa.array(ids)
-        for doc_ids, own, k in _looked_at(batches, blocks):
-            share, doc_share = k / sizes, k / own[:, None]
-            i, j = np.nonzero((share > least) | (doc_share > least))
-            yield pa.RecordBatch.from_arrays([doc_ids.take(pa.array(i)), names.take(pa.array(j)), pa.array(share[i, j]), pa.array(doc_share[i, j])], ["doc_id", "item_id", "share", "doc_share"])
+    def against(ids: list, texts: list[str]) -> DataFrame:
+        index = docs.sparkSession.sparkContext.broadcast(_Index(texts, lambda t: _Grams(t, n)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, names = index.value, pa.array(ids)
+            for batch in batches:
+                i, j, share, doc_share = [], [], [], []
+                for at, t in enumerate(batch.column(1).to_pylist()):
+                    k = held.shared(t)
+                    of_item, of_doc = k / held.sizes, k / held.elements.size(t)
+                    met = np.flatnonzero((of_item > least) | (of_doc > least))
+                    i += [at] * len(met)
+                    j += met.tolist()
+                    share += of_item[met].tolist()
+                    doc_share += of_doc[met].tolist()
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i, pa.int64())), names.take(pa.array(j, pa.int64())), pa.array(share, pa.float64()), pa.array(doc_share, pa.float64())], ["doc_id", "item_id", "share", "doc_share"])
+
+        return sized(docs).mapInArrow(run, schema)
 
-    return sized(docs).mapInArrow(run, schema)
+    return _united(docs, [against(*part) for part in _parts(sized(benchmark))], schema)
 
 
 def best_items(docs: DataFrame, benchmark: DataFrame, least: float, lead: float) -> DataFrame:
     """(doc_id, item_id, share): each document's best item by the share of the document's distinct words that it has, if that is `least` or more and leads the second, where another item shares a word, by `lead` or more."""
     some = lambda df: df.filter("text is not null")
-    ids, texts = _items(some(benchmark))
     a, b = (df.schema.fields[0].dataType.simpleString() for df in (docs, benchmark))
-    schema = f"doc_id {a}, item_id {b}, share double"
-    if not ids:
-        return docs.sparkSession.createDataFrame([], schema)
-    shared = docs.sparkSession.sparkContext.broadcast(texts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _blocks(shared.value, _Words)
-        names = pa.array(ids)
-        for doc_ids, own, k in _looked_at(batches, blocks):
-            best = k.argmax(axis=1)  # of equals the smallest item_id
-            top = k[np.arange(len(k)), best]
-            rest = k.copy()
-            rest[np.arange(len(k)), best] = 0
-            second = rest.max(axis=1)
-            share, following = top / own, np.where(second > 0, second / own, -np.inf)
-            i = np.flatnonzero((top > 0) & (share >= least) & (share - following >= lead))
-            yield pa.RecordBatch.from_arrays([doc_ids.take(pa.array(i)), names.take(pa.array(best[i])), pa.array(share[i])], ["doc_id", "item_id", "share"])
-
-    return some(docs).mapInArrow(run, schema)
+    rows = some(docs).withColumn("row_", F.monotonically_increasing_id())  # repeated ids are rows of their own
+    best_two = f"doc_id {a}, row_ bigint, item_id {b}, share double"
+
+    def against(ids: list, texts: list[str]) -> DataFrame:
+        index = docs.sparkSession.sparkContext.broadcast(_Index(texts, _Words))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, names = index.value, pa.array(ids)
+            for batch in batches:
+                i, j, share = [], [], []
+                for at, t in enumerate(batch.column(1).to_pylist()):
+                    k = held.shared(t)
+                    for item in np.argsort(-k, kind="stable")[:2]:  # of equals the smallest item_id
+                        if k[item]:
+                            i.append(at)
+                            j.append(int(item))
+                            share.append(k[item] / held.elements.size(t))
+                place = pa.array(i, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(place), batch.column(2).take(place), names.take(pa.array(j, pa.int64())), pa.array(share, pa.float64())], ["doc_id", "row_", "item_id", "share"])
+
+        return rows.select(docs.columns[0], "text", "row_").mapInArrow(run, best_two)
+
+    found = [against(*part) for part in _parts(some(benchmark))]
+    w = W.partitionBy("row_").orderBy(F.desc("share"), "item_id")  # two lines a part of the benchmark
+    ranked = _united(docs, found, best_two).withColumn("k_", F.row_number().over(w)).withColumn("next_", F.lead("share").over(w))
+    good = (F.col("k_") == 1) & (F.col("share") >= least) & F.coalesce(F.col("share") - F.col("next_") >= lead, F.lit(True))
+    return ranked.filter(good).select("doc_id", "item_id", "share")

@@ -268,7 +268,13 @@ def q23_contamination(t):
     return met.filter("k / n > 0.4").select("item_id", "other_id", F.round(F.col("k") / F.col("n"), 6).alias("share"))
 
 
-@query()
+@query("""
+    WITH d AS (SELECT doc_id, unnest(list_distinct([substr(lower(text), i::INT, 4) FOR i IN range(1, length(text) - 2)])) AS g FROM documents WHERE length(text) >= 4),
+    b AS (SELECT item_id, unnest(list_distinct([substr(lower(text), i::INT, 4) FOR i IN range(1, length(text) - 2)])) AS g FROM benchmark WHERE length(text) >= 4),
+    nd AS (SELECT doc_id, count(*) AS nd FROM d GROUP BY 1), nb AS (SELECT item_id, count(*) AS nb FROM b GROUP BY 1),
+    k AS (SELECT doc_id, item_id, count(*) AS k FROM d JOIN b USING (g) GROUP BY 1, 2)
+    SELECT doc_id, item_id, round(k::DOUBLE / nb, 6) AS share, round(k::DOUBLE / nd, 6) AS doc_share FROM k JOIN nd USING (doc_id) JOIN nb USING (item_id) WHERE k::DOUBLE / nb > 0.4 OR k::DOUBLE / nd > 0.4
+""")
 def q23b_document_contamination(t):
     lower = lambda name, key: t(name).select(key, F.lower("text").alias("text"))
     found = contamination.contaminated(lower("documents", "doc_id"), lower("benchmark", "item_id"), 0.4, 4)
@@ -341,7 +347,12 @@ def q30_best_with_margin(t):
     return ordering.with_margin(p, ["item_id"], "share", ["other_id"], 0.2, 0.02).withColumn("share", F.round("share", 6))
 
 
-@query()
+@query("""
+    WITH d AS (SELECT doc_id, unnest(list_distinct(string_split(text, ' '))) AS w FROM documents WHERE text IS NOT NULL), b AS (SELECT item_id, unnest(list_distinct(string_split(text, ' '))) AS w FROM benchmark WHERE text IS NOT NULL),
+    n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1), k AS (SELECT doc_id, item_id, count(*)::DOUBLE / any_value(n) AS share FROM d JOIN b USING (w) JOIN n USING (doc_id) GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER w AS k, lead(share) OVER w AS nxt FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY share DESC, item_id))
+    SELECT doc_id, item_id, round(share, 6) AS share FROM r WHERE k = 1 AND share >= 0.2 AND share - coalesce(nxt, '-inf'::DOUBLE) >= 0.02
+""")
 def q30b_document_best_with_margin(t):
     found = contamination.best_items(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", "text"), 0.2, 0.02)
     return found.withColumn("share", F.round("share", 6))

@@ -1,5 +1,6 @@
 import pytest
 
+from leafline.operators import contamination
 from leafline.plans import catalog
 
 ITEMS = [(1, "What is the capital of France?"), (2, "Name the largest planet 🙂 of all."), (3, "abc"), (4, None), (5, "what IS the capital of france, and why?")]
@@ -43,3 +44,10 @@ def test_best_with_margin(spark, tables):
             want.add((d, -shares[0][1], round(shares[0][0], 6)))
     assert len(want) >= 3
     assert {tuple(r) for r in catalog.QUERIES["q30b_document_best_with_margin"](spark, tables).collect()} == want
+
+
+def test_a_large_benchmark_is_taken_in_parts(spark, tables, monkeypatch):
+    names = ("q23b_document_contamination", "q30b_document_best_with_margin")
+    whole = [sorted(map(tuple, catalog.QUERIES[q](spark, tables).collect())) for q in names]
+    monkeypatch.setattr(contamination, "MOST_BYTES", 30)
+    assert [sorted(map(tuple, catalog.QUERIES[q](spark, tables).collect())) for q in names] == whole
