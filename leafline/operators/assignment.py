@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafline.functions import boxes
+
 
 def best_assignment(scores: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (row, column) of largest summed score, only positive ones; rows and columns may stay free.
@@ -163,6 +165,22 @@ def merged_boxes(boxes: list[list[float]], least: float = 0.3) -> list[list[floa
     return out
 
 
+def merged(rows: DataFrame, keys: list[str], box: str, ties: list[str], least: float = 0.3) -> DataFrame:
+    """(keys, place, box): merged_boxes() of each key's boxes, places from 1. A key's boxes are one array, bounded by paper."""
+    own = rows.filter(F.size(box) == 4)
+    order = F.struct(F.get(box, F.lit(1)).alias("top_"), F.get(box, F.lit(0)).alias("left_"), *ties, F.col(box).alias("box_"))
+    listed = own.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(order)), lambda r: r["box_"]).alias("all_"))
+
+    def join(done: Column, b: Column) -> Column:
+        last = F.element_at(done, -1)
+        both = F.concat(F.slice(F.zip_with(last, b, lambda x, y: F.least(x, y)), 1, 2), F.slice(F.zip_with(last, b, lambda x, y: F.greatest(x, y)), 3, 2))
+        return F.when(boxes.iou(last, b) > least, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(b)))
+
+    first = F.slice("all_", 1, 1)
+    out = F.aggregate(F.slice("all_", 2, F.greatest(F.size("all_") - 1, F.lit(0))), first, join)
+    return listed.select(*keys, F.posexplode(out).alias("n_", box)).select(*keys, (F.col("n_") + 1).alias("place"), box)
+
+
 def assign(scores: DataFrame, group: str, row: str, column: str, score: str, method: str = "best") -> DataFrame:
     """(group, row, column, score) of the pairs chosen in each group: `best` in sum or `greedy`. Groups are pages or items, bounded by paper."""
 

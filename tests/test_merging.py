@@ -109,3 +109,13 @@ def test_nested_json_against_a_closed_schema(spark, tmp_path):
         variants.json_nodes(deep, ["id"], "j", f"file://{tmp_path}/e", most_levels=3)
     with pytest.raises(ValueError, match="kind"):
         variants.patterns({"a": "date"})
+
+
+def test_merged_boxes_of_many_pages(spark):
+    rng = random.Random(8)
+    rows = [(p, i, [x := rng.uniform(0, 60), y := rng.uniform(0, 30), x + 40, y + 20]) for p in range(6) for i in range(p * 7)] + [(9, 1, [1.0, 2.0])]
+    got = {}
+    for r in assignment.merged(spark.createDataFrame(rows, "page int, n int, box array<double>"), ["page"], "box", ["n"]).collect():
+        got.setdefault(r["page"], []).append((r["place"], r["box"]))
+    want = {p: list(enumerate(assignment.merged_boxes([b for q, _, b in rows if q == p]), 1)) for p in range(1, 6)}
+    assert {p: sorted(v) for p, v in got.items()} == want
