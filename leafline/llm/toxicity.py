@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.storage import tune
+from leafline.llm.storage import trim, tune
 
 #: Most labelled rows of each label that the model is fitted on, most bytes of their texts in all, and most windows of ordinary ones.
 MOST_DOCS = {0: 6_000, 1: 2_000}
@@ -235,6 +235,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
         one = shared.value.scorer()
         for s in batches:
             yield pd.Series([one(t or "") for t in s], dtype="float64")
+            trim()  # the worker lives on in later stages
 
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     return docs.select(*[F.col(f"`{c}`") for c in kept], scored(F.col(text_col).cast("string")).alias("score")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
