@@ -212,12 +212,12 @@ def number_of(c: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), pattern, 1), F.lit("")).try_cast("int")
 
 
-def label_similarity(a: Column, b: Column, raw_a: Column, raw_b: Column, least: float) -> Column:
-    """Similarity of an anchor and a block, both given folded and raw: equal numbers make short labels nearly certain, a text within the other counts by its length, all else is aligned."""
+def label_similarity(a: Column, b: Column, raw_a: Column, raw_b: Column, least: float, shortest: int = 3) -> Column:
+    """Similarity of an anchor and a block, both given folded and raw: equal numbers make short labels nearly certain, texts of fewer letters than `shortest` are unlike, a text within the other counts by its length, all else is aligned."""
     low = F.least(F.char_length(a), F.char_length(b))
     return (
         F.when((a == "") | (b == ""), 0.0).when((number_of(raw_a, LEADING) == number_of(raw_b, LEADING)) & (low <= 3), 0.92).when((number_of(raw_a, BRACKETED) == number_of(raw_b, BRACKETED)) & (low <= 3), 0.90)
-        .when(low < 3, 0.0).when(F.contains(a, b) | F.contains(b, a), F.least(F.lit(1.0), low / 8.0)).otherwise(texts.alike_from(a, b, F.lit(least)))
+        .when(low < shortest, 0.0).when(F.contains(a, b) | F.contains(b, a), F.least(F.lit(1.0), low / 8.0)).otherwise(texts.alike_from(a, b, F.lit(least)))
     )
 
 

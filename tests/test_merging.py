@@ -1,9 +1,11 @@
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
+import __spark_entry__
 from leafline.operators import assignment, evaluation, merging, variants
 
 QUESTIONS = "document string, record int, ord int, title string, number int, pages array<int>, items array<struct<label: string, pages: array<int>>>"
@@ -119,3 +121,24 @@ def test_merged_boxes_of_many_pages(spark):
         got.setdefault(r["page"], []).append((r["place"], r["box"]))
     want = {p: list(enumerate(assignment.merged_boxes([b for q, _, b in rows if q == p]), 1)) for p in range(1, 6)}
     assert {p: sorted(v) for p, v in got.items()} == want
+
+
+def _held_against_sql(spark, tmp_path, name, tables):
+    """(rows of a query, rows of its SQL) on these tables, both sorted."""
+    for table, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    got = __spark_entry__.queries()[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    for table in tables:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    return order(got.collect()), order(want)
+
+
+def test_short_beginnings_count_as_in_sql(spark, tmp_path):
+    texts = ["Of. The rest", "a ... b", "12 apples", "(3) pears", "", "...", "Word by word"]
+    rows = spark.createDataFrame([(i, x) for n, x in enumerate(texts) for i in range(3 * n, 3 * n + 3)], "item_id bigint, text string")
+    got, want = _held_against_sql(spark, tmp_path, "q133_structural_similarity", {"benchmark": rows})
+    assert got == want
+    assert (0, 0.25) in got and (3, 0.125) in got
