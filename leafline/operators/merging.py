@@ -141,26 +141,40 @@ def inherited(teachers: DataFrame, students: DataFrame) -> DataFrame:
     `mapped` counts the items met; `conflicts` has, sorted, COUNT_CONFLICT:id for items whose slot count the teacher's
     overrides, UNKNOWN_ITEM:id for a student's items that the teacher lacks, DUPLICATE_ITEM:id for ids that come twice.
     A student whose subject has no teacher keeps no tree: sections are null and the error is MISSING_TEACHER_GOLDEN.
-    Trees are rewritten in place; nothing is exploded.
+    A student's items meet the teacher's by a join, so without the tree the work grows with the items read. What a
+    teacher's item is for those who lack it is made once; only met items are rewritten for a student.
     """
-    t = teachers.select("subject", F.col("exam_id").alias("teacher_id"), F.col("golden_source").alias("source_"), "topology_locked", F.col("sections").cast(SECTIONS).alias("tree_"))
-    rows = students.withColumn("own_", F.col("sections").cast(SECTIONS)).drop("sections").join(t, "subject", "left")
     listed = lambda tree: F.flatten(F.transform(tree, lambda s: F.flatten(F.transform(s["questions"], lambda q: q["items"]))))
-    own = F.transform(listed(F.col("own_")), lambda i: F.struct(_item_key(i["item_id"]).alias("k"), i.alias("v")))
-    rows = rows.withColumn("items_", F.coalesce(own, F.array().cast(f"array<struct<k: string, v: {PACKAGE_ITEM}>>"))).withColumn("keys_", F.transform(listed(F.col("tree_")), lambda i: _item_key(i["item_id"])))
-    ids = F.array_distinct(F.transform("items_", lambda e: e["k"]))
-    last = F.map_from_entries(F.transform(ids, lambda k: F.struct(k, F.element_at(F.filter("items_", lambda e: e["k"] == k), -1)["v"])))
-    rows = rows.withColumn("found_", last)
-    of = lambda i: F.try_element_at("found_", _item_key(i["item_id"]))
-    tree = F.transform("tree_", lambda s: s.withField("questions", F.transform(s["questions"], lambda q: q.withField("items", F.transform(q["items"], lambda i: _inherited(i, of(i)))))))
-    clash = F.filter(listed(F.col("tree_")), lambda i: (F.coalesce(i["expected_slot_count"], F.lit(0)) > 0) & (F.coalesce(of(i)["expected_slot_count"], F.lit(0)) > 0) & (of(i)["expected_slot_count"] != i["expected_slot_count"]))
+    given = teachers.withColumn("tree_", F.col("sections").cast(SECTIONS))
+    asked = given.select("subject", F.explode(F.transform(listed(F.col("tree_")), lambda i: F.struct(_item_key(i["item_id"]).alias("k"), i["item_id"].alias("item_id"), i["expected_slot_count"].alias("n")))).alias("i"))
+    asked = asked.groupBy("subject", F.col("i.k").alias("k")).agg(F.collect_list(F.struct("i.item_id", "i.n")).alias("asked_"))
+    unmet = F.lit(None).cast(PACKAGE_ITEM)
+    kept = F.transform("tree_", lambda s: s.withField("questions", F.transform(s["questions"], lambda q: q.withField("items", F.transform(q["items"], lambda i: F.struct(_item_key(i["item_id"]).alias("k"), i.alias("i"), _inherited(i, unmet).alias("unmet")))))))
+    t = given.select("subject", F.col("exam_id").alias("teacher_id"), F.col("golden_source").alias("source_"), "topology_locked", kept.alias("tree_"))
+    # of a student's items in order of id and place the last of each id, and whether it has others
+    known = ["exam_id", "student_id", "subject", "page_files"]
+    rows = students.select(*known, F.monotonically_increasing_id().alias("row_"), F.coalesce(listed(F.col("sections").cast(SECTIONS)), F.array().cast(f"array<{PACKAGE_ITEM}>")).alias("items_"))
+    rows = rows.withColumn("keys_", F.sort_array(F.transform("items_", lambda i, n: F.struct(_item_key(i["item_id"]).alias("k"), n.alias("n")))))
+    at = lambda n: F.get("keys_", n)["k"]
+    ended = F.filter(F.transform("keys_", lambda e, n: F.struct(e["k"].alias("k"), e["n"].alias("n"), e["k"].eqNullSafe(at(n - 1)).alias("twice"), e["k"].eqNullSafe(at(n + 1)).alias("more"))), lambda e: ~e["more"])
+    own = F.transform(ended, lambda e: F.struct(e["k"].alias("k"), e["twice"].alias("twice"), F.get("items_", e["n"]).alias("v")))
+    each = rows.select(*known, "row_", F.explode_outer(own).alias("o")).select(*known, "row_", "o.k", "o.twice", "o.v")
     named = lambda code, values: F.transform(values, lambda v: F.concat(F.lit(f"{code}:"), v))
-    twice = F.filter(ids, lambda k: F.size(F.filter("items_", lambda e: e["k"] == k)) > 1)
-    conflicts = F.array_sort(F.concat(named("COUNT_CONFLICT", F.transform(clash, lambda i: i["item_id"])), named("UNKNOWN_ITEM", F.array_except(ids, F.col("keys_"))), named("DUPLICATE_ITEM", twice)))
-    met = F.size(F.filter("keys_", lambda k: F.array_contains(F.map_keys("found_"), k)))
+    met = each.join(asked, ["subject", "k"], "left")
+    clash = F.filter("asked_", lambda i: (i["n"] > 0) & (F.col("v.expected_slot_count") > 0) & (F.col("v.expected_slot_count") != i["n"]))
+    faults = F.when(F.col("asked_").isNotNull(), named("COUNT_CONFLICT", F.transform(clash, lambda i: i["item_id"]))).when(F.col("k").isNotNull(), F.array(F.concat(F.lit("UNKNOWN_ITEM:"), "k")))
+    again = F.when(F.col("twice"), F.concat(F.lit("DUPLICATE_ITEM:"), "k"))
+    per = met.groupBy("row_").agg(
+        *[F.first(c).alias(c) for c in known], F.sum(F.when(F.col("asked_").isNotNull(), F.size("asked_")).otherwise(0)).cast("int").alias("met_"),
+        F.flatten(F.collect_list(faults)).alias("faults_"), F.collect_list(again).alias("twice_"), F.collect_list(F.when(F.col("asked_").isNotNull(), F.struct("k", "v"))).alias("found_"),
+    )
+    out = per.join(t, "subject", "left").withColumn("ids_", F.transform("found_", lambda e: e["k"]))
+    of = lambda x: F.get("found_", F.array_position("ids_", x["k"]).cast("int") - 1)["v"]
+    item = lambda x: F.when(F.array_contains("ids_", x["k"]), _inherited(x["i"], of(x))).otherwise(x["unmet"])
+    tree = F.transform("tree_", lambda s: s.withField("questions", F.transform(s["questions"], lambda q: q.withField("items", F.transform(q["items"], item)))))
     no_teacher = F.col("teacher_id").isNull()
-    return rows.select(
+    return out.select(
         "exam_id", "student_id", "subject", F.lit("student").alias("document_type"), "page_files", F.size("page_files").alias("total_pages"),
         F.when(~no_teacher, F.coalesce("source_", F.concat(F.lit("teacher:"), "teacher_id"))).alias("golden_source"), "topology_locked", tree.alias("sections"),
-        F.when(no_teacher, 0).otherwise(met).alias("mapped"), F.when(no_teacher, F.array().cast("array<string>")).otherwise(conflicts).alias("conflicts"), F.when(no_teacher, "MISSING_TEACHER_GOLDEN").alias("error"),
+        F.when(no_teacher, 0).otherwise(F.col("met_")).alias("mapped"), F.when(no_teacher, F.array().cast("array<string>")).otherwise(F.array_sort(F.concat("faults_", "twice_"))).alias("conflicts"), F.when(no_teacher, "MISSING_TEACHER_GOLDEN").alias("error"),
     )

@@ -142,3 +142,26 @@ def test_short_beginnings_count_as_in_sql(spark, tmp_path):
     got, want = _held_against_sql(spark, tmp_path, "q133_structural_similarity", {"benchmark": rows})
     assert got == want
     assert (0, 0.25) in got and (3, 0.125) in got
+
+
+def _merging_tables(spark, customers, suppliers):
+    """Customers whose lines name some suppliers twice, some unknown to their nation, and one customer without orders."""
+    lines = [(c, (c * 7 + i * i) % (suppliers + 2), i + 1, float((c + 3 * i) % 50)) for c in range(customers - 1) for i in range(12)]
+    return {
+        "customer": spark.createDataFrame([(c, f"c{c}", c % 7) for c in range(customers)], "c_custkey bigint, c_name string, c_nationkey int"),
+        "supplier": spark.createDataFrame([(s, f"s{s}", s % 5) for s in range(suppliers)], "s_suppkey bigint, s_name string, s_nationkey int"),
+        "orders": spark.createDataFrame([(c, c) for c in range(customers - 1)], "o_orderkey bigint, o_custkey bigint"),
+        "lineitem": spark.createDataFrame(lines, "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double"),
+    }
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["q127_inherited_items", "q128_inherited_packages"])
+def test_inherited_items_meet_by_a_join(spark, tmp_path, name):
+    got, want = _held_against_sql(spark, tmp_path, name, _merging_tables(spark, 40, 60))
+    assert got == want
+    plan = _plan(__spark_entry__.queries()[name](spark, str(tmp_path)))
+    assert "map_from_entries" not in plan and "Generate explode" in plan  # no search through a student's items for each of the teacher's
