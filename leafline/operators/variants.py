@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from leafline import store
 
 #: How the kinds of a schema are called among Spark's types of variants.
 KINDS = {"object": ("OBJECT",), "array": ("ARRAY",), "string": ("STRING",), "int": ("BIGINT",), "number": ("BIGINT", "DECIMAL", "DOUBLE"), "boolean": ("BOOLEAN",), "null": ("VOID",)}
+FAULTS = "array<struct<path: string, fault: string>>"
 
 
 def _kind(value: Column) -> Column:
@@ -62,25 +65,50 @@ def patterns(schema: dict | list | str, at: str = "$", name: str | None = None,
     return out
 
 
-def closed_world_faults(rows: DataFrame, keys: list[str], column: str, schema: dict | list, folder: str) -> DataFrame:
+def _faults(value: Column, path: Column, schema: dict | list | str) -> Column:
+    """array<struct<path, fault>> of a node and of what the schema knows below it. Null, without the node, makes null."""
+    kind = "object" if isinstance(schema, dict) else "array" if isinstance(schema, list) else schema
+    none = F.array().cast(FAULTS)
+    fault = lambda at, name: F.struct(at.alias("path"), F.lit(name).alias("fault"))
+    if kind == "any":
+        return none
+    # a container's kind is told by opening it, as schema_of_variant reads all that it holds
+    opened = lambda as_, use: _with(F.try_variant_get(value, "$", as_), lambda held: F.when(held.isNull(), wrong).otherwise(use(held)))
+    wrong = F.array(fault(path, "WRONG_TYPE"))
+    if kind == "object":
+        of = {k.removesuffix("?"): (v, not k.endswith("?")) for k, v in schema.items()}
+
+        def within(held: Column) -> Column:
+            at = lambda k: F.concat(path, F.lit("."), k)
+            keys = F.map_keys(held)
+            missing = F.transform(F.array_except(F.array(*[F.lit(k) for k, (_, needed) in of.items() if needed]).cast("array<string>"), keys), lambda k: fault(at(k), "MISSING_KEY"))
+            unknown = F.transform(F.filter(keys, lambda k: ~k.isin(*of)) if of else keys, lambda k: fault(at(k), "UNKNOWN_KEY"))
+            below = [F.when(F.map_contains_key(held, k), _faults(F.element_at(held, k), at(F.lit(k)), v)).otherwise(none) for k, (v, _) in of.items() if v != "any"]
+            return F.concat(missing, unknown, *below)
+
+        return opened("map<string, variant>", within)
+    if kind == "array":
+        each = lambda v, n: _faults(v, F.concat(path, F.lit("["), n.cast("string"), F.lit("]")), schema[0])
+        return opened("array<variant>", lambda held: F.flatten(F.transform(held, each)))
+    return F.when(_kind(value).isin(*KINDS[kind]), none).otherwise(wrong)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), which is made once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def closed_world_faults(rows: DataFrame, keys: list[str], column: str, schema: dict | list, folder: str | None = None) -> DataFrame:
     """(keys, path, fault) of every departure of a JSON column from a schema that names all that may be there.
 
     NOT_JSON for a text that is none or null; WRONG_TYPE of a node; UNKNOWN_KEY of a node in an object that should not
-    have it, whatever lies below it; MISSING_KEY where an object lacks a key, as the path it should have.
+    have it, whatever lies below it; MISSING_KEY where an object lacks a key, as the path it should have. A text is
+    parsed once and followed as far down as the schema goes, in the row where it lies: nothing is shuffled or written,
+    and `folder` is not needed.
     """
-    spark = rows.sparkSession
-    nodes = json_nodes(rows, keys, column, folder)
-    known = spark.createDataFrame(patterns(schema), "pattern string, known string, parent string, name string, required boolean")
-    small = F.broadcast(known)  # as large as the schema
-    met = nodes.select(*keys, "path", "pattern", "parent", "parent_path", "kind").join(small.select("pattern", "known"), "pattern", "left")
-    fits = F.when(F.col("known") == "any", True)
-    for kind, names in KINDS.items():
-        fits = fits.when(F.col("known") == kind, F.col("kind").isin(*names))
-    wrong = met.filter(F.col("known").isNotNull() & ~fits).select(*keys, "path", F.lit("WRONG_TYPE").alias("fault"))
-    objects = met.filter((F.col("known") == "object") & (F.col("kind") == "OBJECT")).select(*keys, "path", "pattern")
-    closed = known.filter("known = 'object'").select(F.col("pattern").alias("parent"))
-    unknown = met.filter(F.col("known").isNull() & ~F.endswith("path", F.lit("]"))).join(F.broadcast(closed), "parent").select(*keys, "path", F.lit("UNKNOWN_KEY").alias("fault"))
-    asked = objects.join(F.broadcast(known.filter("required and name is not null").select(F.col("parent").alias("pattern"), "name")), "pattern").select(*keys, F.concat("path", F.lit("."), "name").alias("path"))
-    missing = asked.join(met.select(*keys, "path"), [*keys, "path"], "left_anti").withColumn("fault", F.lit("MISSING_KEY"))
-    no_json = rows.filter(F.try_parse_json(column).isNull()).select(*keys, F.lit("$").alias("path"), F.lit("NOT_JSON").alias("fault"))
-    return wrong.unionByName(unknown).unionByName(missing).unionByName(no_json)
+    patterns(schema)  # tells of unknown kinds
+    value = F.col("value_")
+    parsed = rows.select(*keys, F.try_parse_json(column).alias("value_"))
+    not_json = F.array(F.struct(F.lit("$").alias("path"), F.lit("NOT_JSON").alias("fault")))
+    found = F.when(value.isNull(), not_json).otherwise(_faults(value, F.lit("$"), schema))
+    return parsed.select(*keys, F.inline(found))

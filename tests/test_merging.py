@@ -165,3 +165,14 @@ def test_inherited_items_meet_by_a_join(spark, tmp_path, name):
     assert got == want
     plan = _plan(__spark_entry__.queries()[name](spark, str(tmp_path)))
     assert "map_from_entries" not in plan and "Generate explode" in plan  # no search through a student's items for each of the teacher's
+
+
+def test_closed_world_is_checked_where_the_rows_lie(spark, tmp_path):
+    rows = [(o, n, float((o * 5 + n * 11) % 50)) for o in range(70) for n in range(1, 1 + o % 4 + 1)]
+    tables = {"lineitem": spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int, l_quantity double")}
+    got, want = _held_against_sql(spark, tmp_path, "q131_closed_world", tables)
+    assert got == want and len(got) > 30
+    one = spark.createDataFrame([(1, '{"a":[{"b":null},[2],{"b":3}]}')], "id int, j string")
+    out = variants.closed_world_faults(one, ["id"], "j", {"a": [{"b": "int"}]})  # no folder: no level is written
+    assert sorted((r["path"], r["fault"]) for r in out.collect()) == [("$.a[0].b", "WRONG_TYPE"), ("$.a[1]", "WRONG_TYPE")]
+    assert "Join" not in _plan(out) and "Exchange" not in _plan(out)
