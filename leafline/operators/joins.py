@@ -55,18 +55,27 @@ def printed_context(slots: DataFrame, blocks: DataFrame, page: str = "page", str
     """Each slot (slot_id, page, box) with the last 48 characters of the printed block just left of it and the first 48 of the one right of it.
 
     Left: ends at most 8 beyond the slot's start, the rightmost; right: starts at least 8 before its end, the
-    leftmost; both centred within max(18, 0.6 of the slot's height) of the slot's centre. blocks: (page, text, block_box).
+    leftmost; both centred within max(18, 0.6 of the slot's height) of the slot's centre. blocks: (page, text, block_box)
+    and optionally block_ord; of blocks that end or start alike the one with the largest block_ord, without it the largest text.
     Both meet in strips of that height: a slot looks into those that its band touches, a block lies in that of its centre.
+    Blocks are ranked within their page first, so a pair is two numbers whose maximum is kept and no pair is sorted or
+    written; texts are joined back by rank.
     """
     s, b = F.col("box"), F.col("block_box")
-    band = F.greatest(F.lit(18.0), boxes.height(s) * 0.6)
     place = lambda y: F.floor(y / strip)
-    looking = slots.withColumn("strip_", F.explode(F.sequence(place(boxes.center_y(s) - band), place(boxes.center_y(s) + band))))
-    rows = looking.join(blocks.withColumn("strip_", place(boxes.center_y(b))), [page, "strip_"], "left")
-    same_row = F.abs(boxes.center_y(s) - boxes.center_y(b)) <= band
-    left = F.when(same_row & (F.get(b, F.lit(2)) <= F.get(s, F.lit(0)) + 8), F.get(b, F.lit(2)))
-    right = F.when(same_row & (F.get(b, F.lit(0)) >= F.get(s, F.lit(2)) - 8), -F.get(b, F.lit(0)))
-    return rows.groupBy("slot_id", page).agg(F.max_by(F.right("text", F.lit(48)), left).alias("before"), F.max_by(F.left("text", F.lit(48)), right).alias("after"))
+    tie = [F.asc(c) for c in ("block_ord", "text") if c in blocks.columns]
+    rank = lambda at: F.row_number().over(W.partitionBy(page).orderBy(at, *tie))
+    ranked = blocks.select(page, "text", boxes.center_y(b).alias("b_y"), F.get(b, F.lit(0)).alias("b_1"), F.get(b, F.lit(2)).alias("b_2"), *[c for c in ("block_ord",) if c in blocks.columns])
+    ranked = ranked.withColumn("left_", rank(F.asc("b_2"))).withColumn("right_", rank(F.desc("b_1")))
+    looking = slots.select("slot_id", page, boxes.center_y(s).alias("s_y"), F.get(s, F.lit(0)).alias("s_1"), F.get(s, F.lit(2)).alias("s_2"), F.greatest(F.lit(18.0), boxes.height(s) * 0.6).alias("band_"))
+    looking = looking.withColumn("strip_", F.explode(F.sequence(place(F.col("s_y") - F.col("band_")), place(F.col("s_y") + F.col("band_")))))
+    rows = looking.join(ranked.drop("text", "block_ord").withColumn("strip_", place(F.col("b_y"))), [page, "strip_"], "left")
+    same_row = F.abs(F.col("s_y") - F.col("b_y")) <= F.col("band_")
+    left = F.when(same_row & (F.col("b_2") <= F.col("s_1") + 8), F.col("left_"))
+    right = F.when(same_row & (F.col("b_1") >= F.col("s_2") - 8), F.col("right_"))
+    best = rows.groupBy("slot_id", page).agg(F.max(left).alias("left_"), F.max(right).alias("right_"))
+    before, after = ranked.select(page, "left_", F.right("text", F.lit(48)).alias("before")), ranked.select(page, "right_", F.left("text", F.lit(48)).alias("after"))
+    return best.join(before, [page, "left_"], "left").join(after, [page, "right_"], "left").select("slot_id", page, "before", "after")
 
 
 def first_of(base: DataFrame, others: list[DataFrame], keys: list[str], column: str) -> DataFrame:

@@ -331,7 +331,7 @@ def q104_document_fingerprints(t):
 def q105_printed_context(t):
     rows = vector_boxes(t).withColumnRenamed("label", "page")
     slots = rows.filter("vec_id % 10 = 3").select(F.col("vec_id").cast("string").alias("slot_id"), "page", "box")
-    blocks = rows.select("page", F.concat(F.lit("t"), "vec_id").alias("text"), F.col("box").alias("block_box"))
+    blocks = rows.select("page", F.col("vec_id").alias("block_ord"), F.concat(F.lit("t"), "vec_id").alias("text"), F.col("box").alias("block_box"))
     return joins.printed_context(slots, blocks).select("slot_id", "before", "after")
 
 

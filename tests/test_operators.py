@@ -166,3 +166,13 @@ def test_empty_tables(spark):
     e = spark.createDataFrame([], "k string, ord int, n int, text string")
     for df in (windows.numbering_gaps(e, ["k"], ["ord"], "n"), windows.islands(e, ["k"], ["ord"], F.col("n"), 1), aggregates.joined_parts(e, ["k"], ["ord"], "text"), ordering.best(e, ["k"], F.col("n"), ["ord"])):
         assert df.collect() == []
+
+
+def test_printed_context_keeps_numbers_of_pairs_and_settles_ties(spark):
+    slots = spark.createDataFrame([("s", 1, [100.0, 0.0, 120.0, 20.0]), ("none", 2, [0.0, 0.0, 9.0, 9.0])], "slot_id string, page int, box array<double>")
+    rows = [(1, n, f"t{n}", [50.0, 0.0, 90.0, 20.0]) for n in (10, 9)] + [(1, n, f"t{n}", [130.0, 1.0, 140.0, 20.0]) for n in (20, 3)] + [(1, 1, "far", [50.0, 200.0, 99.0, 220.0])]
+    blocks = spark.createDataFrame(rows, "page int, block_ord int, text string, block_box array<double>")
+    out = joins.printed_context(slots, blocks)
+    assert sorted((r["slot_id"], r["before"], r["after"]) for r in out.collect()) == [("none", None, None), ("s", "t10", "t20")]
+    assert joins.printed_context(slots, blocks.drop("block_ord")).filter("slot_id = 's'").first()["before"] == "t9"
+    assert "SortAggregate" not in out._jdf.queryExecution().toString()  # which sorts, and spills, all pairs
