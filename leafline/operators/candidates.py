@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,42 +29,48 @@ def scored_candidates(slots: DataFrame, blocks: DataFrame, cell: float = 250.0)
     in the domain, and its centre or 8 % in the proposal. Such a block touches the proposal itself, so both meet in the
     cells of a grid of size `cell`, each pair in its smallest shared cell only.
     """
-    b, p, d = F.col("block_box"), F.col("proposal"), F.col("domain")
-    at = lambda box, i: F.get(box, F.lit(i))
+    b, p, d, stem = F.col("block_box"), F.col("proposal"), F.col("domain"), F.col("stem")
+    numbers = lambda name, box: {f"{name}{i}_": F.get(box, F.lit(i)) for i in range(4)}
+    at = lambda name, i: F.col(f"{name}{i}_")
     blocks = blocks if "merged" in blocks.columns else blocks.withColumn("merged", F.lit(False))
-    placed = slots.withColumn("cell_", F.explode(boxes.cells(p, cell))).withColumn("part_", F.pmod(F.xxhash64("slot_id"), F.lit(PARTS)))
-    met = blocks.withColumn("marker_", F.col("text").rlike(MARKER)).withColumn("option_", F.col("text").rlike(OPTION)).withColumn("cell_", F.explode(boxes.cells(b, cell)))
-    met = met.withColumn("part_", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(PARTS)])))
+    # what one side alone decides is made before the pairs, whose code has to stay small enough to be compiled
+    placed = slots.filter((F.size(p) == 4) & (F.size(d) == 4)).withColumns(numbers("p", p) | numbers("d", d) | numbers("s", F.when(F.size(stem) == 4, stem)) | {"has_stem_": stem.isNotNull(), "diagonal_": F.greatest(F.lit(1.0), F.sqrt(F.pow(boxes.width(p), 2) + F.pow(boxes.height(p), 2))), "d_width_": F.greatest(F.lit(1.0), boxes.width(d))})
+    search = F.array(at("p", 0) - boxes.width(p), at("p", 1) - boxes.height(p), at("p", 2) + boxes.width(p), at("p", 3) + boxes.height(p))
+    placed = placed.withColumns(numbers("w", search) | {"stem_y_": (F.get(stem, F.lit(1)) + F.get(stem, F.lit(3))) / 2 - 0.60 * F.greatest(F.lit(1.0), boxes.height(stem))})
+    placed = placed.withColumn("cell_", F.explode(boxes.cells(p, cell))).withColumn("part_", F.pmod(F.xxhash64("slot_id"), F.lit(PARTS))).drop("proposal", "domain", "stem")
+    met = blocks.filter(F.size(b) == 4).withColumns(numbers("b", b) | {"area_": F.greatest(F.lit(1.0), boxes.area(b)), "b_width_": boxes.width(b), "marker_": F.col("text").rlike(MARKER), "option_": F.col("text").rlike(OPTION)})
+    met = met.withColumn("cell_", F.explode(boxes.cells(b, cell))).withColumn("part_", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(PARTS)])))
     # as many tasks as set, whatever their bytes: pairs cost more than rows
     keys, tasks = ["page", "cell_", "part_"], int(slots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = placed.repartition(tasks, *keys).join(met.repartition(tasks, *keys), keys)
-    first = lambda i: F.floor(F.greatest(at(p, i), at(b, i)) / cell)
-    rows = rows.filter((at(b, 0) <= at(p, 2)) & (at(p, 0) <= at(b, 2)) & (at(b, 1) <= at(p, 3)) & (at(p, 1) <= at(b, 3)) & (F.col("cell_.cx") == first(0)) & (F.col("cell_.cy") == first(1)))
-    cx, cy = (at(b, 0) + at(b, 2)) / 2, (at(b, 1) + at(b, 3)) / 2
-    px, py = (at(p, 0) + at(p, 2)) / 2, (at(p, 1) + at(p, 3)) / 2
-    diagonal = F.greatest(F.lit(1.0), F.sqrt(F.pow(boxes.width(p), 2) + F.pow(boxes.height(p), 2)))
-    search = F.array(at(p, 0) - boxes.width(p), at(p, 1) - boxes.height(p), at(p, 2) + boxes.width(p), at(p, 3) + boxes.height(p))
-    inside = cx.between(at(p, 0), at(p, 2)) & cy.between(at(p, 1), at(p, 3))
-    rows = rows.withColumn("in_proposal", boxes.containment(b, p)).withColumn("in_domain", boxes.containment(b, d)).withColumn("in_stem", F.coalesce(boxes.containment(b, F.col("stem")), F.lit(0.0)))
-    rows = rows.withColumn("distance", F.sqrt(F.pow(cx - px, 2) + F.pow(cy - py, 2)) / diagonal).withColumn("inside", inside)
-    rows = rows.filter((boxes.containment(b, search) >= 0.15) & (F.col("in_domain") >= 0.40) & cx.between(at(d, 0), at(d, 2)) & cy.between(at(d, 1), at(d, 3)) & (F.col("inside") | (F.col("in_proposal") >= 0.08)))
-    marker, option, wide = F.col("marker_"), F.col("option_"), boxes.width(b) / F.greatest(F.lit(1.0), boxes.width(d))
-    stem_y = (at(F.col("stem"), 1) + at(F.col("stem"), 3)) / 2 - 0.60 * F.greatest(F.lit(1.0), boxes.height(F.col("stem")))
-    reasons = F.array_compact(F.array(
-        F.when(marker, "STRUCTURAL_MARKER"), F.when(F.col("foreign_printed"), "OTHER_ITEM_PRINTED_TEXT"), F.when(option & ~F.contains("kind", F.lit("choice")), "PRINTED_OPTION_FOR_OTHER_ITEM"),
-        F.when(F.col("stem").isNotNull() & ~F.col("multi_line") & (cy < stem_y), "BEFORE_ITEM_READING_ANCHOR"), F.when((wide > 0.70) & (F.col("in_proposal") < 0.35), "LONG_LINE_PARTIAL_INTERSECTION"),
-        F.when(~F.col("multi_line") & (F.col("in_stem") >= 0.60) & (F.col("printed") | (wide > 0.65)), "PRINTED_STEM_OVERLAP"), F.when(F.col("excluded") >= 0.15, "PRINTED_EXCLUSION_OVERLAP"),
-        F.when(F.coalesce(F.col("merged"), F.lit(False)), "MERGED_PRINTED_AND_ANSWER_OCR_BOX"),
-    ))
+    first = lambda i: F.floor(F.greatest(at("p", i), at("b", i)) / cell)
+    rows = rows.filter((at("b", 0) <= at("p", 2)) & (at("p", 0) <= at("b", 2)) & (at("b", 1) <= at("p", 3)) & (at("p", 1) <= at("b", 3)) & (F.col("cell_.cx") == first(0)) & (F.col("cell_.cy") == first(1)))
+    cx, cy = (at("b", 0) + at("b", 2)) / 2, (at("b", 1) + at("b", 3)) / 2
+    px, py = (at("p", 0) + at("p", 2)) / 2, (at("p", 1) + at("p", 3)) / 2
+    shared = lambda o, i: F.greatest(F.lit(0.0), F.least(at("b", i + 2), at(o, i + 2)) - F.greatest(at("b", i), at(o, i)))
+    share = lambda o: shared(o, 0) * shared(o, 1) / F.col("area_")
+    inside = cx.between(at("p", 0), at("p", 2)) & cy.between(at("p", 1), at("p", 3))
+    rows = rows.withColumn("in_proposal", share("p")).withColumn("in_domain", share("d")).withColumn("inside", inside)
+    rows = rows.filter((share("w") >= 0.15) & (F.col("in_domain") >= 0.40) & cx.between(at("d", 0), at("d", 2)) & cy.between(at("d", 1), at("d", 3)) & (F.col("inside") | (F.col("in_proposal") >= 0.08)))
+    rows = rows.withColumn("in_stem", F.when(at("s", 0).isNotNull(), share("s")).otherwise(0.0)).withColumn("distance", F.sqrt(F.pow(cx - px, 2) + F.pow(cy - py, 2)) / F.col("diagonal_"))
+    marker, option, wide = F.col("marker_"), F.col("option_"), F.col("b_width_") / F.col("d_width_")
+    faults = [
+        (marker, "STRUCTURAL_MARKER"), (F.col("foreign_printed"), "OTHER_ITEM_PRINTED_TEXT"), (option & ~F.contains("kind", F.lit("choice")), "PRINTED_OPTION_FOR_OTHER_ITEM"),
+        (F.col("has_stem_") & ~F.col("multi_line") & (cy < F.col("stem_y_")), "BEFORE_ITEM_READING_ANCHOR"), ((wide > 0.70) & (F.col("in_proposal") < 0.35), "LONG_LINE_PARTIAL_INTERSECTION"),
+        (~F.col("multi_line") & (F.col("in_stem") >= 0.60) & (F.col("printed") | (wide > 0.65)), "PRINTED_STEM_OVERLAP"), (F.col("excluded") >= 0.15, "PRINTED_EXCLUSION_OVERLAP"),
+        (F.coalesce(F.col("merged"), F.lit(False)), "MERGED_PRINTED_AND_ANSWER_OCR_BOX"),
+    ]
+    reasons = F.array_compact(F.array(*[F.when(met, name) for met, name in faults]))
+    # told without the list, which costs more than all else of a pair and is made only where it is asked for
+    eligible = reduce(lambda a, c: a & c, [~F.coalesce(met, F.lit(False)) for met, _ in faults])
     unit = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
     minus = lambda c, w: F.when(c, w).otherwise(0.0)
     score = (
         F.when(F.col("broad_hint"), 0.18).otherwise(0.50) * F.least(F.lit(1.0), F.col("in_proposal")) + 0.22 * F.greatest(F.lit(0.0), 1 - F.col("distance")) + 0.18 * unit(F.coalesce("confidence", F.lit(0.55)))
-        + minus(F.col("inside"), 0.10) + F.when(~F.col("multi_line"), 0.10 * unit((cx - at(d, 0)) / F.greatest(F.lit(1.0), boxes.width(d)))).otherwise(0.0)
+        + minus(F.col("inside"), 0.10) + F.when(~F.col("multi_line"), 0.10 * unit((cx - at("d", 0)) / F.col("d_width_"))).otherwise(0.0)
         - minus(F.col("printed"), 0.22) - minus(F.col("foreign_printed"), 0.28) - minus(option, 0.24) - minus(marker, 0.30) - minus(F.col("excluded") >= 0.72, 0.24)
     )
-    out = rows.withColumn("score", F.round(score, 4)).withColumn("rejection_reasons", reasons)
-    return out.select("slot_id", "page", "block_ord", "block_box", "text", "score", "rejection_reasons", (F.size("rejection_reasons") == 0).alias("eligible"))
+    return rows.select("slot_id", "page", "block_ord", "block_box", "text", F.round(score, 4).alias("score"), reasons.alias("rejection_reasons"), eligible.alias("eligible"))
 
 
 def _gaps(a: list[float], b: list[float]) -> tuple[float, float, float, float]:

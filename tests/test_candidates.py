@@ -90,3 +90,12 @@ def test_run(spark, tmp_path):
     with pytest.raises(ValueError):
         runs.RunConfig("", "", "", limit=0)
     assert set(runs.doctor()) >= {"cv2", "numpy"}
+
+
+def test_eligible_is_told_without_the_list_of_reasons(spark):
+    slots = spark.createDataFrame([("s", 1, [0.0, 0.0, 50.0, 20.0], [0.0, 0.0, 200.0, 200.0], None, "fill", False, False)], "slot_id string, page int, proposal array<double>, domain array<double>, stem array<double>, kind string, multi_line boolean, broad_hint boolean")
+    rows = [(1, n, [5.0, 2.0, 30.0, 18.0], text, 0.9, False, None, 0.0) for n, text in enumerate(["x", "3.", "A. x"])]
+    blocks = spark.createDataFrame(rows, "page int, block_ord int, block_box array<double>, text string, confidence double, printed boolean, foreign_printed boolean, excluded double")
+    out = candidates.scored_candidates(slots, blocks)
+    assert {r["block_ord"]: (r["eligible"], r["rejection_reasons"]) for r in out.collect()} == {0: (True, []), 1: (False, ["STRUCTURAL_MARKER"]), 2: (False, ["PRINTED_OPTION_FOR_OTHER_ITEM"])}
+    assert "STRUCTURAL_MARKER" not in out.select("slot_id", "block_ord", "eligible")._jdf.queryExecution().optimizedPlan().toString()
