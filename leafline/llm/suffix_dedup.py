@@ -14,7 +14,7 @@ documents is sent once per chunk. Nothing is dropped or capped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,8 @@ from leafline.llm.wordhash import BASE, BASE_INVERSE, U, _power, mixed
 
 LENGTH, GRAM = 50, 32
 CHUNK_ROWS, BUCKET_BYTES = 2000, 8 << 20
-RUN_BYTES, RANK_BYTES = 1 << 20, 1 << 16
+#: Bytes of text that are hashed at once (working memory is about a hundred times that), ranked at once, and copied at once.
+RUN_BYTES, RANK_BYTES, COPY_BYTES = 1 << 18, 1 << 16, 1 << 18
 #: Bytes of text for which there is one task after a shuffle.
 TASK_BYTES = 10 << 20
 NONE = np.iinfo(np.int64).max
@@ -78,6 +79,10 @@ class Regions:
         self.hash = _span_hash(sums, self.start, self.start + self.count + length - 1)
         self.text = np.searchsorted(self.ends, self.start, "right")
 
+    def keep(self, some: np.ndarray) -> None:
+        for name in ("start", "count", "key", "hash", "text"):
+            setattr(self, name, getattr(self, name)[some])
+
     def bytes_of(self, rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         return _gather(self.buf, self.start[rows], self.count[rows] + length - 1)
 
@@ -98,10 +103,16 @@ def _changes(buf: np.ndarray, start: np.ndarray, size: np.ndarray, *keys: np.nda
 
 def _gather(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the joined bytes from each start on, their sizes)."""
-    if not len(start):
-        return np.zeros(0, np.uint8), size
-    where = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-    return buf[where], size
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    i = 0
+    while i < len(start):  # about COPY_BYTES at a time, as places take eight bytes for each
+        at = int(ends[i] - size[i])
+        j = max(i + 1, int(np.searchsorted(ends, at + COPY_BYTES, "right")))
+        n = size[i:j]
+        out[at : ends[j - 1]] = buf[np.repeat(start[i:j] - (ends[i:j] - n - at), n) + np.arange(ends[j - 1] - at)]
+        i = j
+    return out, size
 
 
 def _runs(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
@@ -116,6 +127,22 @@ def _runs(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield at, run
 
 
+def _given_back(run: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """run() of a group; what it worked with is given back to the machine before the next group, as the worker lives on."""
+
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        out = run(key, table)
+        trim()
+        return out
+
+    def two(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
+        out = run(key, mine, got)
+        trim()
+        return out
+
+    return one if run.__code__.co_argcount == 2 else two
+
+
 def _short(key: np.ndarray, bits: int) -> np.ndarray:
     """Bucket above 32 bits of key: what is sent of it. Keys that clash only bring regions to be compared in vain."""
     return ((key >> U(64 - bits)) << U(32)) | (key & U(0xFFFFFFFF))
@@ -156,6 +183,7 @@ def _ask_anchors(docs: DataFrame, bits: int, length: int, gram: int) -> DataFram
                 if texts and (chunk != held or len(texts) >= CHUNK_ROWS):
                     yield from of(held, texts).to_batches()
                     texts = []
+                    trim()
                 held = chunk
                 texts.append((text or "").encode("utf-8", "replace"))
         if texts:
@@ -184,7 +212,7 @@ def _answer_anchors(asked: DataFrame, tasks: int) -> DataFrame:
         new = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
         return _messages([(key[0].as_py(), int(chunk[i]), 1, pack(many[i:j])) for i, j in zip(new, np.r_[new[1:], len(chunk)])])
 
-    return asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, MESSAGE)
+    return asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_given_back(run), MESSAGE)
 
 
 class _Chunk:
@@ -194,25 +222,31 @@ class _Chunk:
         ids, texts = table.column("id").to_pylist(), table.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i], texts[i] or ""))
         self.order, self.ids = order, [ids[i] for i in order]
-        self.texts = [(texts[i] or "").encode("utf-8", "replace") for i in order]
-        self.runs = [(at, Regions(run, length, gram)) for at, run in _runs(self.texts)]
+        texts = [(texts[i] or "").encode("utf-8", "replace") for i in order]
+        self.runs = [(at, Regions(run, length, gram)) for at, run in _runs(texts)]
+        del texts
         short = np.concatenate([_short(r.key, bits) for _, r in self.runs])
         self.got = {(s, b): d for s, b, d in zip(*(answers.column(c).to_pylist() for c in ("step", "bucket", "data")))}
         first = [b for b in range(1 << bits) if (1, b) in self.got]
         many = np.concatenate([unpack(self.got[1, b], "?")[0] for b in first]) if first else np.zeros(0, bool)
-        distinct, where = np.unique(short, return_inverse=True)
-        kept = np.flatnonzero(many[where]) if len(distinct) else np.zeros(0, np.int64)
-        cat = lambda f: np.concatenate([f(k, at, r) for k, (at, r) in enumerate(self.runs)])[kept]
-        self.short, self.hash = short[kept], cat(lambda k, at, r: r.hash)
-        self.run = cat(lambda k, at, r: np.full(len(r.start), k))
-        self.row = cat(lambda k, at, r: np.arange(len(r.start)))
+        repeated = np.unique(short)[many]
+        del short
+        for _, r in self.runs:
+            key = _short(r.key, bits)
+            r.keep(repeated[np.minimum(np.searchsorted(repeated, key), len(repeated) - 1)] == key if len(repeated) else np.zeros(len(key), bool))
+        cat = lambda f: np.concatenate([f(k, at, r) for k, (at, r) in enumerate(self.runs)])
+        self.short, self.hash = cat(lambda k, at, r: _short(r.key, bits)), cat(lambda k, at, r: r.hash)
+        self.run = cat(lambda k, at, r: np.full(len(r.start), k, np.int32))
+        self.row = cat(lambda k, at, r: np.arange(len(r.start), dtype=np.int32))
         self.count, self.text = cat(lambda k, at, r: r.count), cat(lambda k, at, r: r.text + at)
+        for _, r in self.runs:
+            del r.key, r.hash, r.text
         order = np.lexsort((self.text, self.hash, self.short))
         for name in ("short", "hash", "run", "row", "count", "text"):
             setattr(self, name, getattr(self, name)[order])
         buf = np.concatenate([r.buf for _, r in self.runs]) if self.runs else np.zeros(0, np.uint8)
         begin = np.cumsum([0, *(len(r.buf) for _, r in self.runs)])
-        start = np.concatenate([r.start + b for (_, r), b in zip(self.runs, begin)])[kept][order] if len(kept) else np.zeros(0, np.int64)
+        start = np.concatenate([r.start + b for (_, r), b in zip(self.runs, begin)])[order]
         self.new = np.flatnonzero(_changes(buf, start, self.count + length - 1, self.short, self.hash))
         self.doc = np.array([NONE if i is None else i for i in self.ids], np.int64)[self.text]
 
@@ -240,7 +274,7 @@ def _ask_regions(bundled: DataFrame, answers: DataFrame, bits: int, length: int,
             for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i
         ])
 
-    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(run, MESSAGE)
+    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(_given_back(run), MESSAGE)
 
 
 def lowest_documents(joined: np.ndarray, size: np.ndarray, key: np.ndarray, low: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -276,8 +310,8 @@ def _ranked_minimum(text: np.ndarray, size: np.ndarray, count: np.ndarray, low:
     order = np.argsort(rank[at])
     ordered = at[order]
     differ = np.ones(len(at), bool)
-    for i in range(0, len(at) - 1, 1 << 15):
-        b = ordered[i + 1 : i + 1 + (1 << 15)]
+    for i in range(0, len(at) - 1, 1 << 13):
+        b = ordered[i + 1 : i + 1 + (1 << 13)]
         a = ordered[i : i + len(b)]
         differ[i + 1 : i + 1 + len(b)] = (text[a[:, None] + np.arange(length)] != text[b[:, None] + np.arange(length)]).any(axis=1)
     new = np.flatnonzero(differ)
@@ -319,7 +353,7 @@ def _answer_regions(asked: DataFrame, length: int, tasks: int) -> DataFrame:
             rows.append((key[0].as_py(), chunk, 2, pack(single, strings[first[mine]], strings[where])))
         return _messages(rows)
 
-    return asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, MESSAGE)
+    return asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_given_back(run), MESSAGE)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chunk_col: str | None = None, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
@@ -392,4 +426,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         along = {x: mine.column(f"carry_{i}").take(pa.array(c.order, pa.int64())) for i, x in enumerate(carry)}
         return pa.table({id_col: pa.array(c.ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "span_starts": pa.array(starts, spans), "span_ends": pa.array(ends, spans), "kept": pa.array(kept, pa.string() if as_text else pa.binary()), **along})
 
-    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(run, f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))
+    return bundled.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(_given_back(run), f"`{id_col}` bigint, n_bytes bigint, span_starts array<bigint>, span_ends array<bigint>, kept {'string' if as_text else 'binary'}" + "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry))

@@ -10,6 +10,9 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 MIX = (U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB))
 
+#: Most powers that a worker keeps from one call to the next; for a longer text they are made anew.
+KEPT = 1 << 20
+
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, U), "down": np.ones(1, U)}
 
 
@@ -23,7 +26,10 @@ def _power(which: str, base: int, n: int) -> np.ndarray:
     if len(_powers[which]) < n:
         step = np.full(max(n, 1 << 16), U(base))
         step[0] = U(1)
-        _powers[which] = np.multiply.accumulate(step)
+        np.multiply.accumulate(step, out=step)
+        if n > KEPT:
+            return step[:n]
+        _powers[which] = step
     return _powers[which][:n]
 
 
@@ -41,7 +47,7 @@ def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h, np.diff(np.searchsorted(starts, first))
 
 
-def batches(texts: list[str | None], most: int = 1 << 21):
+def batches(texts: list[str | None], most: int = 1 << 19):
     """Runs of texts as bytes, about `most` bytes each: (from, to, texts)."""
     at, size, run = 0, 0, []
     for i, t in enumerate(texts):

@@ -1,11 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from leafline.llm import suffix_dedup
+from leafline.llm import suffix_dedup, wordhash
 from leafline.llm.difference_cover import suffix_ranks
 from leafline.llm.suffix_dedup import remove_repeats
 
@@ -66,3 +67,37 @@ def test_kept_text_has_whole_characters(table):
     rows = [(1, "é" * 60), (2, "a" + "é" * 60)]
     done = {r["doc_id"]: r["kept"] for r in remove_repeats(table(rows), carry=("source",), as_text=True).collect()}
     assert done == {1: "é" * 60, 2: "a"}
+
+
+def test_texts_are_hashed_in_little_memory():
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(97, 123, 2000, dtype=np.uint8).tobytes() for _ in range(1000)]
+    tracemalloc.start()
+    try:
+        for _, run in suffix_dedup._runs(texts):
+            suffix_dedup.Regions(run, 50, 32)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20
+
+
+def test_bytes_are_copied_in_little_memory():
+    buf, start, size = np.arange(256, dtype=np.uint8).repeat(1 << 13), np.arange(0, 1 << 20, 16), np.full(1 << 16, 64)
+    tracemalloc.start()
+    try:
+        got_, _ = suffix_dedup._gather(buf, start, size)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 << 20
+    assert (got_.reshape(-1, 64) == buf[start[:, None] + np.arange(64)]).all()
+    some = np.array([5, 700_000, 3]), np.array([0, 600_000, 2])
+    assert (suffix_dedup._gather(buf, *some)[0] == np.r_[buf[700_000:1_300_000], buf[3:5]]).all()
+
+
+def test_a_long_text_leaves_no_long_powers():
+    plain = np.multiply.accumulate(np.r_[np.uint64(1), np.full(wordhash.KEPT + 9, np.uint64(wordhash.BASE))])
+    assert (wordhash._power("up", wordhash.BASE, wordhash.KEPT + 10) == plain).all()
+    assert (wordhash._power("up", wordhash.BASE, 1000) == plain[:1000]).all()
+    assert len(wordhash._powers["up"]) <= wordhash.KEPT
