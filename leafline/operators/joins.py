@@ -57,6 +57,7 @@ def printed_context(slots: DataFrame, blocks: DataFrame, page: str = "page", str
     Left: ends at most 8 beyond the slot's start, the rightmost; right: starts at least 8 before its end, the
     leftmost; both centred within max(18, 0.6 of the slot's height) of the slot's centre. blocks: (page, text, block_box)
     and optionally block_ord; of blocks that end or start alike the one with the largest block_ord, without it the largest text.
+    Blocks without text are passed over; a slot without page or place stays, with nothing around it.
     Both meet in strips of that height: a slot looks into those that its band touches, a block lies in that of its centre.
     Blocks are ranked within their page first, so a pair is two numbers whose maximum is kept and no pair is sorted or
     written; texts are joined back by rank.
@@ -65,10 +66,10 @@ def printed_context(slots: DataFrame, blocks: DataFrame, page: str = "page", str
     place = lambda y: F.floor(y / strip)
     tie = [F.asc(c) for c in ("block_ord", "text") if c in blocks.columns]
     rank = lambda at: F.row_number().over(W.partitionBy(page).orderBy(at, *tie))
-    ranked = blocks.select(page, "text", boxes.center_y(b).alias("b_y"), F.get(b, F.lit(0)).alias("b_1"), F.get(b, F.lit(2)).alias("b_2"), *[c for c in ("block_ord",) if c in blocks.columns])
+    ranked = blocks.filter(F.col("text").isNotNull()).select(page, "text", boxes.center_y(b).alias("b_y"), F.get(b, F.lit(0)).alias("b_1"), F.get(b, F.lit(2)).alias("b_2"), *[c for c in ("block_ord",) if c in blocks.columns])
     ranked = ranked.withColumn("left_", rank(F.asc("b_2"))).withColumn("right_", rank(F.desc("b_1")))
     looking = slots.select("slot_id", page, boxes.center_y(s).alias("s_y"), F.get(s, F.lit(0)).alias("s_1"), F.get(s, F.lit(2)).alias("s_2"), F.greatest(F.lit(18.0), boxes.height(s) * 0.6).alias("band_"))
-    looking = looking.withColumn("strip_", F.explode(F.sequence(place(F.col("s_y") - F.col("band_")), place(F.col("s_y") + F.col("band_")))))
+    looking = looking.withColumn("strip_", F.explode_outer(F.sequence(place(F.col("s_y") - F.col("band_")), place(F.col("s_y") + F.col("band_")))))
     rows = looking.join(ranked.drop("text", "block_ord").withColumn("strip_", place(F.col("b_y"))), [page, "strip_"], "left")
     same_row = F.abs(F.col("s_y") - F.col("b_y")) <= F.col("band_")
     left = F.when(same_row & (F.col("b_2") <= F.col("s_1") + 8), F.col("left_"))

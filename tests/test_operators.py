@@ -176,3 +176,11 @@ def test_printed_context_keeps_numbers_of_pairs_and_settles_ties(spark):
     assert sorted((r["slot_id"], r["before"], r["after"]) for r in out.collect()) == [("none", None, None), ("s", "t10", "t20")]
     assert joins.printed_context(slots, blocks.drop("block_ord")).filter("slot_id = 's'").first()["before"] == "t9"
     assert "SortAggregate" not in out._jdf.queryExecution().toString()  # which sorts, and spills, all pairs
+
+
+def test_printed_context_keeps_slots_without_place_and_passes_over_blocks_without_text(spark):
+    slots = spark.createDataFrame([("s", 1, [100.0, 0.0, 120.0, 20.0]), ("no box", 1, None), ("empty", 1, []), ("short", 1, [100.0, 0.0]), ("no width", 1, [100.0, 0.0, None, 20.0]), ("no page", None, [100.0, 0.0, 120.0, 20.0])], "slot_id string, page int, box array<double>")
+    rows = [(1, 1, "t1", [50.0, 0.0, 90.0, 20.0]), (1, 2, None, [50.0, 0.0, 95.0, 20.0]), (1, 3, None, [130.0, 0.0, 140.0, 20.0]), (1, 4, "t4", [135.0, 0.0, 140.0, 20.0]), (1, 5, "t5", None), (1, 6, "t6", [50.0, 0.0])]
+    out = joins.printed_context(slots, spark.createDataFrame(rows, "page int, block_ord int, text string, block_box array<double>"))
+    none = [(k, None, None) for k in ("empty", "no box", "no page", "short")]
+    assert sorted((r["slot_id"], r["before"], r["after"]) for r in out.collect()) == sorted([*none, ("no width", "t1", None), ("s", "t1", "t4")])
